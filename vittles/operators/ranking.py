@@ -104,3 +104,40 @@ def seeded_cap(df: DataFrame, key: str, max_items: int, seed: int) -> DataFrame:
     """
     h = F.xxhash64(F.col(key), F.lit(int(seed)))
     return df.withColumn("_h", h).orderBy(F.col("_h"), F.col(key)).limit(int(max_items)).drop("_h")
+
+
+def _range_partitioned(df: DataFrame, order: Order, partitions: int | None) -> DataFrame:
+    """Range-partition on the full order so a value shared by a third of the
+    rows is split by the trailing key; ``_pid`` is the ordered range index."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *sort_cols(order)).withColumn("_pid", F.spark_partition_id())
+
+
+def prefix_max(df: DataFrame, order: Order, value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """Running maximum of ``value`` in a total order, without a
+    single-partition window.  Each range partition computes its local running
+    max; the maxima of all earlier partitions (one row per partition) are
+    folded in through a broadcast join."""
+    r = _range_partitioned(df, order, partitions)
+    w = Window.partitionBy("_pid").orderBy(*sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    r = r.withColumn("_local", F.max(value).over(w))
+    pm = r.groupBy("_pid").agg(F.max(value).alias("_pmax"))
+    before = pm.withColumn(
+        "_before", F.max("_pmax").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
+    r = r.join(F.broadcast(before.select("_pid", "_before")), "_pid", "left")
+    return r.withColumn(out, F.greatest(F.col("_local"), F.col("_before"))).drop("_pid", "_local", "_before")
+
+
+def lag_in_order(df: DataFrame, order: Order, value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """Previous row's ``value`` in a total order, distributed as in
+    ``prefix_max``: local ``lag`` inside each range partition, and for a
+    partition's first row the last value of the previous non-empty one."""
+    r = _range_partitioned(df, order, partitions)
+    w = Window.partitionBy("_pid").orderBy(*sort_cols(order))
+    r = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    okey = F.struct(*[F.col(c) if d == "asc" else -F.col(c) for c, d in order])
+    last = r.groupBy("_pid").agg(F.max_by(F.col(value), okey).alias("_last"))
+    prev = last.withColumn("_prev", F.lag("_last").over(Window.orderBy("_pid"))).select("_pid", "_prev")
+    r = r.join(F.broadcast(prev), "_pid", "left")
+    val = F.when(F.col("_first"), F.col("_prev")).otherwise(F.col("_lag"))
+    return r.withColumn(out, val).drop("_pid", "_lag", "_first", "_prev")

@@ -13,10 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.functions.scalar import r6
-from vittles.operators import matrix, scorecard
-from vittles.session import table
+from vittles.functions.scalar import r6, to_double, to_long_id
+from vittles.operators import matrix, quality, ranking, scorecard, stats, units
 from vittles.plans.fdc import CANONICAL_ORDER
+from vittles.session import table
+from vittles.sources import contracts
 
 # Fixed values of the test binding: which lineitem measure plays which nutrient
 # (per 100 g), and the part size limit above which the serving weight is unknown.
@@ -82,6 +83,224 @@ def q08_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- sources, coercion, units
+
+
+CUSTOMER_CONTRACT = contracts.Contract(
+    renames={"c_mktsegment": "segment"},
+    required=["c_custkey", "c_name", "segment", "c_nationkey"],
+)
+
+
+def q01_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + V1: rename, required-column check, projection in contract order."""
+    return CUSTOMER_CONTRACT.apply(table(spark, sf_dir, "customer"), "customer")
+
+
+def q02_text_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S3: every column as text, NULL written as "" (compatibility mode)."""
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_brand", F.expr("nullif(p_type, 'PROMO')").alias("p_type"), "p_size")
+    return contracts.as_text(part, fill_empty=True)
+
+
+# Fixed values of the test binding: event types whose amount text is not a number.
+BAD_AMOUNT_TEXT = {"error": "n/a", "view": ""}
+
+
+def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    amount = F.regexp_extract("props", r"(\d+)", 1)
+    for et, txt in BAD_AMOUNT_TEXT.items():
+        amount = F.when(F.col("event_type") == et, F.lit(txt)).otherwise(amount)
+    user = F.when(F.col("value") < 1.0, F.lit("")).otherwise(F.concat(F.col("user_id").cast("string"), F.lit(".0")))
+    return ev.select("event_id", user.alias("user_text"), amount.alias("amount_text"))
+
+
+def q03_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + P3: ids via double ("12.0" is an id), bad numbers NULL, NULL keys dropped."""
+    t = _event_texts(spark, sf_dir)
+    out = t.select("event_id", to_long_id("user_text").alias("user_id"), to_double("amount_text").alias("amount"))
+    return out.where(F.col("user_id").isNotNull())
+
+
+# Fixed values of the test binding: the unit text each event type carries.
+EVENT_UNITS = {"click": "mg", "error": "MCG", "purchase": " g ", "signup": "kJ", "view": "oz"}
+
+
+def q04_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 + P12: unit text normalised, value converted to mg, lenient."""
+    ev = table(spark, sf_dir, "events")
+    unit = F.try_element_at(F.create_map(*[x for k, v in EVENT_UNITS.items() for x in (F.lit(k), F.lit(v))]),
+                            F.col("event_type"))
+    unit = F.when(F.col("value") >= 300.0, F.lit(None).cast("string")).otherwise(unit)
+    return ev.select(
+        "event_id",
+        units.normalize_unit(unit).alias("unit"),
+        r6(units.convert(F.col("value"), unit, "mg")).alias("value_mg"),
+    )
+
+
+# Fixed values of the test binding: canonical names over part names, their
+# target units and patterns (first matching pattern wins), and the unit text
+# each part type carries.
+PART_PATTERNS = [
+    ("gear_mg", "mg", [r"\bcogs?\b", r"\bgears?\b"]),
+    ("bolt_g", "g", [r"^(blue|red) bolt$", r"bolt"]),
+    ("rod_kcal", "kcal", [r"\bhot\b.*\brod\b"]),
+    ("plate_ug", "ug", [r"plate"]),
+    ("ring_g", "g", [r"^(small|large)\s+ring$"]),
+    ("gizmo_kj", "kj", [r"GIZMO", r"widget"]),
+    ("spring_g", "g", [r"\bsprings?\b"]),
+]
+PART_TYPE_UNITS = {"ECONOMY": "mg", "STANDARD": " MCG ", "LARGE": "g", "SMALL": "kJ", "PROMO": "kcal", "MEDIUM": "IU"}
+
+
+def part_nutrients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    unit = F.try_element_at(
+        F.create_map(*[x for k, v in PART_TYPE_UNITS.items() for x in (F.lit(k), F.lit(v))]), F.col("p_type"))
+    return part.select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), unit.alias("unit_name"),
+        F.when(F.col("p_size") <= SERVING_SIZE_LIMIT, F.col("p_size")).alias("nutrient_nbr"))
+
+
+def q05_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nutrient mapping over every part row as a candidate nutrient."""
+    pats = units.pattern_table(spark, PART_PATTERNS)
+    m = units.nutrient_mapping(part_nutrients(spark, sf_dir), pats)
+    return m.select("canonical_name", "nutrient_id", "nutrient_name", "unit_name", "matched_pattern")
+
+
+# Fixed values of the test binding: the event types pivoted, one without data.
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view", "refund"]
+
+
+def q06_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A2: mean of distinct values per (user, type), pivoted."""
+    ev = table(spark, sf_dir, "events")
+    wide = matrix.long_to_wide(ev, "user_id", "event_type", "value", EVENT_TYPES, suffix="")
+    return wide.select("user_id", *[r6(t).alias(t) for t in EVENT_TYPES])
+
+
+def q07_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One primary order per customer (text first, larger price, lower key)."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("fdc_id"), F.col("o_orderkey").alias("id"),
+        F.expr("nullif(o_orderpriority, '4-NOT SPECIFIED')").alias("portion_description"),
+        F.lit(None).cast("string").alias("gram_weight_modifier"),
+        F.lit(None).cast("long").alias("measure_unit_id"),
+        F.col("o_totalprice").alias("gram_weight"))
+    s = matrix.primary_servings(o)
+    return s.select(F.col("fdc_id").alias("o_custkey"), "serving_desc", r6("serving_gram_weight").alias("serving_gram_weight"))
+
+
+def q09_grade_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 + A7: grade counts per part type."""
+    return stats.group_counts(scored_parts(spark, sf_dir), ["food_category", "grade"])
+
+
+# Fixed values of the test binding: form keywords over part text, and the
+# brand whose parts carry an override.
+PART_FORM_KEYWORDS = ["old", "ring", "izm", "promo"]
+OVERRIDE_BRAND = "Brand#13"
+
+
+def form_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Override dictionary (fdc_id, form lower-cased)."""
+    part = table(spark, sf_dir, "part")
+    return part.where(F.col("p_brand") == OVERRIDE_BRAND).select(
+        F.col("p_partkey").alias("fdc_id"), F.lower(F.lit("Gel")).alias("form"))
+
+
+def q10_flags_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 + P8 + S14: missing flag and form tag with overrides."""
+    part = table(spark, sf_dir, "part")
+    ov = form_overrides(spark, sf_dir).withColumnRenamed("form", "_override")
+    df = part.join(ov, part.p_partkey == ov.fdc_id, "left")
+    size = F.when(F.col("p_size") <= SERVING_SIZE_LIMIT, F.col("p_size"))
+    return df.select(
+        F.col("p_partkey").alias("fdc_id"),
+        matrix.form_tag(["p_name", "p_type", F.expr("nullif(p_brand, 'Brand#1')")], PART_FORM_KEYWORDS,
+                        override="_override").alias("form"),
+        matrix.missing_flag(size).alias("size_missing"),
+    )
+
+
+def q11_robust_z(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + F8: robust z of price, of a constant (MAD 0) and of a nullable column."""
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_retailprice", F.lit(5.0).alias("constant"),
+        F.when(F.col("p_size") <= 40, F.col("p_size").cast("double")).alias("size40"))
+    cols = ["p_retailprice", "constant", "size40"]
+    z = stats.robust_z(part, cols)
+    return z.select("p_partkey", *[r6(f"{c}_z").alias(f"{c}_z") for c in cols],
+                    *[r6(f"{c}_z_clipped").alias(f"{c}_z_clipped") for c in cols])
+
+
+LINEITEM_STAT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def q12_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: mean, p10, p90, median, MAD per lineitem measure."""
+    st = stats.nutrient_stats(table(spark, sf_dir, "lineitem"), LINEITEM_STAT_COLS)
+    return st.select("nutrient", *[r6(c).alias(c) for c in ["mean", "p10", "p90", "median", "mad"]])
+
+
+def q13_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: missing fraction per column of part with NULL-made gaps."""
+    part = table(spark, sf_dir, "part").select(
+        F.expr("CASE WHEN p_size <= 45 THEN p_size END").alias("size_per100g"),
+        F.expr("CASE WHEN p_type <> 'PROMO' THEN p_retailprice END").alias("price_per100g"),
+        F.expr("nullif(p_brand, 'Brand#1')").alias("brand_per100g"),
+        F.lit(None).cast("double").alias("empty_per100g"),
+        F.col("p_name").alias("name_per100g"))
+    m = stats.missingness(part, part.columns)
+    return m.select("column", r6("missing_fraction").alias("missing_fraction"))
+
+
+def q14_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per (segment with NULL as Unknown, nation)."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    df = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+        F.expr("nullif(c_mktsegment, 'MACHINERY')").alias("food_category"), F.col("n_name").alias("wweia_category"))
+    return stats.group_counts(df, ["food_category", "wweia_category"])
+
+
+SANITY_COLS = ["fdc_id", "description", "grade", "nutrition_score", "kcal_per_serv", "sodium_mg_perserving",
+               "sugar_g_perserving"]
+
+
+def q15_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top and bottom 50 by score with rank_type."""
+    rep = scorecard.sanity_report(scored_parts(spark, sf_dir), "fdc_id", "nutrition_score", SANITY_COLS)
+    return rep.select("rank_type", "fdc_id", "description", "grade",
+                      *[r6(c).alias(c) for c in SANITY_COLS[3:]])
+
+
+def q16_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + A12: one row of headline numbers."""
+    k = stats.kpis(scored_parts(spark, sf_dir), "score", "grade", "sodium_mg_per100g", "fiber_g_per100g")
+    return k.select("n_foods", "low_sodium", "high_fiber",
+                    *[r6(c).alias(c) for c in ["avg_score", "min_score", "max_score", "ab_share_pct"]])
+
+
 QUERIES = {
+    "q01_contract": q01_contract,
+    "q02_text_staging": q02_text_staging,
+    "q03_coerce": q03_coerce,
+    "q04_units": q04_units,
+    "q05_mapping": q05_mapping,
+    "q06_matrix": q06_matrix,
+    "q07_primary": q07_primary,
     "q08_scorecard": q08_scorecard,
+    "q09_grade_counts": q09_grade_counts,
+    "q10_flags_form": q10_flags_form,
+    "q11_robust_z": q11_robust_z,
+    "q12_stats": q12_stats,
+    "q13_missing": q13_missing,
+    "q14_groups": q14_groups,
+    "q15_sanity": q15_sanity,
+    "q16_kpis": q16_kpis,
 }

@@ -6,8 +6,9 @@ views.  Float outputs are rounded to 6 decimals, as on the Spark side.
 
 from __future__ import annotations
 
+from vittles.plans import bindings as B
 from vittles.plans.bindings import LINEITEM_MEASURES, SERVING_SIZE_LIMIT
-from vittles.plans.fdc import CANONICAL_ORDER
+from vittles.plans.fdc import CANONICAL_ORDER, CONVERSION_FACTORS, UNIT_SYNONYMS
 
 
 def _cap(expr: str, ref: float) -> str:
@@ -93,6 +94,181 @@ SELECT fdc_id, grade, penalty_estimated, serving_desc, round(serving_gram_weight
 FROM scored"""
 
 
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _norm_unit(expr: str) -> str:
+    key = f"lower(trim({expr}))"
+    whens = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in UNIT_SYNONYMS.items())
+    return f"(CASE {key} {whens} ELSE {key} END)"
+
+
+def _factor(from_norm: str, to_norm: str) -> str:
+    """Lenient factor: 1 when equal or source NULL, known pair factor, else NULL."""
+    pairs = " ".join(f"WHEN {_q(a + '|' + b)} THEN {v!r}" for (a, b), v in CONVERSION_FACTORS.items())
+    return (f"(CASE WHEN {from_norm} IS NULL OR {from_norm} = {to_norm} THEN 1.0 "
+            f"ELSE (CASE {from_norm} || '|' || {to_norm} {pairs} END) END)")
+
+
+def _map_case(expr: str, mapping: dict) -> str:
+    whens = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in mapping.items())
+    return f"(CASE {expr} {whens} END)"
+
+
+NUM_RE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _to_double(expr: str) -> str:
+    return f"(CASE WHEN regexp_matches(trim({expr}), {_q(NUM_RE)}) THEN TRY_CAST(trim({expr}) AS DOUBLE) END)"
+
+
+def _to_id(expr: str) -> str:
+    d = _to_double(expr)
+    return f"(CASE WHEN {d} = floor({d}) THEN CAST({d} AS BIGINT) END)"
+
+
+Q01 = "SELECT c_custkey, c_name, c_mktsegment AS segment, c_nationkey FROM customer"
+
+Q02 = """SELECT coalesce(CAST(p_partkey AS VARCHAR), '') AS p_partkey, coalesce(p_name, '') AS p_name,
+  coalesce(p_brand, '') AS p_brand, coalesce(nullif(p_type, 'PROMO'), '') AS p_type,
+  coalesce(CAST(p_size AS VARCHAR), '') AS p_size FROM part"""
+
+_amount_text = "(CASE event_type " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in B.BAD_AMOUNT_TEXT.items()) \
+    + r" ELSE regexp_extract(props, '(\d+)', 1) END)"
+Q03 = f"""WITH t AS (
+  SELECT event_id, CASE WHEN value < 1.0 THEN '' ELSE CAST(user_id AS VARCHAR) || '.0' END AS user_text,
+    {_amount_text} AS amount_text FROM events)
+SELECT event_id, {_to_id('user_text')} AS user_id, {_to_double('amount_text')} AS amount
+FROM t WHERE {_to_id('user_text')} IS NOT NULL"""
+
+_ev_unit = f"(CASE WHEN value >= 300.0 THEN NULL ELSE {_map_case('event_type', B.EVENT_UNITS)} END)"
+Q04 = f"""WITH u AS (SELECT event_id, value, {_norm_unit(_ev_unit)} AS unit FROM events)
+SELECT event_id, unit, round(value * coalesce({_factor('unit', "'mg'")}, 1.0), 6) AS value_mg FROM u"""
+
+_pat_rows = ", ".join(f"({_q(n)}, {i}, {_q(p)}, {j}, {_q(u)})"
+                      for i, (n, u, pats) in enumerate(B.PART_PATTERNS) for j, p in enumerate(pats))
+_pairs = ", ".join(_q(a + "|" + b) for (a, b) in CONVERSION_FACTORS)
+Q05 = f"""WITH nutr AS (
+  SELECT p_partkey AS nutrient_id, trim(p_name) AS nutrient_name,
+    {_map_case('p_type', B.PART_TYPE_UNITS)} AS raw_unit,
+    {_norm_unit(_map_case('p_type', B.PART_TYPE_UNITS))} AS unit,
+    CASE WHEN p_size <= {SERVING_SIZE_LIMIT} THEN p_size END AS nbr
+  FROM part),
+pats(canonical_name, ord, pattern, pattern_ord, target_unit) AS (VALUES {_pat_rows}),
+cand AS (
+  SELECT canonical_name, pattern_ord, nutrient_id, nutrient_name, coalesce(unit, raw_unit) AS unit_name,
+    pattern AS matched_pattern,
+    CASE WHEN unit = {_norm_unit('target_unit')} THEN 10
+         WHEN unit || '|' || {_norm_unit('target_unit')} IN ({_pairs}) THEN 5 ELSE 0 END AS us,
+    coalesce(-CAST(nbr AS BIGINT), 0) AS ns
+  FROM nutr JOIN pats ON regexp_matches(nutrient_name, pattern, 'i')),
+r AS (SELECT *, row_number() OVER (PARTITION BY canonical_name
+        ORDER BY pattern_ord, us DESC, ns DESC, nutrient_id) AS rn FROM cand)
+SELECT canonical_name, nutrient_id, nutrient_name, unit_name, matched_pattern FROM r WHERE rn = 1"""
+
+_ev_cols = ",\n  ".join(f"round(avg(value) FILTER (WHERE event_type = {_q(t)}), 6) AS {t}" for t in B.EVENT_TYPES)
+Q06 = f"""WITH d AS (SELECT DISTINCT user_id, event_type, value FROM events
+  WHERE event_type IN ({", ".join(_q(t) for t in B.EVENT_TYPES)}))
+SELECT user_id,
+  {_ev_cols}
+FROM d GROUP BY user_id"""
+
+Q07 = """WITH o AS (
+  SELECT o_custkey, o_orderkey, coalesce(nullif(trim(nullif(o_orderpriority, '4-NOT SPECIFIED')), ''), '') AS txt,
+    coalesce(o_totalprice, 0.0) AS w FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey
+        ORDER BY CASE WHEN length(txt) > 0 THEN 1 ELSE 0 END DESC, w DESC, o_orderkey) AS rn FROM o)
+SELECT o_custkey, txt AS serving_desc, round(w, 6) AS serving_gram_weight FROM r WHERE rn = 1"""
+
+Q09 = f"""WITH {SCORED}
+SELECT coalesce(food_category, 'Unknown') AS food_category, coalesce(grade, 'Unknown') AS grade,
+  count(*) AS count FROM scored GROUP BY ALL"""
+
+_kw = " OR ".join(f"contains(txt, {_q(k)})" for k in B.PART_FORM_KEYWORDS)
+Q10 = f"""WITH t AS (
+  SELECT p_partkey, p_brand, p_size,
+    lower(concat_ws(' ', nullif(trim(p_name), ''), nullif(trim(p_type), ''),
+                         nullif(trim(nullif(p_brand, 'Brand#1')), ''))) AS txt FROM part)
+SELECT p_partkey AS fdc_id,
+  coalesce(CASE WHEN p_brand = {_q(B.OVERRIDE_BRAND)} THEN 'gel' END,
+           CASE WHEN {_kw} THEN 'liquid' ELSE 'solid' END) AS form,
+  CASE WHEN p_size <= {SERVING_SIZE_LIMIT} THEN 0 ELSE 1 END AS size_missing
+FROM t"""
+
+
+def _rz(c: str, m: str, d: str) -> str:
+    return f"(CASE WHEN {d} = 0 OR {d} IS NULL THEN 0.0 ELSE ({c} - {m}) / (1.4826 * {d}) END)"
+
+
+def _clip(z: str, lo: float, hi: float) -> str:
+    return f"(CASE WHEN {z} IS NULL THEN NULL ELSE least(greatest({z}, {lo}), {hi}) END)"
+
+
+_cols11 = ["p_retailprice", "constant", "size40"]
+Q11 = f"""WITH b AS (
+  SELECT p_partkey, p_retailprice, CAST(5.0 AS DOUBLE) AS constant,
+    CASE WHEN p_size <= 40 THEN CAST(p_size AS DOUBLE) END AS size40 FROM part),
+m AS (SELECT {", ".join(f"median({c}) AS m_{c}" for c in _cols11)} FROM b),
+d AS (SELECT {", ".join(f"median(abs({c} - m_{c})) AS d_{c}" for c in _cols11)} FROM b, m)
+SELECT p_partkey,
+  {", ".join(f"round({_rz(c, 'm_' + c, 'd_' + c)}, 6) AS {c}_z" for c in _cols11)},
+  {", ".join(f"round({_clip(_rz(c, 'm_' + c, 'd_' + c), -2.5, 2.5)}, 6) AS {c}_z_clipped" for c in _cols11)}
+FROM b, m, d"""
+
+_l12 = " UNION ALL ".join(f"SELECT {_q(c)} AS name, CAST({c} AS DOUBLE) AS value FROM lineitem"
+                          for c in B.LINEITEM_STAT_COLS)
+Q12 = f"""WITH l AS (SELECT * FROM ({_l12}) WHERE value IS NOT NULL),
+s AS (SELECT name, avg(value) AS mean, quantile_cont(value, 0.1) AS p10, quantile_cont(value, 0.9) AS p90,
+        median(value) AS median FROM l GROUP BY name),
+mad AS (SELECT l.name, median(abs(l.value - s.median)) AS mad FROM l JOIN s ON l.name = s.name GROUP BY l.name)
+SELECT s.name AS nutrient, round(mean, 6) AS mean, round(p10, 6) AS p10, round(p90, 6) AS p90,
+  round(median, 6) AS median, round(mad, 6) AS mad FROM s JOIN mad ON s.name = mad.name"""
+
+_m13 = [("size_per100g", "CASE WHEN p_size <= 45 THEN p_size END"),
+        ("price_per100g", "CASE WHEN p_type <> 'PROMO' THEN p_retailprice END"),
+        ("brand_per100g", "nullif(p_brand, 'Brand#1')"),
+        ("empty_per100g", "CAST(NULL AS DOUBLE)"),
+        ("name_per100g", "p_name")]
+Q13 = " UNION ALL ".join(
+    f"SELECT {_q(n)} AS \"column\", round(sum(CASE WHEN ({e}) IS NULL THEN 1 ELSE 0 END) / "
+    f"CAST(greatest(count(*), 1) AS DOUBLE), 6) AS missing_fraction FROM part" for n, e in _m13)
+
+Q14 = """SELECT coalesce(nullif(c_mktsegment, 'MACHINERY'), 'Unknown') AS food_category,
+  coalesce(n_name, 'Unknown') AS wweia_category, count(*) AS count
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL"""
+
+_s15 = ("fdc_id, description, grade, round(nutrition_score, 6) AS nutrition_score, round(kcal_per_serv, 6) AS "
+        "kcal_per_serv, round(sodium_mg_perserving, 6) AS sodium_mg_perserving, round(sugar_g_perserving, 6) AS "
+        "sugar_g_perserving")
+Q15 = f"""WITH {SCORED}
+(SELECT 'top' AS rank_type, {_s15} FROM scored ORDER BY nutrition_score DESC, fdc_id LIMIT 50)
+UNION ALL
+(SELECT 'bottom' AS rank_type, {_s15} FROM scored ORDER BY nutrition_score ASC, fdc_id LIMIT 50)"""
+
+Q16 = f"""WITH {SCORED}
+SELECT count(*) AS n_foods, CAST(count_if(sodium_mg_per100g <= 140.0) AS BIGINT) AS low_sodium,
+  CAST(count_if(fiber_g_per100g >= 5.0) AS BIGINT) AS high_fiber,
+  round(avg(score), 6) AS avg_score, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score,
+  round(avg(CASE WHEN grade IN ('A', 'B') THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS ab_share_pct
+FROM scored"""
+
+
 ORACLE = {
+    "q01_contract": Q01,
+    "q02_text_staging": Q02,
+    "q03_coerce": Q03,
+    "q04_units": Q04,
+    "q05_mapping": Q05,
+    "q06_matrix": Q06,
+    "q07_primary": Q07,
     "q08_scorecard": Q08,
+    "q09_grade_counts": Q09,
+    "q10_flags_form": Q10,
+    "q11_robust_z": Q11,
+    "q12_stats": Q12,
+    "q13_missing": Q13,
+    "q14_groups": Q14,
+    "q15_sanity": Q15,
+    "q16_kpis": Q16,
 }
