@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vittles.functions.scalar import r6, to_double, to_long_id
-from vittles.operators import matrix, quality, ranking, scorecard, stats, units
-from vittles.plans.fdc import CANONICAL_ORDER
+from vittles.operators import matrix, neighbors, quality, ranking, scorecard, stats, substitute, units
+from vittles.plans.fdc import CANONICAL_ORDER, NEIGHBOUR_FEATURES
 from vittles.session import table
 from vittles.sources import contracts
 
@@ -286,6 +286,63 @@ def q16_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[r6(c).alias(c) for c in ["avg_score", "min_score", "max_score", "ab_share_pct"]])
 
 
+
+# ---------------------------------------------------------------- neighbours and substitutions
+
+MIN_FEATURES = 6
+N_NEIGHBOURS = 50
+N_SUBSTITUTES = 5
+
+
+def part_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """P13 + P14 over the scored parts: usable features and eligible rows."""
+    foods = scored_parts(spark, sf_dir)
+    use = neighbors.usable_features(foods, NEIGHBOUR_FEATURES)
+    return neighbors.eligible(foods, use, MIN_FEATURES).select("fdc_id", "score", *use), use
+
+
+def q17_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 + P14 + A6: eligible parts with median/IQR-scaled features."""
+    work, use = part_features(spark, sf_dir)
+    sc = stats.robust_scale(work, use, suffix="_scaled")
+    return sc.select("fdc_id", *[r6(f"{c}_scaled").alias(f"{c}_scaled") for c in use])
+
+
+def q18_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine top-10 over every embedding (self excluded)."""
+    emb = table(spark, sf_dir, "embeddings")
+    e = neighbors.cosine_top_k(emb, "vec_id", "embedding", 10)
+    return e.select(F.col("id").alias("vec_id"), "neighbor_id", r6("sim").alias("cos_sim"))
+
+
+def part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 over the part features (no cap needed below 250,000 rows)."""
+    return neighbors.build_index(scored_parts(spark, sf_dir), NEIGHBOUR_FEATURES, min_feats=MIN_FEATURES,
+                                 k=N_NEIGHBOURS)
+
+
+def substitution_foods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    foods = scored_parts(spark, sf_dir)
+    ov = form_overrides(spark, sf_dir).withColumnRenamed("form", "_override")
+    foods = foods.join(ov, "fdc_id", "left")
+    return foods.withColumn("form", matrix.form_tag(
+        ["description", "food_category", F.expr("nullif(brand_owner, 'Brand#1')")], PART_FORM_KEYWORDS,
+        override="_override")).drop("_override")
+
+
+def q19_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: three-tier ranked substitutions for every part."""
+    subs = substitute.substitutions(substitution_foods(spark, sf_dir), part_edges(spark, sf_dir), k=N_SUBSTITUTES)
+    return subs.select("fdc_id", "neighbor_id", r6("score").alias("score"), r6("score_gain").alias("score_gain"),
+                       "grade", "why", "tier", "rank")
+
+
+def q20_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Swap coverage of the 500 lowest-scored D/E parts."""
+    cov = substitute.swap_coverage(scored_parts(spark, sf_dir), part_edges(spark, sf_dir))
+    return cov.select("covered", "total", r6("coverage").alias("coverage"))
+
+
 QUERIES = {
     "q01_contract": q01_contract,
     "q02_text_staging": q02_text_staging,
@@ -303,4 +360,8 @@ QUERIES = {
     "q14_groups": q14_groups,
     "q15_sanity": q15_sanity,
     "q16_kpis": q16_kpis,
+    "q17_scaled": q17_scaled,
+    "q18_neighbors": q18_neighbors,
+    "q19_substitutions": q19_substitutions,
+    "q20_coverage": q20_coverage,
 }

@@ -254,6 +254,102 @@ SELECT count(*) AS n_foods, CAST(count_if(sodium_mg_per100g <= 140.0) AS BIGINT)
 FROM scored"""
 
 
+
+# Features of the part binding that carry data (the measured nutrients), in index order.
+_measured = {n for n, _ in LINEITEM_MEASURES}
+FEATS = [f for f in B.NEIGHBOUR_FEATURES if f.replace("_per100g", "") in _measured]
+_nn = " + ".join(f"(CASE WHEN {f} IS NULL THEN 0 ELSE 1 END)" for f in FEATS)
+_qs = ", ".join(f"quantile_cont({f}, 0.25) AS q1_{f}, median({f}) AS m_{f}, quantile_cont({f}, 0.75) AS q3_{f}"
+                for f in FEATS)
+
+
+def _scaled(f: str) -> str:
+    iqr = f"(CASE WHEN q3_{f} - q1_{f} = 0 THEN 1.0 ELSE q3_{f} - q1_{f} END)"
+    x = f"(({f} - m_{f}) / {iqr})"
+    return f"coalesce(CASE WHEN isnan({x}) OR isinf({x}) THEN NULL ELSE {x} END, 0.0)"
+
+
+SCALED = f"""{SCORED},
+el AS (SELECT * FROM scored WHERE serving_gram_weight IS NOT NULL AND ({_nn}) >= {B.MIN_FEATURES}),
+qs AS (SELECT {_qs} FROM el),
+sc AS (SELECT fdc_id, score, {", ".join(f"{_scaled(f)} AS {f}_scaled" for f in FEATS)} FROM el, qs)"""
+
+Q17 = f"""WITH {SCALED}
+SELECT fdc_id, {", ".join(f"round({f}_scaled, 6) AS {f}_scaled" for f in FEATS)} FROM sc"""
+
+
+def _unit(v: str) -> str:
+    nrm = f"sqrt(list_sum(list_transform({v}, lambda x: x * x)))"
+    return (f"(CASE WHEN {nrm} > 0 THEN list_transform({v}, lambda x: x / {nrm}) "
+            f"ELSE list_transform({v}, lambda x: 0.0) END)")
+
+
+Q18 = f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT vec_id, {_unit('v')} AS u FROM e),
+p AS (SELECT a.vec_id, b.vec_id AS neighbor_id, list_dot_product(a.u, b.u) AS sim
+      FROM u a JOIN u b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, neighbor_id) AS rn FROM p)
+SELECT vec_id, neighbor_id, round(sim, 6) AS cos_sim FROM r WHERE rn <= 10"""
+
+EDGES = f"""{SCALED},
+vec AS (SELECT fdc_id, score, {_unit("[" + ", ".join(f"{f}_scaled" for f in FEATS) + "]")} AS u FROM sc),
+pairs AS (SELECT a.fdc_id, b.fdc_id AS neighbor_id, list_dot_product(a.u, b.u) AS cos_sim, a.score AS base_score
+          FROM vec a JOIN vec b ON a.fdc_id <> b.fdc_id),
+edges AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fdc_id ORDER BY cos_sim DESC, neighbor_id) AS rn
+          FROM pairs) WHERE rn <= {B.N_NEIGHBOURS})"""
+
+_kw19 = " OR ".join(f"contains(txt, {_q(k)})" for k in B.PART_FORM_KEYWORDS)
+FOODS19 = f"""{EDGES},
+ft AS (SELECT *, lower(concat_ws(' ', nullif(trim(description), ''), nullif(trim(food_category), ''),
+                 nullif(trim(nullif(brand_owner, 'Brand#1')), ''))) AS txt FROM scored),
+foods AS (SELECT fdc_id, score, grade, food_category AS grp, kcal_per_serv AS kcal, sodium_mg_perserving AS sodium,
+   coalesce(CASE WHEN brand_owner = {_q(B.OVERRIDE_BRAND)} THEN 'gel' END,
+            CASE WHEN {_kw19} THEN 'liquid' ELSE 'solid' END) AS form FROM ft)"""
+
+
+def _hi(x: str) -> str:
+    return f"CAST(round_even({x}, 0) AS BIGINT)"
+
+
+Q19 = f"""WITH {FOODS19},
+t1 AS (
+  SELECT e.fdc_id, e.neighbor_id, c.score, c.score - b.score AS score_gain, c.grade,
+    concat_ws(', ', 'score +' || CAST({_hi('c.score - b.score')} AS VARCHAR),
+      CASE WHEN c.sodium IS NOT NULL THEN 'sodium ' || CAST({_hi('c.sodium')} AS VARCHAR) || 'mg' END,
+      CASE WHEN c.kcal IS NOT NULL THEN 'kcal ' || CAST({_hi('c.kcal')} AS VARCHAR) END) AS why,
+    1 AS tier,
+    row_number() OVER (PARTITION BY e.fdc_id ORDER BY 0.6 * e.cos_sim + 0.4 * ((c.score - b.score) / 100.0) DESC,
+                       e.neighbor_id) AS rank
+  FROM edges e JOIN foods b ON b.fdc_id = e.fdc_id LEFT JOIN foods c ON c.fdc_id = e.neighbor_id
+  WHERE coalesce((b.form IS NULL OR c.form = b.form) AND (b.grp IS NULL OR c.grp = b.grp)
+    AND (b.kcal IS NULL OR abs(c.kcal - b.kcal) <= 100.0) AND c.sodium <= 500.0
+    AND c.score - b.score >= 10.0, false)),
+t2 AS (
+  SELECT b.fdc_id, c.fdc_id AS neighbor_id, c.score, c.score - b.score AS score_gain, c.grade,
+    'score +' || CAST(greatest(0, {_hi('c.score - b.score')}) AS VARCHAR) AS why, 2 AS tier,
+    row_number() OVER (PARTITION BY b.fdc_id ORDER BY c.score DESC, c.fdc_id) AS rank
+  FROM foods b JOIN foods c ON (b.form IS NULL OR c.form = b.form) AND (b.grp IS NULL OR c.grp = b.grp)
+    AND c.score > b.score AND c.score >= b.score + 10.0),
+t3 AS (
+  SELECT b.fdc_id, c.fdc_id AS neighbor_id, c.score, c.score - b.score AS score_gain, c.grade,
+    'score +' || CAST(greatest(0, {_hi('c.score - b.score')}) AS VARCHAR) AS why, 3 AS tier,
+    row_number() OVER (PARTITION BY b.fdc_id ORDER BY c.score DESC, c.fdc_id) AS rank
+  FROM foods b JOIN foods c ON c.score >= b.score + 10.0),
+allt AS (SELECT * FROM t1 WHERE rank <= {B.N_SUBSTITUTES} UNION ALL SELECT * FROM t2 WHERE rank <= {B.N_SUBSTITUTES}
+         UNION ALL SELECT * FROM t3 WHERE rank <= {B.N_SUBSTITUTES}),
+best AS (SELECT *, min(tier) OVER (PARTITION BY fdc_id) AS bt FROM allt)
+SELECT fdc_id, neighbor_id, round(score, 6) AS score, round(score_gain, 6) AS score_gain, grade, why, tier, rank
+FROM best WHERE tier = bt"""
+
+Q20 = f"""WITH {EDGES},
+cand AS (SELECT fdc_id FROM scored WHERE grade IN ('D', 'E') ORDER BY score, fdc_id LIMIT 500),
+sub AS (SELECT e.fdc_id, s.score - e.base_score AS gain FROM edges e JOIN cand ON e.fdc_id = cand.fdc_id
+        LEFT JOIN scored s ON s.fdc_id = e.neighbor_id),
+cov AS (SELECT count(DISTINCT fdc_id) AS covered FROM sub WHERE gain >= 10.0),
+tot AS (SELECT count(*) AS total FROM cand)
+SELECT covered, total, round(covered / greatest(total, 1), 6) AS coverage FROM cov, tot"""
+
+
 ORACLE = {
     "q01_contract": Q01,
     "q02_text_staging": Q02,
@@ -271,4 +367,8 @@ ORACLE = {
     "q14_groups": Q14,
     "q15_sanity": Q15,
     "q16_kpis": Q16,
+    "q17_scaled": Q17,
+    "q18_neighbors": Q18,
+    "q19_substitutions": Q19,
+    "q20_coverage": Q20,
 }
