@@ -10,28 +10,30 @@ are seven measures derived from every ``lineitem`` row of the part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vittles.functions.scalar import r6, to_double, to_long_id
-from vittles.operators import matrix, neighbors, quality, ranking, scorecard, stats, substitute, units
+from vittles.operators import matrix, neighbors, quality, ranking, scorecard, search, stats, substitute, units
 from vittles.plans.fdc import CANONICAL_ORDER, NEIGHBOUR_FEATURES
 from vittles.session import table
 from vittles.sources import contracts
 
 # Fixed values of the test binding: which lineitem measure plays which nutrient
 # (per 100 g), and the part size limit above which the serving weight is unknown.
-# Measures are whole or quarter numbers so sums are exact in any order.
+# Measures are whole or dyadic numbers so sums are exact in any order; floor(x + 0.5)
+# rounds the same way in every engine.
 LINEITEM_MEASURES = [
     ("protein_g", "l_quantity"),
-    ("fiber_g", "round(l_discount * 100)"),
-    ("potassium_mg", "round(l_extendedprice / 10)"),
-    ("sodium_mg", "round(l_extendedprice / 50)"),
-    ("sat_fat_g", "round(l_tax * 100)"),
-    ("sugar_g", "l_quantity / 4"),
-    ("energy_kcal", "round(l_extendedprice / 100)"),
+    ("fiber_g", "floor(l_discount * 300 + 0.5)"),
+    ("potassium_mg", "floor(l_extendedprice / 10 + 0.5)"),
+    ("sodium_mg", "floor(l_extendedprice / 400 + 0.5)"),
+    ("sat_fat_g", "floor(l_tax * 25 + 0.5)"),
+    ("sugar_g", "l_quantity / 16"),
+    ("energy_kcal", "floor(l_extendedprice / 1000 + 0.5)"),
 ]
 SERVING_SIZE_LIMIT = 45
+SERVING_WEIGHT_PER_SIZE = 10
 
 
 def part_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +59,8 @@ def part_foods(spark: SparkSession, sf_dir: str) -> DataFrame:
     servings = part.select(
         F.col("p_partkey").alias("fdc_id"),
         F.when(F.col("p_size") <= SERVING_SIZE_LIMIT, F.format_string("size %d", F.col("p_size"))).alias("serving_desc"),
-        F.when(F.col("p_size") <= SERVING_SIZE_LIMIT, F.col("p_size").cast("double")).alias("serving_gram_weight"),
+        F.when(F.col("p_size") <= SERVING_SIZE_LIMIT, (F.col("p_size") * SERVING_WEIGHT_PER_SIZE).cast("double"))
+        .alias("serving_gram_weight"),
     )
     ds = foods.join(wide, "fdc_id", "left")
     ds = matrix.with_servings(ds, servings, household_text=None)
@@ -343,6 +346,62 @@ def q20_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cov.select("covered", "total", r6("coverage").alias("coverage"))
 
 
+
+# ---------------------------------------------------------------- search, page, compare
+
+# Fixed values of the test binding: search requests (one needs the first-token
+# fallback, one matches no text at all, one is shorter than two characters).
+TOKEN_QUERIES = ["blue bolt", "Brand#1 gear", "cold xyz", "HOT", "   "]
+RANKED_QUERIES = ["blue bolt", "gear", "zzqx", "b", "old rod"]
+SEARCH_LIMIT = 20
+PAGE_FILTERS = {"high_fiber": True, "low_sodium": True, "form": "solid"}
+
+
+def q21_token_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P17 + F14: multi-token search over every part name and brand."""
+    foods = substitution_foods(spark, sf_dir)
+    res = search.token_search(foods, search.requests(spark, TOKEN_QUERIES))
+    return res.select("query_id", "fdc_id", "description", "brand_owner")
+
+
+def _ranked(spark: SparkSession, sf_dir: str, similarity: str) -> DataFrame:
+    foods = substitution_foods(spark, sf_dir)
+    res = search.ranked_search(foods, search.requests(spark, RANKED_QUERIES), limit=SEARCH_LIMIT,
+                               similarity=similarity)
+    return res.select("query_id", "fdc_id", "description", "grade", r6("nutrition_score").alias("nutrition_score"),
+                      r6("match_score").alias("match_score"), "rank")
+
+
+def q22_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 + W8 with the native edit-distance similarity."""
+    return _ranked(spark, sf_dir, "edit")
+
+
+def q23_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 + U2: the sequence-matcher ratio (Arrow-batched pandas UDF)."""
+    return _ranked(spark, sf_dir, "sequence")
+
+
+def q24_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 (W7, P16, W11, W9): page 2 of the filtered top-200 list."""
+    foods = substitution_foods(spark, sf_dir)
+    pg = search.search_page(foods, query="", page=2, filters=PAGE_FILTERS)
+    return pg.select("fdc_id", "description", "food_category", r6("score").alias("score"), "grade")
+
+
+COMPARE_SIZE = 3
+
+
+def q25_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 + R6 + P25: the three best parts compared nutrient by nutrient."""
+    foods = scored_parts(spark, sf_dir)
+    top = ranking.global_top_k(foods, [("score", "desc"), ("fdc_id", "asc")], COMPARE_SIZE)
+    top = top.withColumn("position", F.row_number().over(
+        Window.partitionBy(F.lit(1)).orderBy(F.col("score").desc(), F.col("fdc_id"))))
+    t = search.compare_table(top, "fdc_id", "position")
+    return t.select("nutrient", "label", "position", "fdc_id", r6("value").alias("value"), "is_best")
+
+
 QUERIES = {
     "q01_contract": q01_contract,
     "q02_text_staging": q02_text_staging,
@@ -364,4 +423,9 @@ QUERIES = {
     "q18_neighbors": q18_neighbors,
     "q19_substitutions": q19_substitutions,
     "q20_coverage": q20_coverage,
+    "q21_token_search": q21_token_search,
+    "q22_ranked_search": q22_ranked_search,
+    "q23_fuzzy": q23_fuzzy,
+    "q24_page": q24_page,
+    "q25_compare": q25_compare,
 }

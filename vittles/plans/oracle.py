@@ -53,7 +53,7 @@ wide AS (
 ds AS (
  SELECT p.p_partkey AS fdc_id, p.p_name AS description, p.p_brand AS brand_owner, p.p_type AS food_category,
     p.p_size, p.p_retailprice,
-    coalesce(CASE WHEN p.p_size <= {SERVING_SIZE_LIMIT} THEN CAST(p.p_size AS DOUBLE) END, 100.0) AS w,
+    coalesce(CASE WHEN p.p_size <= {SERVING_SIZE_LIMIT} THEN CAST(p.p_size * {B.SERVING_WEIGHT_PER_SIZE} AS DOUBLE) END, 100.0) AS w,
     coalesce(CASE WHEN p.p_size <= {SERVING_SIZE_LIMIT} THEN 'size ' || CAST(p.p_size AS VARCHAR) END, '100 g') AS serving_desc,
     wide.* EXCLUDE (fdc_id)
  FROM part p LEFT JOIN wide ON wide.fdc_id = p.p_partkey
@@ -318,8 +318,8 @@ t1 AS (
       CASE WHEN c.sodium IS NOT NULL THEN 'sodium ' || CAST({_hi('c.sodium')} AS VARCHAR) || 'mg' END,
       CASE WHEN c.kcal IS NOT NULL THEN 'kcal ' || CAST({_hi('c.kcal')} AS VARCHAR) END) AS why,
     1 AS tier,
-    row_number() OVER (PARTITION BY e.fdc_id ORDER BY 0.6 * e.cos_sim + 0.4 * ((c.score - b.score) / 100.0) DESC,
-                       e.neighbor_id) AS rank
+    CAST(row_number() OVER (PARTITION BY e.fdc_id ORDER BY 0.6 * e.cos_sim + 0.4 * ((c.score - b.score) / 100.0) DESC,
+                       e.neighbor_id) AS INTEGER) AS rank
   FROM edges e JOIN foods b ON b.fdc_id = e.fdc_id LEFT JOIN foods c ON c.fdc_id = e.neighbor_id
   WHERE coalesce((b.form IS NULL OR c.form = b.form) AND (b.grp IS NULL OR c.grp = b.grp)
     AND (b.kcal IS NULL OR abs(c.kcal - b.kcal) <= 100.0) AND c.sodium <= 500.0
@@ -327,13 +327,13 @@ t1 AS (
 t2 AS (
   SELECT b.fdc_id, c.fdc_id AS neighbor_id, c.score, c.score - b.score AS score_gain, c.grade,
     'score +' || CAST(greatest(0, {_hi('c.score - b.score')}) AS VARCHAR) AS why, 2 AS tier,
-    row_number() OVER (PARTITION BY b.fdc_id ORDER BY c.score DESC, c.fdc_id) AS rank
+    CAST(row_number() OVER (PARTITION BY b.fdc_id ORDER BY c.score DESC, c.fdc_id) AS INTEGER) AS rank
   FROM foods b JOIN foods c ON (b.form IS NULL OR c.form = b.form) AND (b.grp IS NULL OR c.grp = b.grp)
     AND c.score > b.score AND c.score >= b.score + 10.0),
 t3 AS (
   SELECT b.fdc_id, c.fdc_id AS neighbor_id, c.score, c.score - b.score AS score_gain, c.grade,
     'score +' || CAST(greatest(0, {_hi('c.score - b.score')}) AS VARCHAR) AS why, 3 AS tier,
-    row_number() OVER (PARTITION BY b.fdc_id ORDER BY c.score DESC, c.fdc_id) AS rank
+    CAST(row_number() OVER (PARTITION BY b.fdc_id ORDER BY c.score DESC, c.fdc_id) AS INTEGER) AS rank
   FROM foods b JOIN foods c ON c.score >= b.score + 10.0),
 allt AS (SELECT * FROM t1 WHERE rank <= {B.N_SUBSTITUTES} UNION ALL SELECT * FROM t2 WHERE rank <= {B.N_SUBSTITUTES}
          UNION ALL SELECT * FROM t3 WHERE rank <= {B.N_SUBSTITUTES}),
@@ -350,6 +350,78 @@ tot AS (SELECT count(*) AS total FROM cand)
 SELECT covered, total, round(covered / greatest(total, 1), 6) AS coverage FROM cov, tot"""
 
 
+
+FORMED = f"""{SCORED},
+ftx AS (SELECT *, lower(concat_ws(' ', nullif(trim(description), ''), nullif(trim(food_category), ''),
+                 nullif(trim(nullif(brand_owner, 'Brand#1')), ''))) AS txt FROM scored),
+formed AS (SELECT * EXCLUDE (txt), coalesce(CASE WHEN brand_owner = {_q(B.OVERRIDE_BRAND)} THEN 'gel' END,
+            CASE WHEN {_kw19} THEN 'liquid' ELSE 'solid' END) AS form FROM ftx)"""
+
+
+def _req(queries: list[str]) -> str:
+    return "req(query_id, q) AS (VALUES " + ", ".join(f"({i + 1}, {_q(x)})" for i, x in enumerate(queries)) + ")"
+
+
+Q21 = f"""WITH {FORMED},
+{_req(B.TOKEN_QUERIES)},
+tk AS (SELECT query_id, list_filter(string_split_regex(lower(q), '\\s+'), lambda x: x <> '') AS toks FROM req),
+tok AS (SELECT query_id, unnest(toks) AS tok, unnest(generate_series(0, len(toks) - 1)) AS pos, len(toks) AS ntok
+        FROM tk WHERE len(toks) > 0),
+m AS (SELECT t.query_id, f.fdc_id, t.pos, t.ntok FROM formed f JOIN tok t
+      ON contains(lower(coalesce(f.description, '')), t.tok) OR contains(lower(coalesce(f.brand_owner, '')), t.tok)),
+per AS (SELECT query_id, fdc_id, count(DISTINCT pos) = max(ntok) AS all_hit,
+          max(CASE WHEN pos = 0 THEN 1 ELSE 0 END) AS first_hit FROM m GROUP BY query_id, fdc_id),
+qa AS (SELECT query_id, max(CASE WHEN all_hit THEN 1 ELSE 0 END) AS any_all FROM per GROUP BY query_id),
+ch AS (SELECT per.* FROM per JOIN qa ON per.query_id = qa.query_id
+       WHERE CASE WHEN any_all = 1 THEN all_hit ELSE first_hit = 1 END),
+r AS (SELECT query_id, fdc_id, row_number() OVER (PARTITION BY query_id ORDER BY fdc_id) AS rn FROM ch)
+SELECT CAST(r.query_id AS BIGINT) AS query_id, r.fdc_id, f.description, f.brand_owner
+FROM r JOIN formed f ON r.fdc_id = f.fdc_id WHERE rn <= 500"""
+
+_coarse = ("(contains(lower(coalesce(f.description, '')), fl.ql) OR "
+           "contains(lower(coalesce(f.food_category, '')), fl.ql))")
+_lev = ("1.0 - levenshtein(fl.ql, lower(coalesce(f.description, ''))) / "
+        "CAST(greatest(length(fl.ql), length(lower(coalesce(f.description, ''))), 1) AS DOUBLE)")
+Q22 = f"""WITH {FORMED},
+{_req(B.RANKED_QUERIES)},
+r AS (SELECT query_id, lower(q) AS ql, length(q) < 2 AS short FROM req),
+lq AS (SELECT * FROM r WHERE NOT short),
+hits AS (SELECT fl.query_id, count(*) AS n FROM formed f JOIN lq fl ON {_coarse} GROUP BY fl.query_id),
+fl AS (SELECT lq.*, coalesce(hits.n, 0) = 0 AS none FROM lq LEFT JOIN hits ON lq.query_id = hits.query_id),
+cand AS (SELECT fl.query_id, f.*, {_lev} AS match_score FROM formed f JOIN fl ON {_coarse} OR fl.none),
+rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY match_score DESC, nutrition_score DESC, fdc_id)
+       AS rank FROM cand),
+best AS (SELECT *, row_number() OVER (ORDER BY nutrition_score DESC, fdc_id) AS rank FROM formed
+         ORDER BY nutrition_score DESC, fdc_id LIMIT {B.SEARCH_LIMIT}),
+sh AS (SELECT r.query_id, best.fdc_id, best.description, best.grade, best.nutrition_score,
+         CAST(NULL AS DOUBLE) AS match_score, best.rank FROM r JOIN best ON r.short)
+SELECT CAST(query_id AS BIGINT) AS query_id, fdc_id, description, grade, round(nutrition_score, 6) AS nutrition_score,
+  round(match_score, 6) AS match_score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= {B.SEARCH_LIMIT}
+UNION ALL
+SELECT CAST(query_id AS BIGINT), fdc_id, description, grade, round(nutrition_score, 6), round(match_score, 6),
+  CAST(rank AS INTEGER) FROM sh"""
+
+Q24 = f"""WITH {FORMED},
+top AS (SELECT * FROM formed ORDER BY score DESC, fdc_id LIMIT 200),
+f AS (SELECT * FROM top WHERE fiber_g_per100g >= 5.0 AND sodium_mg_per100g <= 140.0 AND form = 'solid'
+      ORDER BY score DESC, fdc_id LIMIT 500),
+pg AS (SELECT * FROM f ORDER BY score DESC, fdc_id LIMIT 25 OFFSET 25)
+SELECT fdc_id, description, food_category, round(score, 6) AS score, grade FROM pg"""
+
+_names25 = list(__import__("vittles.operators.search", fromlist=["FRIENDLY_NAMES"]).FRIENDLY_NAMES.items())
+_long25 = " UNION ALL ".join(
+    f"SELECT fdc_id, position, {_q(n)} AS nutrient, {_q(lbl)} AS label, CAST({n}_per100g AS DOUBLE) AS value FROM top"
+    for n, lbl in _names25)
+Q25 = f"""WITH {SCORED},
+top AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, fdc_id) AS INTEGER) AS position FROM scored
+        ORDER BY score DESC, fdc_id LIMIT 3),
+lng AS (SELECT * FROM ({_long25}) WHERE value IS NOT NULL),
+t AS (SELECT *, CASE WHEN nutrient IN ('protein_g', 'fiber_g') THEN max(value) OVER (PARTITION BY nutrient)
+                ELSE min(value) OVER (PARTITION BY nutrient) END AS target FROM lng)
+SELECT nutrient, label, position, fdc_id, round(value, 6) AS value,
+  abs(value - target) <= 1e-8 + 1e-5 * abs(target) AS is_best FROM t"""
+
+
 ORACLE = {
     "q01_contract": Q01,
     "q02_text_staging": Q02,
@@ -371,4 +443,8 @@ ORACLE = {
     "q18_neighbors": Q18,
     "q19_substitutions": Q19,
     "q20_coverage": Q20,
+    "q21_token_search": Q21,
+    "q22_ranked_search": Q22,
+    "q24_page": Q24,
+    "q25_compare": Q25,
 }
