@@ -137,7 +137,7 @@ def lag_in_order(df: DataFrame, order: Order, value: str, out: str, partitions:
     r = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     okey = F.struct(*[F.col(c) if d == "asc" else -F.col(c) for c, d in order])
     last = r.groupBy("_pid").agg(F.max_by(F.col(value), okey).alias("_last"))
-    prev = last.withColumn("_prev", F.lag("_last").over(Window.orderBy("_pid"))).select("_pid", "_prev")
+    prev = last.withColumn("_pprev", F.lag("_last").over(Window.orderBy("_pid"))).select("_pid", "_pprev")
     r = r.join(F.broadcast(prev), "_pid", "left")
-    val = F.when(F.col("_first"), F.col("_prev")).otherwise(F.col("_lag"))
-    return r.withColumn(out, val).drop("_pid", "_lag", "_first", "_prev")
+    val = F.when(F.col("_first"), F.col("_pprev")).otherwise(F.col("_lag"))
+    return r.withColumn(out, val).drop("_pid", "_lag", "_first", "_pprev")

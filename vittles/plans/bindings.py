@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vittles.functions.scalar import r6, to_double, to_long_id
-from vittles.operators import matrix, neighbors, quality, ranking, scorecard, search, stats, substitute, units
-from vittles.plans.fdc import CANONICAL_ORDER, NEIGHBOUR_FEATURES
+from vittles.operators import (matrix, models, neighbors, quality, ranking, scorecard, search, stats, substitute,
+                               units)
+from vittles.plans.fdc import BASE_FEATURE_MAP, CANONICAL_ORDER, NEIGHBOUR_FEATURES
 from vittles.session import table
 from vittles.sources import contracts
 
@@ -402,6 +403,149 @@ def q25_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("nutrient", "label", "position", "fdc_id", r6("value").alias("value"), "is_best")
 
 
+
+# ---------------------------------------------------------------- quality, joins, sets
+
+
+def q26_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per check."""
+    part, li, sup = (table(spark, sf_dir, t) for t in ("part", "lineitem", "supplier"))
+    foods = scored_parts(spark, sf_dir)
+    feats = [f for f in NEIGHBOUR_FEATURES if f.replace("_per100g", "") in {n for n, _ in LINEITEM_MEASURES}]
+    rng = quality.score_range(foods, "score").select(
+        F.lit("score_range").alias("check"), F.col("in_range").alias("passed"), F.col("score_max").alias("value"))
+    comp = foods.agg(stats.completeness(foods, feats).alias("value")).select(
+        F.lit("completeness").alias("check"), (F.col("value") >= 0.0).alias("passed"), "value")
+    emb = neighbors.cosine_top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 10)
+    probs = q29_probabilities(spark, sf_dir)
+    checks = [
+        quality.many_to_one(part, "p_partkey"),
+        quality.unmatched_share(li, part, "l_partkey", "p_name", right_key="p_partkey"),
+        quality.non_empty(li),
+        quality.key_unique(sup, "s_suppkey"),
+        rng, comp,
+        quality.similarity_range(emb, "sim"),
+        quality.monotone(probs, [("score", "asc"), ("fdc_id", "asc")], "prob_AB", tol=1e-4),
+        quality.flag_domain(foods, "penalty_estimated"),
+    ]
+    return quality.report(checks).select("check", "passed", r6("value").alias("value"))
+
+
+def q27_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer with nation and region names (small
+    dimensions, broadcast after a size check) and per-customer order totals
+    (aggregated before the join, so the join is one row per customer)."""
+    cust, nation, region, orders = (table(spark, sf_dir, t) for t in ("customer", "nation", "region", "orders"))
+    dims = nation.join(_small(region), nation.n_regionkey == region.r_regionkey, "left")
+    per = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total"))
+    out = cust.join(_small(dims), cust.c_nationkey == dims.n_nationkey, "left").join(
+        per, cust.c_custkey == per.o_custkey, "left")
+    return out.select("c_custkey", "n_name", "r_name", F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+                      r6("total").alias("total"))
+
+
+SMALL_DIMENSION_ROWS = 100_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a dimension only after checking its row count."""
+    return F.broadcast(df) if df.count() <= SMALL_DIMENSION_ROWS else df
+
+
+URGENT = "1-URGENT"
+
+
+def q28_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J12 + J13 + P19 + P20: parts with and without a lineitem in an urgent order."""
+    part, li, orders = (table(spark, sf_dir, t) for t in ("part", "lineitem", "orders"))
+    urgent = li.join(orders.where(F.col("o_orderpriority") == URGENT), li.l_orderkey == orders.o_orderkey, "left_semi")
+    with_u = part.join(urgent, part.p_partkey == urgent.l_partkey, "left_semi").select(
+        "p_partkey", F.lit(True).alias("in_urgent"))
+    without = part.join(urgent, part.p_partkey == urgent.l_partkey, "left_anti").select(
+        "p_partkey", F.lit(False).alias("in_urgent"))
+    return with_u.unionByName(without)
+
+
+# ---------------------------------------------------------------- models
+
+# Fixed values of the test binding: raw class weights as functions of the score,
+# deliberately non-monotone in the B class.
+PROB_CLASSES = ["B", "C", "D", "E"]
+
+
+def q29_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    foods = scored_parts(spark, sf_dir).select("fdc_id", "score")
+    fl = F.floor("score")
+    w = {"B": 1 + F.pmod(fl, F.lit(7)), "C": F.lit(2), "D": 1 + F.pmod(fl, F.lit(3)), "E": F.lit(3)}
+    tot = w["B"] + w["C"] + w["D"] + w["E"]
+    probs = foods.withColumns({f"prob_{g}": (w[g] / tot).cast("double") for g in PROB_CLASSES})
+    return models.monotone_ab(probs, "score", [f"prob_{g}" for g in PROB_CLASSES], key="fdc_id")
+
+
+def q29_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + W3 + F15: the monotone A/B step over formula probabilities."""
+    p = q29_probabilities(spark, sf_dir)
+    return p.select("fdc_id", r6("score").alias("score"), *[r6(f"prob_{g}").alias(f"prob_{g}") for g in PROB_CLASSES],
+                    r6("prob_AB").alias("prob_AB"))
+
+
+# Fixed values of the test binding: driver coefficients per scaled feature.
+DRIVER_COEFS = {
+    "protein_g_per100g": 0.8, "fiber_g_per100g": 0.6, "potassium_mg_per100g": 0.3, "sugar_g_per100g": -0.4,
+    "sodium_mg_per100g": -0.5, "sat_fat_g_per100g": -0.7, "energy_kcal_per100g": -0.2,
+}
+
+
+def q30_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: top-3 positive and negative drivers from fixed coefficients x q17 features."""
+    work, use = part_features(spark, sf_dir)
+    sc = stats.robust_scale(work, use, suffix="")
+    contrib = [(c, F.col(c) * F.lit(DRIVER_COEFS[c])) for c in use if c in DRIVER_COEFS]
+    pos, neg = models.top_drivers(contrib)
+    return sc.select("fdc_id", F.array_join(pos, ",").alias("positive"), F.array_join(neg, ",").alias("negative"))
+
+
+def q31_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model feature frame over the parts."""
+    ff = models.feature_frame(substitution_foods(spark, sf_dir))
+    fl = models.feature_columns()
+    return ff.select("fdc_id", *[r6(c).alias(c) for c in fl], r6("score").alias("score"), "grade", "is_healthy",
+                     "form", "food_category", r6("kcal_per_serv").alias("kcal_per_serv"),
+                     r6("sodium_mg_perserving").alias("sodium_mg_perserving"),
+                     r6("fiber_g_perserving").alias("fiber_g_perserving"))
+
+
+def q32_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M2 + M5 + M9: grade calibration on score, probabilities per part."""
+    ff = models.feature_frame(scored_parts(spark, sf_dir))
+    info = models.train_calibration(ff)
+    probs = models.grade_probabilities(info, ff.select("fdc_id", "score", "grade"))
+    pcols = [c for c in probs.columns if c.startswith("prob_")]
+    return probs.select("fdc_id", "grade", *[r6(c).alias(c) for c in pcols],
+                        F.lit(info["cv_log_loss"]).alias("cv_log_loss"))
+
+
+def q33_driver_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + M4 + P15 + M7 + M9: elastic net on is_healthy, its prediction and
+    top drivers for every part."""
+    ff = models.feature_frame(scored_parts(spark, sf_dir), healthy=("A", "B"))
+    m = models.train_driver_model(ff)
+    pos, neg = models.top_drivers(models.contributions(ff, m))
+    return ff.select("fdc_id", "is_healthy", r6(models.predict_enet(m, ff)).alias("healthy_pred"),
+                     F.array_join(pos, ",").alias("positive"), F.array_join(neg, ",").alias("negative"),
+                     F.lit(m["cv_rmse"]).alias("cv_rmse"))
+
+
+CAP_ITEMS = 500
+CAP_SEED = 13
+
+
+def q34_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic seeded cap of the orders."""
+    return ranking.seeded_cap(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey",
+                              CAP_ITEMS, CAP_SEED)
+
+
 QUERIES = {
     "q01_contract": q01_contract,
     "q02_text_staging": q02_text_staging,
@@ -428,4 +572,13 @@ QUERIES = {
     "q23_fuzzy": q23_fuzzy,
     "q24_page": q24_page,
     "q25_compare": q25_compare,
+    "q26_quality": q26_quality,
+    "q27_joins": q27_joins,
+    "q28_semi_anti": q28_semi_anti,
+    "q29_monotone": q29_monotone,
+    "q30_drivers": q30_drivers,
+    "q31_features": q31_features,
+    "q32_calibration": q32_calibration,
+    "q33_driver_model": q33_driver_model,
+    "q34_cap": q34_cap,
 }

@@ -422,6 +422,91 @@ SELECT nutrient, label, position, fdc_id, round(value, 6) AS value,
   abs(value - target) <= 1e-8 + 1e-5 * abs(target) AS is_best FROM t"""
 
 
+
+_w29 = {"B": "1 + (floor(score) % 7)", "C": "2", "D": "1 + (floor(score) % 3)", "E": "3"}
+PROBS29 = f"""{SCORED},
+p0 AS (SELECT fdc_id, score, {", ".join(f"CAST({e} AS DOUBLE) AS w{g}" for g, e in _w29.items())} FROM scored),
+p1 AS (SELECT fdc_id, score, {", ".join(f"w{g} / (wB + wC + wD + wE) AS p{g}" for g in _w29)} FROM p0),
+p2 AS (SELECT *, max(pB) OVER (ORDER BY score, fdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS adj FROM p1),
+p3 AS (SELECT fdc_id, score, pB * (CASE WHEN pB > 0 THEN adj / pB ELSE 1.0 END) AS pB, pC, pD, pE FROM p2),
+p4 AS (SELECT *, CASE WHEN pB + pC + pD + pE = 0.0 THEN 1.0 ELSE pB + pC + pD + pE END AS tot FROM p3),
+probs AS (SELECT fdc_id, score, pB / tot AS prob_B, pC / tot AS prob_C, pD / tot AS prob_D, pE / tot AS prob_E,
+            pB / tot AS prob_AB FROM p4)"""
+
+Q29 = f"""WITH {PROBS29}
+SELECT fdc_id, round(score, 6) AS score, round(prob_B, 6) AS prob_B, round(prob_C, 6) AS prob_C,
+  round(prob_D, 6) AS prob_D, round(prob_E, 6) AS prob_E, round(prob_AB, 6) AS prob_AB FROM probs"""
+
+_edges18 = Q18[len("WITH "):Q18.index("SELECT vec_id, neighbor_id, round")].rstrip()
+Q26 = f"""WITH {PROBS29},
+{_edges18},
+feats AS (SELECT * FROM scored)
+SELECT 'many_to_one' AS "check", d = 0 AS passed, round(CAST(d AS DOUBLE), 6) AS value
+  FROM (SELECT count(*) AS d FROM (SELECT p_partkey FROM part GROUP BY p_partkey HAVING count(*) > 1))
+UNION ALL
+SELECT 'unit_coverage', s <= 0.02, round(s, 6) FROM (
+  SELECT coalesce(avg(CASE WHEN coalesce(h.has, 0) = 0 THEN 1.0 ELSE 0.0 END), 0.0) AS s FROM lineitem l
+  LEFT JOIN (SELECT p_partkey, max(CASE WHEN p_name IS NOT NULL THEN 1 ELSE 0 END) AS has FROM part GROUP BY p_partkey) h
+  ON l.l_partkey = h.p_partkey)
+UNION ALL
+SELECT 'non_empty', n > 0, round(CAST(n AS DOUBLE), 6) FROM (SELECT count(*) AS n FROM lineitem)
+UNION ALL
+SELECT 'key_unique', d = 0, round(CAST(d AS DOUBLE), 6) FROM (SELECT count(*) - count(DISTINCT s_suppkey) AS d FROM supplier)
+UNION ALL
+SELECT 'score_range', coalesce(bool_and(coalesce(score, 0.0) >= 0.0 AND coalesce(score, 0.0) <= 100.0), true),
+  round(max(coalesce(score, 0.0)), 6) FROM scored
+UNION ALL
+SELECT 'completeness', v >= 0.0, round(v, 6) FROM (
+  SELECT avg(CASE WHEN {" AND ".join(f"{f} IS NOT NULL" for f in FEATS)} THEN 1.0 ELSE 0.0 END) AS v FROM scored)
+UNION ALL
+SELECT 'similarity_range', b = 0, round(CAST(b AS DOUBLE), 6) FROM (
+  SELECT count_if(NOT (sim > 0 AND sim <= 1)) AS b FROM r WHERE rn <= 10)
+UNION ALL
+SELECT 'monotone', coalesce(m >= -1e-4, true), round(m, 6) FROM (
+  SELECT min(prob_AB - prev) AS m FROM (
+    SELECT prob_AB, lag(prob_AB) OVER (ORDER BY score, fdc_id) AS prev FROM probs))
+UNION ALL
+SELECT 'flag_domain', b = 0, round(CAST(b AS DOUBLE), 6) FROM (
+  SELECT count_if(penalty_estimated NOT IN (0, 1)) AS b FROM scored)"""
+
+Q27 = """WITH per AS (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey)
+SELECT c.c_custkey, n.n_name, r.r_name, coalesce(per.n_orders, 0) AS n_orders, round(per.total, 6) AS total
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN per ON c.c_custkey = per.o_custkey"""
+
+Q28 = f"""WITH u AS (SELECT l.l_partkey FROM lineitem l WHERE EXISTS (
+    SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderpriority = {_q(B.URGENT)}))
+SELECT p_partkey, true AS in_urgent FROM part WHERE p_partkey IN (SELECT l_partkey FROM u)
+UNION ALL
+SELECT p_partkey, false AS in_urgent FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM u)"""
+
+_u30 = " UNION ALL ".join(
+    f"SELECT fdc_id, {_q(f)} AS f, {i} AS ord, {f}_scaled * {B.DRIVER_COEFS[f]!r} AS v FROM sc"
+    for i, f in enumerate(FEATS) if f in B.DRIVER_COEFS)
+Q30 = f"""WITH {SCALED},
+u AS ({_u30}),
+pos AS (SELECT fdc_id, string_agg(f, ',' ORDER BY rn) AS positive FROM (
+  SELECT fdc_id, f, row_number() OVER (PARTITION BY fdc_id ORDER BY v DESC, ord) AS rn FROM u WHERE v > 0)
+  WHERE rn <= 3 GROUP BY fdc_id),
+neg AS (SELECT fdc_id, string_agg(f, ',' ORDER BY rn) AS negative FROM (
+  SELECT fdc_id, f, row_number() OVER (PARTITION BY fdc_id ORDER BY v ASC, ord) AS rn FROM u WHERE v < 0)
+  WHERE rn <= 3 GROUP BY fdc_id)
+SELECT sc.fdc_id, coalesce(pos.positive, '') AS positive, coalesce(neg.negative, '') AS negative
+FROM sc LEFT JOIN pos ON sc.fdc_id = pos.fdc_id LEFT JOIN neg ON sc.fdc_id = neg.fdc_id"""
+
+_base31 = ", ".join(f"round({src}, 6) AS {feat}" for feat, src in B.BASE_FEATURE_MAP)
+Q31 = f"""WITH {FORMED}
+SELECT fdc_id, {_base31},
+  round((coalesce(mono_fat_g_per100g, 0.0) + coalesce(poly_fat_g_per100g, 0.0)) / (coalesce(sat_fat_g_per100g, 0.0) + 1e-6), 6)
+    AS unsat_sat_ratio,
+  round(energy_kcal_per100g, 6) AS energy_density, round(nutrition_score, 6) AS score, grade,
+  CASE WHEN grade IN ('A', 'B') THEN 1 ELSE 0 END AS is_healthy, form, food_category,
+  round(kcal_per_serv, 6) AS kcal_per_serv, round(sodium_mg_perserving, 6) AS sodium_mg_perserving,
+  round(fiber_g_perserving, 6) AS fiber_g_perserving
+FROM formed"""
+
+
 ORACLE = {
     "q01_contract": Q01,
     "q02_text_staging": Q02,
@@ -447,4 +532,10 @@ ORACLE = {
     "q22_ranked_search": Q22,
     "q24_page": Q24,
     "q25_compare": Q25,
+    "q26_quality": Q26,
+    "q27_joins": Q27,
+    "q28_semi_anti": Q28,
+    "q29_monotone": Q29,
+    "q30_drivers": Q30,
+    "q31_features": Q31,
 }
