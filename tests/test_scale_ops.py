@@ -72,3 +72,18 @@ def test_page(spark):
     got = [r["id"] for r in ranking.page(df, [("s", "desc"), ("id", "asc")], 2, 25).collect()]
     exp = sorted(range(60), key=lambda i: (-(i % 7), i))[25:50]
     assert got == exp
+
+
+@pytest.mark.parametrize("accuracy", [10, 20000])
+def test_exact_quantiles_match_numpy(spark, accuracy):
+    from vittles.operators import stats
+
+    rng = np.random.default_rng(11)
+    a = rng.integers(0, 50, 997).astype(float)  # heavy ties
+    b = rng.normal(size=10)
+    pdf = pd.DataFrame({"g": ["a"] * len(a) + ["b"] * len(b), "v": np.r_[a, b]})
+    q = stats.exact_quantiles(spark.createDataFrame(pdf), "g", "v", [0.1, 0.25, 0.5, 0.9], accuracy=accuracy)
+    got = {(r["g"], r["p"]): r["quantile"] for r in q.collect()}
+    for g, x in (("a", a), ("b", b)):
+        for p in (0.1, 0.25, 0.5, 0.9):
+            assert got[(g, p)] == pytest.approx(np.quantile(x, p), abs=1e-12)

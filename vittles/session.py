@@ -53,5 +53,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def spread(df, min_bytes: int = SPREAD_MIN_BYTES):
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A file with one row group is read by one task, which would then run all
+    per-row work (explodes, partial aggregation) alone.  Large inputs have
+    many splits and are returned unchanged, so this never adds a shuffle at
+    scale; tiny inputs are not worth moving either.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(str(size)) >= min_bytes else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
