@@ -10,6 +10,7 @@ are seven measures derived from every ``lineitem`` row of the part.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -319,10 +320,10 @@ def q18_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("id").alias("vec_id"), "neighbor_id", r6("sim").alias("cos_sim"))
 
 
-def part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def part_edges(spark: SparkSession, sf_dir: str, foods: DataFrame | None = None) -> DataFrame:
     """R1 over the part features (no cap needed below 250,000 rows)."""
-    return neighbors.build_index(scored_parts(spark, sf_dir), NEIGHBOUR_FEATURES, min_feats=MIN_FEATURES,
-                                 k=N_NEIGHBOURS)
+    foods = scored_parts(spark, sf_dir) if foods is None else foods
+    return neighbors.build_index(foods, NEIGHBOUR_FEATURES, min_feats=MIN_FEATURES, k=N_NEIGHBOURS)
 
 
 def substitution_foods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,14 +337,16 @@ def substitution_foods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q19_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: three-tier ranked substitutions for every part."""
-    subs = substitute.substitutions(substitution_foods(spark, sf_dir), part_edges(spark, sf_dir), k=N_SUBSTITUTES)
+    foods = substitution_foods(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    subs = substitute.substitutions(foods, part_edges(spark, sf_dir, foods), k=N_SUBSTITUTES)
     return subs.select("fdc_id", "neighbor_id", r6("score").alias("score"), r6("score_gain").alias("score_gain"),
                        "grade", "why", "tier", "rank")
 
 
 def q20_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Swap coverage of the 500 lowest-scored D/E parts."""
-    cov = substitute.swap_coverage(scored_parts(spark, sf_dir), part_edges(spark, sf_dir))
+    foods = scored_parts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    cov = substitute.swap_coverage(foods, part_edges(spark, sf_dir, foods))
     return cov.select("covered", "total", r6("coverage").alias("coverage"))
 
 
