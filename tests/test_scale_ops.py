@@ -65,6 +65,9 @@ def test_seeded_cap_is_deterministic(spark):
     a = sorted(r[0] for r in ranking.seeded_cap(df, "k", 100, 13).collect())
     b = sorted(r[0] for r in ranking.seeded_cap(df, "k", 100, 13).collect())
     assert a == b and len(a) == 100 and len(set(a)) == 100
+    h = F.xxhash64(F.col("k"), F.lit(13))
+    ref = sorted(r[0] for r in df.withColumn("h", h).orderBy("h", "k").limit(100).select("k").collect())
+    assert a == ref
 
 
 def test_page(spark):

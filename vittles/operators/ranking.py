@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -96,21 +97,36 @@ def page_count(total: Column, page_size: int = 25) -> Column:
     return F.greatest(F.lit(1), F.ceil(total / F.lit(float(page_size)))).cast("int")
 
 
-def seeded_cap(df: DataFrame, key: str, max_items: int, seed: int) -> DataFrame:
+def seeded_cap(df: DataFrame, key: str, max_items: int, seed: int, accuracy: int = 10000) -> DataFrame:
     """Deterministic cap to ``max_items`` rows by a seeded hash order.
 
     Same size and determinism as a seeded uniform sample; the members differ
-    from NumPy's generator, which cannot be reproduced.
+    from NumPy's generator, which cannot be reproduced.  A sketch of the hash
+    finds a threshold just above the cut, so the final ordered limit sees
+    about ``max_items`` rows instead of ``max_items`` per task.
     """
     h = F.xxhash64(F.col(key), F.lit(int(seed)))
-    return df.withColumn("_h", h).orderBy(F.col("_h"), F.col(key)).limit(int(max_items)).drop("_h")
+    hashed = df.withColumn("_h", h)
+    n = hashed.count()
+    if n <= max_items:
+        return hashed.drop("_h")
+    frac = min(1.0, max_items / n + 2.0 / accuracy)
+    t = hashed.agg(F.percentile_approx("_h", F.lit(frac), accuracy)).first()[0]
+    cand = hashed.where(F.col("_h") <= F.lit(t))
+    if cand.count() < max_items:
+        cand = hashed
+    return cand.orderBy(F.col("_h"), F.col(key)).limit(int(max_items)).drop("_h")
 
 
 def _range_partitioned(df: DataFrame, order: Order, partitions: int | None) -> DataFrame:
     """Range-partition on the full order so a value shared by a third of the
     rows is split by the trailing key; ``_pid`` is the ordered range index."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *sort_cols(order)).withColumn("_pid", F.spark_partition_id())
+    # persisted so the per-row branch and the per-partition summary read one
+    # range assignment (spark_partition_id is non-deterministic, so Spark
+    # would not reuse the exchange); spills to disk, recomputed if lost
+    return df.repartitionByRange(n, *sort_cols(order)).withColumn("_pid", F.spark_partition_id()) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def prefix_max(df: DataFrame, order: Order, value: str, out: str, partitions: int | None = None) -> DataFrame:
