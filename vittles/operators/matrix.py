@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from vittles.functions.scalar import blank_to_null, nan_to_null, to_double, to_long_id
 from vittles.operators.ranking import first_per_key
+from vittles.session import broadcast_if_small
 
 
 def coerce_facts(df: DataFrame, key: str, item: str, amount: str) -> DataFrame:
@@ -91,7 +92,7 @@ def primary_servings(
     """
     p = portions
     if units is not None:
-        u = F.broadcast(units.select(F.col("id").alias("_uid"), F.col("name").alias("_unit_name")))
+        u = broadcast_if_small(units.select(F.col("id").alias("_uid"), F.col("name").alias("_unit_name")))
         p = p.join(u, F.col(unit_id) == F.col("_uid"), "left")
         unit_name = F.col("_unit_name")
     else:

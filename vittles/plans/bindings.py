@@ -18,7 +18,7 @@ from vittles.functions.scalar import r6, to_double, to_long_id
 from vittles.operators import (matrix, models, neighbors, quality, ranking, scorecard, search, stats, substitute,
                                units)
 from vittles.plans.fdc import BASE_FEATURE_MAP, CANONICAL_ORDER, NEIGHBOUR_FEATURES
-from vittles.session import table
+from vittles.session import broadcast_if_small, table
 from vittles.sources import contracts
 
 # Fixed values of the test binding: which lineitem measure plays which nutrient
@@ -268,7 +268,7 @@ def q14_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per (segment with NULL as Unknown, nation)."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    df = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+    df = c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey, "left").select(
         F.expr("nullif(c_mktsegment, 'MACHINERY')").alias("food_category"), F.col("n_name").alias("wweia_category"))
     return stats.group_counts(df, ["food_category", "wweia_category"])
 
@@ -447,12 +447,9 @@ def q27_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
                       r6("total").alias("total"))
 
 
-SMALL_DIMENSION_ROWS = 100_000
-
-
 def _small(df: DataFrame) -> DataFrame:
     """Broadcast a dimension only after checking its row count."""
-    return F.broadcast(df) if df.count() <= SMALL_DIMENSION_ROWS else df
+    return broadcast_if_small(df)
 
 
 URGENT = "1-URGENT"

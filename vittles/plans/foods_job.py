@@ -18,6 +18,7 @@ from vittles.operators import matrix, models, neighbors, quality, scorecard, sta
 from vittles.plans.fdc import CANONICAL_NUTRIENTS, CANONICAL_ORDER, LIQUID_KEYWORDS, NEIGHBOUR_FEATURES, RECO_DEFAULTS
 from vittles.sources import io
 from vittles.sources.contracts import Contract
+from vittles.session import broadcast_if_small
 
 # Per-file renames applied before the contract check, and the
 # required columns of each raw file, in order.
@@ -133,8 +134,7 @@ def build_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True
     ds = matrix.per_serving(ds, CANONICAL_ORDER)
     ds = ds.withColumn("added_sugar_missing", matrix.missing_flag("added_sugar_g_per100g"))
     overrides = io.read_overrides(spark, f"{paths.dictionaries_dir}/form_overrides.csv")
-    ds = ds.join(F.broadcast(overrides.withColumnRenamed("form", "_override")), "fdc_id", "left") \
-        if overrides.count() <= 1_000_000 else ds.join(overrides.withColumnRenamed("form", "_override"), "fdc_id", "left")
+    ds = ds.join(broadcast_if_small(overrides.withColumnRenamed("form", "_override")), "fdc_id", "left")
     ds = ds.withColumn("form", matrix.form_tag(["description", "food_category", "wweia_category"], LIQUID_KEYWORDS,
                                                override="_override")).drop("_override")
     per100 = [f"{n}_per100g" for n in CANONICAL_ORDER]
@@ -156,7 +156,7 @@ def _category(food: DataFrame, cat: DataFrame) -> tuple[DataFrame, bool]:
         return food.withColumnRenamed("food_category_id", "food_category"), False
     c = cat.select(to_long_id("id").alias("_cid"), F.col("description").alias("food_category"))
     out = food.withColumn("_fcid", to_long_id("food_category_id"))
-    out = out.join(F.broadcast(c) if c.count() <= 1_000_000 else c, out["_fcid"] == c["_cid"], "left")
+    out = out.join(broadcast_if_small(c), out["_fcid"] == c["_cid"], "left")
     return out.drop("_fcid", "_cid"), True
 
 
@@ -168,7 +168,7 @@ def _wweia(spark: SparkSession, paths: Paths, food: DataFrame) -> DataFrame:
     w = w.select(to_long_id("wweia_food_category_id").alias("_wid"),
                  F.col("wweia_food_category_description").alias("wweia_category"))
     out = food.withColumn("_wk", to_long_id("wweia_food_category_id"))
-    return out.join(F.broadcast(w) if w.count() <= 1_000_000 else w, out["_wk"] == w["_wid"], "left").drop("_wk", "_wid")
+    return out.join(broadcast_if_small(w), out["_wk"] == w["_wid"], "left").drop("_wk", "_wid")
 
 
 def diagnostics(dataset: DataFrame) -> dict[str, DataFrame]:

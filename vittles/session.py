@@ -74,3 +74,14 @@ def spread(df, min_bytes: int = SPREAD_MIN_BYTES):
 
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast a dimension only after counting it; above the bound it stays
+    a shuffle join (AQE may still choose broadcast from runtime sizes)."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
