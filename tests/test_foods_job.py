@@ -94,3 +94,17 @@ def test_dataset(fdc, spark):
                              quality.flag_domain(scored, "penalty_estimated")])
     quality.enforce(checks)
     assert scored.where("nutrition_score < 0 or nutrition_score > 100").count() == 0
+
+
+def test_run_writes_outputs(fdc, spark):
+    _, _, _, paths = fdc
+    out = foods_job.run(spark, paths, k=3)
+    edges = spark.read.parquet(out["neighbours"])
+    assert set(edges.columns) == {"fdc_id", "neighbor_id", "cos_sim", "base_score"}
+    assert edges.where("fdc_id = neighbor_id").count() == 0
+    scored = spark.read.parquet(out["scored"])
+    assert scored.count() == 6 and "grade" in scored.columns
+    for name in ("missingness", "nutrient_stats", "food_groups", "schema", "nutrient_mapping"):
+        assert spark.read.parquet(f"{paths.processed_dir}/{name}.parquet").count() > 0
+    metrics = {r["metric"]: r["value"] for r in spark.read.json(f"{paths.processed_dir}/metrics.json").collect()}
+    assert set(metrics) == {"calibration_log_loss", "elastic_net_rmse"}

@@ -64,12 +64,15 @@ def spread(df, min_bytes: int = SPREAD_MIN_BYTES):
     many splits and are returned unchanged, so this never adds a shuffle at
     scale; tiny inputs are not worth moving either.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        spark = df.sparkSession
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - sessions without JVM access keep the scan as is
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) >= min_bytes else df
+    return df.repartition(cores) if size >= min_bytes else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):
