@@ -37,6 +37,14 @@ def to_double(c: str | Column) -> Column:
     return F.when(s.rlike(NUMERIC_TEXT), s.try_cast("double"))
 
 
+def to_double_strict(c: str | Column) -> Column:
+    """Text -> double; text that is not a number raises (NULL stays NULL)."""
+    c = col_(c)
+    s = F.trim(c.cast("string"))
+    bad = c.isNotNull() & ~s.rlike(NUMERIC_TEXT)
+    return F.when(bad, F.raise_error(F.concat(F.lit("not a number: "), s))).otherwise(s.try_cast("double"))
+
+
 def to_long_id(c: str | Column) -> Column:
     """Ids coerced through double, so ``"12.0"`` is a valid id."""
     d = to_double(c)

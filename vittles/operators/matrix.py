@@ -1,5 +1,8 @@
 """Long nutrient facts -> one wide row per item.
 
+The reference's row-apply functions (form inference, row conversion; U3)
+are column expressions here.
+
 Shuffle plan of ``long_to_wide``: one exchange on (key, name, amount) for the
 de-duplication and one on key for the pivot, both with map-side partial
 aggregation, so a key holding a third of the facts is combined before it

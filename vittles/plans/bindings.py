@@ -546,6 +546,17 @@ def q34_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
                               CAP_ITEMS, CAP_SEED)
 
 
+
+# Fixed values of the test binding: keyword groups over part names.
+PART_KEYWORD_GROUPS = {"anvils": r"\banvil", "bolts": r"bolt", "hot_or_cold": r"^(hot|cold) ", "gizmo_widget": r"gizmo|widget"}
+
+
+def q35_group_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 + W13: per keyword group, count, mean score and any A/B member."""
+    g = stats.keyword_groups(scored_parts(spark, sf_dir), "description", PART_KEYWORD_GROUPS)
+    return g.select("group", "n", r6("mean_score").alias("mean_score"), "any_in_set")
+
+
 QUERIES = {
     "q01_contract": q01_contract,
     "q02_text_staging": q02_text_staging,
@@ -581,4 +592,5 @@ QUERIES = {
     "q32_calibration": q32_calibration,
     "q33_driver_model": q33_driver_model,
     "q34_cap": q34_cap,
+    "q35_group_checks": q35_group_checks,
 }

@@ -507,6 +507,16 @@ SELECT fdc_id, {_base31},
 FROM formed"""
 
 
+
+_g35 = " UNION ALL ".join(
+    f"SELECT {_q(name)} AS grp, score, grade FROM scored WHERE regexp_matches(lower(description), {_q(pat)})"
+    for name, pat in B.PART_KEYWORD_GROUPS.items())
+Q35 = f"""WITH {SCORED},
+g AS ({_g35})
+SELECT grp AS "group", count(*) AS n, round(avg(score), 6) AS mean_score, bool_or(grade IN ('A', 'B')) AS any_in_set
+FROM g GROUP BY grp"""
+
+
 ORACLE = {
     "q01_contract": Q01,
     "q02_text_staging": Q02,
@@ -538,4 +548,5 @@ ORACLE = {
     "q29_monotone": Q29,
     "q30_drivers": Q30,
     "q31_features": Q31,
+    "q35_group_checks": Q35,
 }
