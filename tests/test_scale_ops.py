@@ -77,15 +77,16 @@ def test_page(spark):
     assert got == exp
 
 
-@pytest.mark.parametrize("accuracy", [10, 20000])
-def test_exact_quantiles_match_numpy(spark, accuracy):
+@pytest.mark.parametrize("accuracy,exact_limit", [(10, 0), (20000, 0), (None, 10**9)])
+def test_exact_quantiles_match_numpy(spark, accuracy, exact_limit):
     from vittles.operators import stats
 
     rng = np.random.default_rng(11)
     a = rng.integers(0, 50, 997).astype(float)  # heavy ties
     b = rng.normal(size=10)
     pdf = pd.DataFrame({"g": ["a"] * len(a) + ["b"] * len(b), "v": np.r_[a, b]})
-    q = stats.exact_quantiles(spark.createDataFrame(pdf), "g", "v", [0.1, 0.25, 0.5, 0.9], accuracy=accuracy)
+    q = stats.exact_quantiles(spark.createDataFrame(pdf), "g", "v", [0.1, 0.25, 0.5, 0.9], accuracy=accuracy,
+                              exact_limit=exact_limit)
     got = {(r["g"], r["p"]): r["quantile"] for r in q.collect()}
     for g, x in (("a", a), ("b", b)):
         for p in (0.1, 0.25, 0.5, 0.9):

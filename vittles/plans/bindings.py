@@ -72,7 +72,8 @@ def part_foods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scorecard.score_foods(part_foods(spark, sf_dir))
+    """Scored parts, persisted: most bound queries read them in several passes."""
+    return scorecard.score_foods(part_foods(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def q08_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,7 +338,7 @@ def substitution_foods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q19_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: three-tier ranked substitutions for every part."""
-    foods = substitution_foods(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    foods = substitution_foods(spark, sf_dir)
     subs = substitute.substitutions(foods, part_edges(spark, sf_dir, foods), k=N_SUBSTITUTES)
     return subs.select("fdc_id", "neighbor_id", r6("score").alias("score"), r6("score_gain").alias("score_gain"),
                        "grade", "why", "tier", "rank")
@@ -345,7 +346,7 @@ def q19_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q20_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Swap coverage of the 500 lowest-scored D/E parts."""
-    foods = scored_parts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    foods = scored_parts(spark, sf_dir)
     cov = substitute.swap_coverage(foods, part_edges(spark, sf_dir, foods))
     return cov.select("covered", "total", r6("coverage").alias("coverage"))
 
