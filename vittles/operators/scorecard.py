@@ -42,13 +42,17 @@ class Scorecard:
     extra: dict = field(default_factory=dict)
 
     def apply(self, df: DataFrame, grade_col: str = "grade", alias_col: str | None = "score") -> DataFrame:
-        cols: dict[str, Column] = {}
-        total = None
+        # component percentages first, as columns: the group means then refer
+        # to them instead of repeating each clipped expression (smaller code)
+        comps: dict[str, Column] = {}
         for g in self.groups:
-            parts = [capped_percent(c.value, c.reference) for c in g.components]
-            gcol = row_mean(parts, null_as=0.0)
-            cols[f"{g.name}_score"] = gcol
-        out = df.withColumns(cols)
+            for i, c in enumerate(g.components):
+                comps[f"_{g.name}_{i}"] = capped_percent(c.value, c.reference)
+        out = df.withColumns(comps)
+        total = None
+        cols = {f"{g.name}_score": row_mean([F.col(f"_{g.name}_{i}") for i in range(len(g.components))], null_as=0.0)
+                for g in self.groups}
+        out = out.withColumns(cols).drop(*comps.keys())
         for g in self.groups:
             term = F.lit(float(g.weight)) * F.col(f"{g.name}_score")
             total = term if total is None else total + term
