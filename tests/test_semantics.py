@@ -150,3 +150,30 @@ def test_substitution_tiers(spark):
     only = foods.where("fdc_id in (1, 4)")
     got = substitute.substitutions(only, edges.limit(0), k=5).where("fdc_id = 1").collect()
     assert [(r["neighbor_id"], r["tier"], r["why"]) for r in got] == [(4, 3, "score +55")]
+
+
+def test_small_operators(spark, tmp_path):
+    from vittles.operators import search
+
+    foods = spark.createDataFrame(
+        [(1, "Apple", 80.0, "B", "fruit"), (2, "Soda", 10.0, "E", "drink"), (3, "Kale", 85.0, "A", "veg")],
+        "fdc_id long, description string, score double, grade string, food_category string")
+    sel = spark.createDataFrame([(3,)], "fdc_id long")
+    opts = [r["label"] for r in search.compare_options(foods, sel).collect()]
+    assert opts == ["Apple (1)", "Soda (2)"]
+    search.export_results(foods, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 3
+    subs = spark.createDataFrame([(2, 1, 80.0, 70.0, "B", "score +70", 3, 1)],
+                                 "fdc_id long, neighbor_id long, score double, score_gain double, grade string, "
+                                 "why string, tier int, rank int")
+    assert substitute.worst_have_swaps(foods, subs, n=1).first()["passed"]
+    assert substitute.low_grade_coverage(foods, subs).first()["value"] == 1.0
+    e = substitute.enrich(subs, foods, ["fdc_id", "description", "score"]).first()
+    assert e["description"] == "Apple" and e["score_nb"] == 80.0
+    ds = spark.createDataFrame([(1, 10.0, 50.0)], "fdc_id long, protein_g_per100g double, serving_gram_weight double")
+    assert matrix.ensure_per_serving(ds, ["protein_g"]).first()["protein_g_perserving"] == 5.0
+    raw = spark.createDataFrame([(1, 20.0, 1.0, None, 4.0, 100.0)],
+                                "fdc_id long, protein_g_perserving double, fiber_g_perserving double, "
+                                "added_sugar_missing int, energy_kcal_per100g double, protein_g_per100g double")
+    ff = models.load_feature_frame(raw.withColumn("added_sugar_missing", F.lit(1)))
+    assert "is_healthy" in ff.columns and ff.first()["protein_g"] == 100.0

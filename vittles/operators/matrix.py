@@ -203,3 +203,13 @@ def _re_escape(s: str) -> str:
     import re
 
     return re.escape(s)
+
+
+def ensure_per_serving(dataset: DataFrame, names: Sequence[str], weight: str = "serving_gram_weight") -> DataFrame:
+    """Add ``<n>_perserving`` for every name whose per-100 g column
+    exists but whose per-serving column does not."""
+    missing = [n for n in names if f"{n}_per100g" in dataset.columns and f"{n}_perserving" not in dataset.columns]
+    if not missing or weight not in dataset.columns:
+        return dataset
+    w = F.when(F.col(weight) != 0, F.col(weight))
+    return dataset.withColumns({f"{n}_perserving": F.col(f"{n}_per100g") * (w / F.lit(100.0)) for n in missing})

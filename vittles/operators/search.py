@@ -215,3 +215,20 @@ def compare_table(selected: DataFrame, key: str, position: str, suffix: str = "_
 def badge(value: Column, unit: str = "", decimals: int = 0) -> Column:
     """A serving badge such as "120 kcal", a dash for NULL."""
     return format_number(value, decimals, f" {unit}" if unit else "")
+
+
+def compare_options(items: DataFrame, selected: DataFrame, *, key: str = "fdc_id", score: str = "score",
+                    text: str = "description", n: int = 1000) -> DataFrame:
+    """W14 + J13 + P29: items not yet selected (anti join), best ``n`` by
+    score, with the option label ``"{text} ({id})"``."""
+    from vittles.functions.scalar import option_label
+
+    rest = items.join(selected.select(key), key, "left_anti")
+    top = global_top_k(rest, [(score, "desc"), (key, "asc")], n)
+    return top.select(key, score, option_label(F.col(text), F.col(key)).alias("label"))
+
+
+def export_results(df: DataFrame, path: str, cols: Sequence[str] = ("fdc_id", "description", "food_category",
+                                                                    "score", "grade")) -> None:
+    """The search-result CSV (five columns, header)."""
+    df.select(*[c for c in cols if c in df.columns]).write.mode("overwrite").option("header", True).csv(path)
