@@ -177,3 +177,19 @@ def test_small_operators(spark, tmp_path):
                                 "added_sugar_missing int, energy_kcal_per100g double, protein_g_per100g double")
     ff = models.load_feature_frame(raw.withColumn("added_sugar_missing", F.lit(1)))
     assert "is_healthy" in ff.columns and ff.first()["protein_g"] == 100.0
+
+
+def test_substitution_null_base_groups(spark):
+    foods = spark.createDataFrame(
+        [(1, 20.0, "E", None, None, 100.0, 100.0), (2, 35.0, "E", "liquid", "X", 150.0, 400.0),
+         (3, 31.0, "E", "solid", "Y", 150.0, None), (4, 25.0, "E", "solid", "Y", 100.0, 10.0),
+         (5, 40.0, "D", "solid", None, 10.0, 10.0)],
+        "fdc_id long, score double, grade string, form string, food_category string, kcal_per_serv double, "
+        "sodium_mg_perserving double")
+    edges = spark.createDataFrame([], "fdc_id long, neighbor_id long, cos_sim double, base_score double")
+    got = substitute.substitutions(foods, edges, k=2).where("fdc_id = 1").orderBy("rank").collect()
+    # no form and no group on the base: tier 2 ranks every food with score >= 30
+    assert [(r["neighbor_id"], r["tier"]) for r in got] == [(5, 2), (2, 2)]
+    got = substitute.substitutions(foods, edges, k=5).where("fdc_id = 4").orderBy("rank").collect()
+    # solid / Y: only food 3 (31 < 35) fails the gain; tier 3 returns foods >= 35 anywhere
+    assert [(r["neighbor_id"], r["tier"]) for r in got] == [(5, 3), (2, 3)]
