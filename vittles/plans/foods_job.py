@@ -215,3 +215,29 @@ def run(spark: SparkSession, paths: Paths, *, k: int = RECO_DEFAULTS["n_neighbor
         .write.mode("overwrite").json(f"{out}/metrics.json")
     cal["model"].write().overwrite().save(f"{out}/calibration_model")
     return {"foods": f"{out}/foods_nutrients.parquet", "scored": scored_path, "neighbours": f"{out}/nn_index.parquet"}
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Thin job entry point: ``python -m vittles.plans.foods_job --data-root ... --out ...``.
+
+    Uses the active SparkSession (spark-submit) and its ``spark.checkpoint.dir``."""
+    import argparse
+    import json
+
+    ap = argparse.ArgumentParser(description="Stage, build, score, index and train on FDC-shaped tables.")
+    ap.add_argument("--data-root", required=True)
+    ap.add_argument("--staging-dir", required=True)
+    ap.add_argument("--out", required=True, help="processed output folder")
+    ap.add_argument("--dictionaries", default="", help="folder with form_overrides.csv (optional)")
+    ap.add_argument("--neighbours", type=int, default=RECO_DEFAULTS["n_neighbors"])
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("vittles-foods").getOrCreate()
+    from vittles.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    paths = Paths(a.data_root, a.staging_dir, a.out, a.dictionaries or f"{a.data_root}/dictionaries")
+    print(json.dumps(run(spark, paths, k=a.neighbours)))
+
+
+if __name__ == "__main__":
+    main()
