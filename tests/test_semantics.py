@@ -193,3 +193,12 @@ def test_substitution_null_base_groups(spark):
     got = substitute.substitutions(foods, edges, k=5).where("fdc_id = 4").orderBy("rank").collect()
     # solid / Y: only food 3 (31 < 35) fails the gain; tier 3 returns foods >= 35 anywhere
     assert [(r["neighbor_id"], r["tier"]) for r in got] == [(5, 3), (2, 3)]
+
+
+def test_point_lookup(spark):
+    from vittles.operators import search
+
+    items = spark.createDataFrame([(1, "a"), (2, "b")], "fdc_id long, d string")
+    assert [r[0] for r in search.point_lookup(items, spark.createDataFrame([(2,)], "x long")).collect()] == [2]
+    with pytest.raises(KeyError):
+        search.point_lookup(items, spark.createDataFrame([(3,)], "x long"))

@@ -232,3 +232,14 @@ def export_results(df: DataFrame, path: str, cols: Sequence[str] = ("fdc_id", "d
                                                                     "score", "grade")) -> None:
     """The search-result CSV (five columns, header)."""
     df.select(*[c for c in cols if c in df.columns]).write.mode("overwrite").option("header", True).csv(path)
+
+
+def point_lookup(items: DataFrame, ids: DataFrame, key: str = "fdc_id", strict: bool = True) -> DataFrame:
+    """P19 + P20: rows for a request table of ids (semi join); with
+    ``strict`` an absent id raises, as the single-id lookup does."""
+    req = ids.select(F.col(ids.columns[0]).alias(key))
+    if strict:
+        missing = req.join(items.select(key), key, "left_anti").limit(20).collect()
+        if missing:
+            raise KeyError(f"ids not found: {[r[0] for r in missing]}")
+    return items.join(req, key, "left_semi")
