@@ -202,3 +202,15 @@ def test_point_lookup(spark):
     assert [r[0] for r in search.point_lookup(items, spark.createDataFrame([(2,)], "x long")).collect()] == [2]
     with pytest.raises(KeyError):
         search.point_lookup(items, spark.createDataFrame([(3,)], "x long"))
+
+
+def test_labels_and_formats(spark):
+    from vittles.functions.scalar import format_number, humanise, option_label, parse_id, sanitize, tokens
+
+    df = spark.createDataFrame([("sat_fat_g", "Apple pie (123)", 12.345, None, "  Hot  Rod ")],
+                               "n string, lbl string, v double, nv double, q string")
+    r = df.select(humanise("n").alias("h"), parse_id("lbl").alias("id"), option_label(F.lit("Apple"), F.lit(7)).alias("o"),
+                  format_number("v", 1, " kcal").alias("f"), format_number("nv").alias("dash"),
+                  sanitize("nv").alias("s"), tokens("q").alias("t")).first()
+    assert (r["h"], r["id"], r["o"], r["f"], r["dash"], r["s"]) == ("Sat Fat G", 123, "Apple (7)", "12.3 kcal", "—", "")
+    assert list(r["t"]) == ["hot", "rod"]

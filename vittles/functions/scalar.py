@@ -131,7 +131,8 @@ def isclose(a: str | Column, b: str | Column, rtol: float = 1e-5, atol: float =
 def format_number(c: str | Column, decimals: int = 1, suffix: str = "", missing: str = "—") -> Column:
     """Fixed decimals plus suffix, a dash for NULL."""
     c = col_(c)
-    return F.coalesce(F.format_string(f"%.{int(decimals)}f{suffix}", c.cast("double")), F.lit(missing))
+    # format_string renders NULL as text, so test for NULL explicitly
+    return F.when(c.isNull(), F.lit(missing)).otherwise(F.format_string(f"%.{int(decimals)}f{suffix}", c.cast("double")))
 
 
 def tokens(q: str | Column) -> Column:
