@@ -88,3 +88,18 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
+    executor loss, truncates the plan).  Sessions without SparkContext access
+    fall back to a persisted (memory and disk) copy."""
+    from pyspark import StorageLevel
+
+    try:
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    except Exception:  # noqa: BLE001 - e.g. a session without a SparkContext
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        return out
