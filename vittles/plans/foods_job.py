@@ -192,6 +192,8 @@ def run(spark: SparkSession, paths: Paths, *, k: int = RECO_DEFAULTS["n_neighbor
     io.write_csv(ds, f"{out}/foods_nutrients.csv")
     for name, df in diagnostics(spark.read.parquet(f"{out}/foods_nutrients.parquet")).items():
         io.write_parquet(df, f"{out}/{name}.parquet")
+        if name == "food_groups":
+            io.write_csv(df, f"{out}/food_groups_csv")  # S11
     io.write_parquet(mapping, f"{out}/nutrient_mapping.parquet")
     # Scoring reads the built table and writes a new version next to it
     scored_path = io.versioned_path(f"{out}/foods_scored")
