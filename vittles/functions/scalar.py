@@ -79,14 +79,6 @@ def nonnull_count(cols: Iterable[str | Column]) -> Column:
     return _sum_left(parts) if parts else F.lit(0)
 
 
-def all_nonnull(cols: Iterable[str | Column]) -> Column:
-    parts = [col_(c).isNotNull() for c in cols]
-    out = F.lit(True)
-    for p in parts:
-        out = out & p
-    return out
-
-
 def row_mean(cols: Sequence[str | Column], null_as: float | None = 0.0) -> Column:
     """A10: mean across columns skipping NULL; all-null row -> ``null_as``.
 

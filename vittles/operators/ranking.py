@@ -93,10 +93,6 @@ def page(df: DataFrame, order: Order, page_number: int, page_size: int = 25) ->
     return df.orderBy(*sort_cols(order)).offset(start).limit(page_size)
 
 
-def page_count(total: Column, page_size: int = 25) -> Column:
-    return F.greatest(F.lit(1), F.ceil(total / F.lit(float(page_size)))).cast("int")
-
-
 def seeded_cap(df: DataFrame, key: str, max_items: int, seed: int, accuracy: int = 10000) -> DataFrame:
     """Deterministic cap to ``max_items`` rows by a seeded hash order.
 
