@@ -41,8 +41,11 @@ def long_to_wide(
 ) -> DataFrame:
     """A1 + A2: mean of the distinct amounts per (key, name), pivoted to a
     fixed column list.  Names without data give NULL columns; +-inf -> NULL."""
-    dedup = facts.select(key, name, amount).where(F.col(name).isin(list(names))).distinct()
-    aggs = [F.avg(F.when(F.col(name) == F.lit(n), F.col(amount))).alias(f"_{i}") for i, n in enumerate(names)]
+    # the fixed name list becomes a small integer code before the shuffles
+    # (narrower rows, integer hashing); 0 = not in the list
+    code = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(name)).cast("int")
+    dedup = facts.select(key, code.alias("_code"), F.col(amount).alias("_amt")).where(F.col("_code") > 0).distinct()
+    aggs = [F.avg(F.when(F.col("_code") == i + 1, F.col("_amt"))).alias(f"_{i}") for i in range(len(names))]
     wide = dedup.groupBy(key).agg(*aggs)
     return wide.select(key, *[nan_to_null(F.col(f"_{i}")).alias(f"{n}{suffix}") for i, n in enumerate(names)])
 
