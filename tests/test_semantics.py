@@ -214,3 +214,23 @@ def test_labels_and_formats(spark):
                   sanitize("nv").alias("s"), tokens("q").alias("t")).first()
     assert (r["h"], r["id"], r["o"], r["f"], r["dash"], r["s"]) == ("Sat Fat G", 123, "Apple (7)", "12.3 kcal", "—", "")
     assert list(r["t"]) == ["hot", "rod"]
+
+
+def test_search_semantics(spark):
+    from vittles.operators import search
+
+    items = spark.createDataFrame(
+        [(1, "Red Apple", "Acme", 50.0), (2, "Green apple juice", "Juicy", 70.0), (3, "Kale", "Acme", 90.0)],
+        "fdc_id long, description string, brand_owner string, nutrition_score double")
+    req = search.requests(spark, ["apple acme", "apple zzz", "", "k.le"])
+    got = {}
+    for r in search.token_search(items, req).collect():
+        got.setdefault(r["query_id"], set()).add(r["fdc_id"])
+    assert got == {1: {1}, 2: {1, 2}}  # AND over tokens; fallback to the first token; empty query -> nothing
+    rx = search.token_search(items, search.requests(spark, ["k.le"]), regex=True).collect()
+    assert [r["fdc_id"] for r in rx] == [3]
+    assert search.token_search(items, search.requests(spark, ["k.le"])).count() == 0  # literal by default
+    ranked = search.ranked_search(items, search.requests(spark, ["a", "apple"]), filter_cols=["description"], limit=2)
+    rows = sorted(ranked.collect(), key=lambda r: (r["query_id"], r["rank"]))
+    assert [(r["query_id"], r["fdc_id"]) for r in rows] == [(1, 3), (1, 2), (2, 1), (2, 2)]
+    assert rows[0]["match_score"] is None
