@@ -108,3 +108,13 @@ def test_run_writes_outputs(fdc, spark):
         assert spark.read.parquet(f"{paths.processed_dir}/{name}.parquet").count() > 0
     metrics = {r["metric"]: r["value"] for r in spark.read.json(f"{paths.processed_dir}/metrics.json").collect()}
     assert set(metrics) == {"calibration_log_loss", "elastic_net_rmse"}
+
+
+def test_cli_entry_point(fdc, spark, tmp_path, capsys):
+    _, _, _, paths = fdc
+    out = str(tmp_path / "cli_out")
+    foods_job.main(["--data-root", paths.data_root, "--staging-dir", str(tmp_path / "stage"), "--out", out,
+                    "--dictionaries", paths.dictionaries_dir, "--neighbours", "2"])
+    printed = capsys.readouterr().out.strip().splitlines()[-1]
+    assert '"neighbours"' in printed
+    assert spark.read.parquet(f"{out}/nn_index.parquet").groupBy("fdc_id").count().agg({"count": "max"}).first()[0] <= 2
