@@ -234,3 +234,16 @@ def test_search_semantics(spark):
     rows = sorted(ranked.collect(), key=lambda r: (r["query_id"], r["rank"]))
     assert [(r["query_id"], r["fdc_id"]) for r in rows] == [(1, 3), (1, 2), (2, 1), (2, 2)]
     assert rows[0]["match_score"] is None
+
+
+def test_compare_best_marks(spark):
+    from vittles.operators import search
+
+    sel = spark.createDataFrame([(1, 1, 10.0, 300.0, None), (2, 2, 12.0, 200.0, None), (3, 3, None, 200.000001, None)],
+                                "fdc_id long, position int, protein_g_per100g double, sodium_mg_per100g double, "
+                                "carbs_g_per100g double")
+    rows = search.compare_table(sel, "fdc_id", "position").collect()
+    best = {(r["nutrient"], r["fdc_id"]) for r in rows if r["is_best"]}
+    assert best == {("protein_g", 2), ("sodium_mg", 2), ("sodium_mg", 3)}  # max for protein, min (isclose) for sodium
+    assert not any(r["nutrient"] == "carbs_g" for r in rows)  # all-null nutrient dropped
+    assert {r["label"] for r in rows} == {"Protein", "Sodium"}
