@@ -247,3 +247,18 @@ def test_compare_best_marks(spark):
     assert best == {("protein_g", 2), ("sodium_mg", 2), ("sodium_mg", 3)}  # max for protein, min (isclose) for sodium
     assert not any(r["nutrient"] == "carbs_g" for r in rows)  # all-null nutrient dropped
     assert {r["label"] for r in rows} == {"Protein", "Sodium"}
+
+
+def test_mapping_rules(spark):
+    pats = units.pattern_table(spark, [("energy", "kcal", [r"\benergy\b"]), ("prot", "g", [r"\bnothing\b", r"protein"]),
+                                       ("also_prot", "g", [r"protein"])])
+    nut = spark.createDataFrame(
+        [(1, "Energy", "kJ", 100.0), (2, "Energy", "KCAL", 300.0), (3, "Energy", "kcal", None),
+         (4, "Protein", "G", 203.0), (5, "Protein", "mg", 1.0)],
+        "id long, name string, unit_name string, nutrient_nbr double")
+    m = {r["canonical_name"]: r for r in units.nutrient_mapping(nut, pats).collect()}
+    assert m["energy"]["nutrient_id"] == 3  # exact unit, and a missing number scores 0 (beats -300)
+    assert m["prot"]["nutrient_id"] == 4 and m["prot"]["matched_pattern"] == "protein"  # first matching pattern
+    f = {r["nutrient_id"]: r["canonical_name"] for r in units.mapping_with_factors(
+        units.nutrient_mapping(nut, pats), pats, nut).collect()}
+    assert f[4] == "also_prot"  # two names on one id: the later one wins
