@@ -262,3 +262,11 @@ def test_mapping_rules(spark):
     f = {r["nutrient_id"]: r["canonical_name"] for r in units.mapping_with_factors(
         units.nutrient_mapping(nut, pats), pats, nut).collect()}
     assert f[4] == "also_prot"  # two names on one id: the later one wins
+
+
+def test_options_word_boundary_and_unit_passthrough(spark):
+    df = spark.createDataFrame([("Boiled eggs", " Oz "), ("Olive oil", "µg")], "d string, u string")
+    r = df.select(matrix.form_tag(["d"], LIQUID_KEYWORDS, word_boundary=True).alias("f"),
+                  units.normalize_unit("u").alias("n")).collect()
+    assert [x["f"] for x in r] == ["solid", "liquid"]  # "oil" no longer matches inside "boiled"
+    assert [x["n"] for x in r] == ["oz", "ug"]  # unknown units pass through, trimmed and lower-cased
