@@ -4,19 +4,31 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vittles.llm import tree_bpe
+from vittles.llm import kd_sharding, pow2_packing, tree_bpe
 from vittles.llm.common import table
 
 
+def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = kd_sharding.kd_shards(table(spark, sf_dir, "documents"), n_shards=24)
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = tree_bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return tree_bpe.digests(encoded, ranks, public_tokenizers.PATTERN)
 
 
+def op9_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pow2_packing.packed_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op1_kd_sharding": op1_kd_sharding,
     "op7_tree_bpe": op7_tree_bpe,
+    "op9_pow2_packing": op9_pow2_packing,
 }
 
 ORACLE: dict[str, str] = {}
