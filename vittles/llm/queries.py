@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import chat_events, kd_sharding, pow2_packing, tree_bpe
+from vittles.llm import chat_events, kd_sharding, pow2_packing, secret_crf, tree_bpe
 from vittles.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op2_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_events.read_back(chat_events.render(chat_events.fold(events, ["turn", "sent", "step"])))
 
 
+def op3_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_crf.digests(secret_crf.scan(docs, secret_crf.train(docs)))
+
+
 def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = tree_bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -39,6 +44,7 @@ def op9_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_chat_events": op2_chat_events,
+    "op3_secret_crf": op3_secret_crf,
     "op7_tree_bpe": op7_tree_bpe,
     "op9_pow2_packing": op9_pow2_packing,
 }
