@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import chat_events, kd_sharding, pow2_packing, secret_crf, tree_bpe
+from vittles.llm import chat_events, kd_sharding, labelled, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
 from vittles.llm.common import table
 
 
@@ -31,12 +31,28 @@ def op3_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_crf.digests(secret_crf.scan(docs, secret_crf.train(docs)))
 
 
+def _predictions(scored: DataFrame, folds: int, held: int) -> DataFrame:
+    return scored.select("doc_id", labelled.held_out("doc_id", folds, held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_nb.train(docs, table(spark, sf_dir, "labels"))
+    return _predictions(toxicity_nb.score(docs, model), toxicity_nb.FOLDS, toxicity_nb.HELD)
+
+
 def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = tree_bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return tree_bpe.digests(encoded, ranks, public_tokenizers.PATTERN)
 
 
+def op8_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = rule_quality.train(docs, table(spark, sf_dir, "labels"))
+    return _predictions(rule_quality.score(docs.select("doc_id", "text"), rules), rule_quality.FOLDS, rule_quality.HELD)
+
+
 def op9_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pow2_packing.packed_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -45,7 +61,9 @@ QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_chat_events": op2_chat_events,
     "op3_secret_crf": op3_secret_crf,
+    "op5_toxicity_nb": op5_toxicity_nb,
     "op7_tree_bpe": op7_tree_bpe,
+    "op8_rule_quality": op8_rule_quality,
     "op9_pow2_packing": op9_pow2_packing,
 }
 
