@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import chat_events, kd_sharding, labelled, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
+from vittles.llm import chat_events, kd_sharding, labelled, lattice_dedup, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
 from vittles.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op3_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_crf.digests(secret_crf.scan(docs, secret_crf.train(docs)))
 
 
+def op4_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def _predictions(scored: DataFrame, folds: int, held: int) -> DataFrame:
     return scored.select("doc_id", labelled.held_out("doc_id", folds, held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_chat_events": op2_chat_events,
     "op3_secret_crf": op3_secret_crf,
+    "op4_lattice_dedup": op4_lattice_dedup,
     "op5_toxicity_nb": op5_toxicity_nb,
     "op7_tree_bpe": op7_tree_bpe,
     "op8_rule_quality": op8_rule_quality,
