@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import chat_events, kd_sharding, labelled, lattice_dedup, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
+from vittles.llm import chat_events, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
 from vittles.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op9_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pow2_packing.packed_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_chat_events": op2_chat_events,
@@ -70,6 +74,7 @@ QUERIES = {
     "op7_tree_bpe": op7_tree_bpe,
     "op8_rule_quality": op8_rule_quality,
     "op9_pow2_packing": op9_pow2_packing,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLE: dict[str, str] = {
