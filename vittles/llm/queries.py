@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import chat_events, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
+from vittles.llm import chat_events, jaccard_join, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
 from vittles.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op5_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(toxicity_nb.score(docs, model), toxicity_nb.FOLDS, toxicity_nb.HELD)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = tree_bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_secret_crf": op3_secret_crf,
     "op4_lattice_dedup": op4_lattice_dedup,
     "op5_toxicity_nb": op5_toxicity_nb,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_tree_bpe": op7_tree_bpe,
     "op8_rule_quality": op8_rule_quality,
     "op9_pow2_packing": op9_pow2_packing,
