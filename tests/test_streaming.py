@@ -3,6 +3,8 @@
 import uuid
 
 import pandas as pd
+import pytest
+from pyspark.errors import StreamingQueryException
 
 from vittles.plans.foods_job import contract
 from vittles.streaming.staging import stage_stream
@@ -21,5 +23,9 @@ def test_stage_stream_incremental(spark, tmp_path):
     assert stage_stream(spark, str(raw), c, out, name=name) == 2
     pd.DataFrame([[3, 11, 1003, 7.0] + [""] * 10], columns=cols).to_csv(raw / "part-2.csv", index=False)
     assert stage_stream(spark, str(raw), c, out, name=name, header_columns=cols) == 1
+    swapped = [cols[1], cols[0], *cols[2:]]
+    pd.DataFrame([[11, 4, 1003, 7.0] + [""] * 10], columns=swapped).to_csv(raw / "part-3.csv", index=False)
+    with pytest.raises(StreamingQueryException):
+        stage_stream(spark, str(raw), c, out, name=name, header_columns=cols)
     df = spark.read.parquet(out)
     assert df.count() == 3 and df.columns == c.required

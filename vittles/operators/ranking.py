@@ -1,4 +1,4 @@
-"""Ordering primitives with explicit tie keys.
+"""Ordering primitives with explicit tie keys.
 
 pandas answers "first row per key" and "top k" from row order; Spark has
 none, so every function here takes a total order.  Two rules hold for scale:
@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from vittles.session import cut_lineage
+
 Order = Sequence[tuple[str, str]]  # (column, "asc" | "desc")
 
 
@@ -93,36 +94,29 @@ def page(df: DataFrame, order: Order, page_number: int, page_size: int = 25) ->
     return df.orderBy(*sort_cols(order)).offset(start).limit(page_size)
 
 
-def seeded_cap(df: DataFrame, key: str, max_items: int, seed: int, accuracy: int = 10000) -> DataFrame:
-    """Deterministic cap to ``max_items`` rows by a seeded hash order.
-
-    Same size and determinism as a seeded uniform sample; the members differ
-    from NumPy's generator, which cannot be reproduced.  A sketch of the hash
-    finds a threshold just above the cut, so the final ordered limit sees
-    about ``max_items`` rows instead of ``max_items`` per task.
-    """
-    h = F.xxhash64(F.col(key), F.lit(int(seed)))
-    hashed = df.withColumn("_h", h)
-    n = hashed.count()
-    if n <= max_items:
-        return hashed.drop("_h")
-    frac = min(1.0, max_items / n + 2.0 / accuracy)
-    t = hashed.agg(F.percentile_approx("_h", F.lit(frac), accuracy)).first()[0]
-    cand = hashed.where(F.col("_h") <= F.lit(t))
-    if cand.count() < max_items:
-        cand = hashed
-    return cand.orderBy(F.col("_h"), F.col(key)).limit(int(max_items)).drop("_h")
-
-
 def _range_partitioned(df: DataFrame, order: Order, partitions: int | None) -> DataFrame:
     """Range-partition on the full order so a value shared by a third of the
     rows is split by the trailing key; ``_pid`` is the ordered range index."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # persisted so the per-row branch and the per-partition summary read one
+    # checkpointed so the per-row branch and the per-partition summary read one
     # range assignment (spark_partition_id is non-deterministic, so Spark
-    # would not reuse the exchange); spills to disk, recomputed if lost
-    return df.repartitionByRange(n, *sort_cols(order)).withColumn("_pid", F.spark_partition_id()) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # would not reuse the exchange)
+    return cut_lineage(df.repartitionByRange(n, *sort_cols(order)).withColumn("_pid", F.spark_partition_id()))
+
+
+def row_number_in_group(df: DataFrame, group: str, order: Order, out: str, partitions: int | None = None) -> DataFrame:
+    """1-based row number within each group in a total order, without one task
+    per group: rows are numbered inside the range partitions of (group, order),
+    and shifted by the group's rows in the partitions before (one row per group
+    and partition, broadcast)."""
+    r = _range_partitioned(df, [(group, "asc"), *order], partitions)
+    w = Window.partitionBy("_pid", group).orderBy(*sort_cols(order))
+    earlier = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = r.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col(group).alias("_bg"), F.col("_pid").alias("_bp"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    r = r.withColumn("_local", F.row_number().over(w)).join(
+        F.broadcast(counts), F.col(group).eqNullSafe(F.col("_bg")) & (F.col("_pid") == F.col("_bp")))
+    return r.withColumn(out, F.col("_local") + F.col("_before")).drop("_pid", "_bg", "_bp", "_before", "_local")
 
 
 def prefix_max(df: DataFrame, order: Order, value: str, out: str, partitions: int | None = None) -> DataFrame:
@@ -146,10 +140,9 @@ def lag_in_order(df: DataFrame, order: Order, value: str, out: str, partitions:
     partition's first row the last value of the previous non-empty one."""
     r = _range_partitioned(df, order, partitions)
     w = Window.partitionBy("_pid").orderBy(*sort_cols(order))
-    r = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    okey = F.struct(*[F.col(c) if d == "asc" else -F.col(c) for c, d in order])
-    last = r.groupBy("_pid").agg(F.max_by(F.col(value), okey).alias("_last"))
+    r = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
+    last = r.groupBy("_pid").agg(F.max_by(F.col(value), F.col("_rn")).alias("_last"))
     prev = last.withColumn("_pprev", F.lag("_last").over(Window.orderBy("_pid"))).select("_pid", "_pprev")
     r = r.join(F.broadcast(prev), "_pid", "left")
-    val = F.when(F.col("_first"), F.col("_pprev")).otherwise(F.col("_lag"))
-    return r.withColumn(out, val).drop("_pid", "_lag", "_first", "_pprev")
+    val = F.when(F.col("_rn") == 1, F.col("_pprev")).otherwise(F.col("_lag"))
+    return r.withColumn(out, val).drop("_pid", "_lag", "_rn", "_pprev")

@@ -1,28 +1,23 @@
 """Search, filters, paging and comparison as batch queries (R3-R6, P16-P20,
-P25-P27, W7-W11, W14, U2, F13, F14).
+P25-P27, W7-W11, W14, F13, F14).
 
 Queries arrive as a request table ``(query_id, q)``.  Matching a request
-against item text is a predicate join; the request side is broadcast only
-after its row count is checked against ``max_requests``.  Per-query
-"head(n)" is a salted two-stage top-k, so a query matching a third of the
-table is ranked in many tasks.
+against item text is an equi-join on character grams, checked afterwards.
+Per-query "head(n)" is a salted two-stage top-k, so a query matching a third
+of the table is ranked in many tasks.
 """
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from vittles.functions.scalar import format_number, humanise, isclose, tokens
+from vittles.operators import ranking
 from vittles.operators.ranking import global_top_k, top_k_per_group
 
-MAX_REQUESTS = 100_000
-
 # Friendly nutrient labels, the nutrients shown by the
 # compare and detail views (in order) and those where higher is better.
 FRIENDLY_NAMES = {
@@ -43,16 +38,30 @@ def requests(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(i + 1, q) for i, q in enumerate(queries)], "query_id long, q string")
 
 
-def _checked_broadcast(req: DataFrame, max_requests: int) -> DataFrame:
-    n = req.count()
-    if n > max_requests:
-        raise ValueError(f"{n} search requests exceed the broadcast bound {max_requests}; split the batch")
-    return F.broadcast(req)
+GRAM = 3
+
+
+def _grams(text: Column, n: int) -> Column:
+    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.substring(text, i, F.lit(n)))
+
+
+def _lower(c: str) -> Column:
+    return F.lower(F.coalesce(F.col(c), F.lit("")))
 
 
-def _contains(text: Column, needle: Column, regex: bool) -> Column:
-    t = F.lower(F.coalesce(text, F.lit("")))
-    return F.regexp(t, needle) if regex else F.contains(t, needle)
+def containing(items: DataFrame, text_cols: Sequence[str], needles: DataFrame, needle: str) -> DataFrame:
+    """Items joined with the needles contained in any of the lower-cased text
+    columns.
+
+    Each needle is looked up by one gram, its first ``GRAM`` characters or all
+    of a shorter one, among the distinct grams of an item's texts: an equi-join,
+    then checked with ``contains``.  Empty needles match nothing."""
+    cols = [c for c in text_cols if c in items.columns]
+    grams = F.array_distinct(F.concat(*[_grams(_lower(c), n) for c in cols for n in range(1, GRAM + 1)]))
+    probe = needles.where(F.length(needle) > 0).withColumn("_probe", F.substring(needle, 1, GRAM))
+    near = items.withColumn("_gram", F.explode(grams)).join(probe, F.col("_gram") == F.col("_probe"))
+    return near.where(coarse_filter(cols, F.col(needle))).drop("_gram", "_probe")
 
 
 def token_search(
@@ -62,28 +71,34 @@ def token_search(
     key: str = "fdc_id",
     name: str = "description",
     brand: str = "brand_owner",
-    max_rows: int = 500,
+    max_rows: int | None = None,
     regex: bool = False,
-    max_requests: int = MAX_REQUESTS,
 ) -> DataFrame:
     """P17 + F14: per query, items where every whitespace token is contained
     in name or brand (case-insensitive); when none match, items matching the
-    first token; then the first ``max_rows`` by key (T1).  Literal matching
-    by default; ``regex=True`` treats tokens as patterns (Q13)."""
+    first token.  All of them by default, or the first ``max_rows`` by key (T1)
+    for a caller that wants a page.  Literal matching by default;
+    ``regex=True`` treats tokens as patterns (Q13), which only a join of every
+    item with every pattern can answer."""
     toks = req.select("query_id", F.posexplode(tokens(F.col("q"))).alias("pos", "tok"))
     ntok = toks.groupBy("query_id").agg(F.count(F.lit(1)).alias("ntok"))
-    toks = _checked_broadcast(toks.join(ntok, "query_id"), max_requests)
-    hit = _contains(F.col(name), F.col("tok"), regex) | _contains(F.col(brand), F.col("tok"), regex)
-    m = items.select(key, name, brand).join(toks, hit)
+    toks = toks.join(ntok, "query_id")
+    texts = items.select(key, name, brand)
+    if regex:
+        m = texts.join(toks, F.regexp(_lower(name), F.col("tok")) | F.regexp(_lower(brand), F.col("tok")))
+    else:
+        m = containing(texts, [name, brand], toks, "tok")
     per = m.groupBy("query_id", key).agg(
         F.count_distinct("pos").alias("n_hit"), F.max("ntok").alias("ntok"),
         F.max((F.col("pos") == 0).cast("int")).alias("first_hit"))
     per = per.withColumn("all_hit", F.col("n_hit") == F.col("ntok"))
     any_all = per.groupBy("query_id").agg(F.max(F.col("all_hit").cast("int")).alias("any_all"))
-    per = per.join(F.broadcast(any_all), "query_id")
+    per = per.join(any_all, "query_id")
     chosen = per.where(F.when(F.col("any_all") == 1, F.col("all_hit")).otherwise(F.col("first_hit") == 1))
-    top = top_k_per_group(chosen.select("query_id", key), ["query_id"], [(key, "asc")], max_rows, salt_of=key)
-    return top.join(items, key).drop("rank")
+    chosen = chosen.select("query_id", key)
+    if max_rows is not None:
+        chosen = top_k_per_group(chosen, ["query_id"], [(key, "asc")], max_rows, salt_of=key).drop("rank")
+    return chosen.join(items, key)
 
 
 def coarse_filter(text_cols: Sequence[str], needle: Column) -> Column:
@@ -99,14 +114,6 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)).cast("double")
 
 
-@F.pandas_udf(DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio (query is sequence a, text is b), Arrow
-    batched; applied only to rows that survived the coarse filter."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)],
-                     dtype="float64")
-
-
 def ranked_search(
     items: DataFrame,
     req: DataFrame,
@@ -116,25 +123,19 @@ def ranked_search(
     filter_cols: Sequence[str] = ("description", "food_category", "wweia_category"),
     score: str = "nutrition_score",
     limit: int = 20,
-    similarity: str = "edit",
-    max_requests: int = MAX_REQUESTS,
 ) -> DataFrame:
     """Per query, queries shorter than 2 characters return the ``limit``
     best-scored items; otherwise the coarse filter (all items when nothing
-    passes), ranked by similarity desc, score desc, key (T1).  ``similarity``
-    is ``"edit"`` (native) or ``"sequence"`` (U2)."""
+    passes), ranked by edit similarity desc, score desc, key (T1).  A query
+    that matches nothing ranks all items: a stated query against all rows,
+    reduced to ``limit`` rows in each task."""
     cols = [c for c in filter_cols if c in items.columns]
     r = req.select("query_id", F.lower(F.col("q")).alias("ql"), (F.length("q") < 2).alias("short"))
-    r = _checked_broadcast(r, max_requests)
     long_q = r.where(~F.col("short"))
-    cond = coarse_filter(cols, F.col("ql"))
-    hits = items.select(*cols).join(long_q, cond).groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
-    flagged = F.broadcast(long_q.join(hits, "query_id", "left").withColumn(
-        "_none", F.coalesce(F.col("_n"), F.lit(0)) == 0).drop("_n"))
-    cand = items.join(flagged, cond | F.col("_none"))
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    sim = edit_similarity(F.col("ql"), low) if similarity == "edit" else sequence_ratio(F.col("ql"), low)
-    cand = cand.withColumn("match_score", sim)
+    hits = containing(items, cols, long_q, "ql")
+    none = long_q.join(hits.select("query_id").distinct(), "query_id", "left_anti").withColumn("_all", F.lit(0))
+    every = items.withColumn("_item", F.lit(0)).join(none, F.col("_item") == F.col("_all")).drop("_item", "_all")
+    cand = hits.unionByName(every).withColumn("match_score", edit_similarity(F.col("ql"), _lower(text)))
     ranked = top_k_per_group(cand, ["query_id"], [("match_score", "desc"), (score, "desc"), (key, "asc")], limit,
                              salt_of=key)
     out_cols = ["query_id", *items.columns, "match_score", "rank"]
@@ -170,23 +171,15 @@ def filter_options(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
-def search_page(items: DataFrame, *, query: str = "", page: int = 1, page_size: int = 25, top_n: int = 200,
-                max_rows: int = 500, key: str = "fdc_id", score: str = "score", filters: Mapping | None = None,
-                name: str = "description", brand: str = "brand_owner") -> DataFrame:
-    """Token search (query of 2+ characters) or the ``top_n`` best
-    items, then filters, first ``max_rows`` in that order, sorted by score,
-    one page."""
+def search_page(items: DataFrame, *, query: str = "", page: int = 1, page_size: int = 25, key: str = "fdc_id",
+                score: str = "score", filters: Mapping | None = None, name: str = "description",
+                brand: str = "brand_owner") -> DataFrame:
+    """The matches of a query of 2+ characters, or all items; filtered,
+    then sorted by score and cut to one page."""
+    base = items
     if len(query) >= 2:
-        req = requests(items.sparkSession, [query])
-        base = token_search(items, req, key=key, name=name, brand=brand, max_rows=max_rows).drop("query_id")
-        order_before = [(key, "asc")]
-    else:
-        base = global_top_k(items, [(score, "desc"), (key, "asc")], top_n)
-        order_before = [(score, "desc"), (key, "asc")]
-    filtered = apply_filters(base, **(filters or {}))
-    filtered = global_top_k(filtered, order_before, max_rows)
-    start = (max(page, 1) - 1) * page_size
-    return filtered.orderBy(F.col(score).desc(), F.col(key)).offset(start).limit(page_size)
+        base = token_search(items, requests(items.sparkSession, [query]), key=key, name=name, brand=brand).drop("query_id")
+    return ranking.page(apply_filters(base, **(filters or {})), [(score, "desc"), (key, "asc")], page, page_size)
 
 
 def nutrient_long(df: DataFrame, key: str, suffix: str = "_per100g", names: Sequence[str] | None = None) -> DataFrame:
@@ -218,13 +211,13 @@ def badge(value: Column, unit: str = "", decimals: int = 0) -> Column:
 
 
 def compare_options(items: DataFrame, selected: DataFrame, *, key: str = "fdc_id", score: str = "score",
-                    text: str = "description", n: int = 1000) -> DataFrame:
-    """W14 + J13 + P29: items not yet selected (anti join), best ``n`` by
-    score, with the option label ``"{text} ({id})"``."""
+                    text: str = "description", n: int | None = None) -> DataFrame:
+    """W14 + J13 + P29: items not yet selected (anti join) with the option
+    label ``"{text} ({id})"``; all of them, or the best ``n`` by score."""
     from vittles.functions.scalar import option_label
 
     rest = items.join(selected.select(key), key, "left_anti")
-    top = global_top_k(rest, [(score, "desc"), (key, "asc")], n)
+    top = rest if n is None else global_top_k(rest, [(score, "desc"), (key, "asc")], n)
     return top.select(key, score, option_label(F.col(text), F.col(key)).alias("label"))
 
 

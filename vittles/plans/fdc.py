@@ -84,11 +84,9 @@ DERIVED_FEATURES = ["unsat_sat_ratio", "energy_density"]
 
 # Recommender defaults.
 RECO_DEFAULTS = {
-    "max_items": 250000,
     "min_features_present": 6,
     "n_neighbors": 50,
     "metric": "cosine",
-    "random_seed": 13,
     "form_match": True,
     "group_match": True,
     "min_score_gain": 10.0,

@@ -206,7 +206,7 @@ def run(spark: SparkSession, paths: Paths, *, k: int = RECO_DEFAULTS["n_neighbor
     quality.require_columns(scored, ["fdc_id", "score", "form", "food_category", "kcal_per_serv",
                                      "sodium_mg_perserving"], "foods dataset")
     edges = neighbors.build_index(scored, NEIGHBOUR_FEATURES, min_feats=RECO_DEFAULTS["min_features_present"],
-                                  max_items=RECO_DEFAULTS["max_items"], seed=RECO_DEFAULTS["random_seed"], k=k)
+                                  k=k)
     io.write_parquet(edges.drop("rank"), f"{out}/nn_index.parquet")
     ff = models.feature_frame(scored)
     cal = models.train_calibration(ff)
@@ -215,7 +215,7 @@ def run(spark: SparkSession, paths: Paths, *, k: int = RECO_DEFAULTS["n_neighbor
         f"{out}/elastic_net_coefficients.json")
     io.metrics_frame(spark, {"calibration_log_loss": cal["cv_log_loss"], "elastic_net_rmse": enet["cv_rmse"]}) \
         .write.mode("overwrite").json(f"{out}/metrics.json")
-    cal["model"].write().overwrite().save(f"{out}/calibration_model")
+    models.save_models(cal, enet, f"{out}/models")
     return {"foods": f"{out}/foods_nutrients.parquet", "scored": scored_path, "neighbours": f"{out}/nn_index.parquet"}
 
 

@@ -342,7 +342,7 @@ SELECT fdc_id, neighbor_id, round(score, 6) AS score, round(score_gain, 6) AS sc
 FROM best WHERE tier = bt"""
 
 Q20 = f"""WITH {EDGES},
-cand AS (SELECT fdc_id FROM scored WHERE grade IN ('D', 'E') ORDER BY score, fdc_id LIMIT 500),
+cand AS (SELECT fdc_id FROM scored WHERE grade IN ('D', 'E')),
 sub AS (SELECT e.fdc_id, s.score - e.base_score AS gain FROM edges e JOIN cand ON e.fdc_id = cand.fdc_id
         LEFT JOIN scored s ON s.fdc_id = e.neighbor_id),
 cov AS (SELECT count(DISTINCT fdc_id) AS covered FROM sub WHERE gain >= 10.0),
@@ -374,9 +374,9 @@ per AS (SELECT query_id, fdc_id, count(DISTINCT pos) = max(ntok) AS all_hit,
 qa AS (SELECT query_id, max(CASE WHEN all_hit THEN 1 ELSE 0 END) AS any_all FROM per GROUP BY query_id),
 ch AS (SELECT per.* FROM per JOIN qa ON per.query_id = qa.query_id
        WHERE CASE WHEN any_all = 1 THEN all_hit ELSE first_hit = 1 END),
-r AS (SELECT query_id, fdc_id, row_number() OVER (PARTITION BY query_id ORDER BY fdc_id) AS rn FROM ch)
+r AS (SELECT query_id, fdc_id FROM ch)
 SELECT CAST(r.query_id AS BIGINT) AS query_id, r.fdc_id, f.description, f.brand_owner
-FROM r JOIN formed f ON r.fdc_id = f.fdc_id WHERE rn <= 500"""
+FROM r JOIN formed f ON r.fdc_id = f.fdc_id"""
 
 _coarse = ("(contains(lower(coalesce(f.description, '')), fl.ql) OR "
            "contains(lower(coalesce(f.food_category, '')), fl.ql))")
@@ -402,9 +402,7 @@ SELECT CAST(query_id AS BIGINT), fdc_id, description, grade, round(nutrition_sco
   CAST(rank AS INTEGER) FROM sh"""
 
 Q24 = f"""WITH {FORMED},
-top AS (SELECT * FROM formed ORDER BY score DESC, fdc_id LIMIT 200),
-f AS (SELECT * FROM top WHERE fiber_g_per100g >= 5.0 AND sodium_mg_per100g <= 140.0 AND form = 'solid'
-      ORDER BY score DESC, fdc_id LIMIT 500),
+f AS (SELECT * FROM formed WHERE fiber_g_per100g >= 5.0 AND sodium_mg_per100g <= 140.0 AND form = 'solid'),
 pg AS (SELECT * FROM f ORDER BY score DESC, fdc_id LIMIT 25 OFFSET 25)
 SELECT fdc_id, description, food_category, round(score, 6) AS score, grade FROM pg"""
 
@@ -456,7 +454,7 @@ UNION ALL
 SELECT 'score_range', coalesce(bool_and(coalesce(score, 0.0) >= 0.0 AND coalesce(score, 0.0) <= 100.0), true),
   round(max(coalesce(score, 0.0)), 6) FROM scored
 UNION ALL
-SELECT 'completeness', v >= 0.0, round(v, 6) FROM (
+SELECT 'completeness', v >= 0.95, round(v, 6) FROM (
   SELECT avg(CASE WHEN {" AND ".join(f"{f} IS NOT NULL" for f in FEATS)} THEN 1.0 ELSE 0.0 END) AS v FROM scored)
 UNION ALL
 SELECT 'similarity_range', b = 0, round(CAST(b AS DOUBLE), 6) FROM (

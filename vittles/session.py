@@ -7,7 +7,6 @@ driver smoke check.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -24,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.maxPartitionBytes", "4m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -36,70 +36,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (tests, local runs) do we create one.
+    is.  Only where it is unset (tests, local runs) a temporary one is made.
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return current
-    existing = sc.getCheckpointDir()
-    if existing:
-        return existing
-    local = tempfile.mkdtemp(prefix="vittles-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
-
-
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def spread(df, min_bytes: int = SPREAD_MIN_BYTES):
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A file with one row group is read by one task, which would then run all
-    per-row work (explodes, partial aggregation) alone.  Large inputs have
-    many splits and are returned unchanged, so this never adds a shuffle at
-    scale; tiny inputs are not worth moving either.
-    """
-    try:
-        spark = df.sparkSession
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - sessions without JVM access keep the scan as is
-        return df
-    return df.repartition(cores) if size >= min_bytes else df
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="vittles-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast a dimension only after counting it; above the bound it stays
-    a shuffle join (AQE may still choose broadcast from runtime sizes)."""
+def broadcast_if_small(df, max_bytes: int = BROADCAST_MAX_BYTES):
+    """Broadcast a dimension only after measuring its bytes (as JSON rows);
+    above the bound it stays a shuffle join, which AQE may still turn into a
+    broadcast from runtime sizes."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def cut_lineage(df):
     """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
-    executor loss, truncates the plan).  Sessions without SparkContext access
-    fall back to a persisted (memory and disk) copy."""
-    from pyspark import StorageLevel
-
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    except Exception:  # noqa: BLE001 - e.g. a session without a SparkContext
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-        return out
+    executor loss, truncates the plan)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

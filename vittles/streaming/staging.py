@@ -11,6 +11,7 @@ it stopped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from vittles.session import ensure_checkpoint_dir
@@ -19,19 +20,33 @@ from vittles.sources.contracts import Contract, text_schema
 
 def stage_stream(spark: SparkSession, raw_dir: str, contract: Contract, out_path: str, *, name: str,
                  header_columns: list[str] | None = None, fill_empty: bool = False,
-                 max_files_per_trigger: int | None = None) -> int:
-    """Stage all new CSV files of ``raw_dir``; returns the rows written by this run."""
+                 max_files_per_trigger: int | None = None, multi_line: bool = False) -> int:
+    """Stage all new CSV files of ``raw_dir``; returns the rows written by this run.
+
+    Columns are read by position, so a file whose header differs in names or
+    order stops the run instead of being staged swapped.  ``multi_line``: fields
+    may hold quoted line ends (a file is then read by one task)."""
     cols = header_columns or spark.read.option("header", True).option("inferSchema", False).csv(raw_dir).columns
-    reader = (spark.readStream.schema(text_schema(cols)).option("header", True).option("multiLine", False)
-              .option("quote", '"').option("escape", '"'))
+    reader = (spark.readStream.schema(text_schema(cols)).option("header", True).option("multiLine", multi_line)
+              .option("enforceSchema", False).option("quote", '"').option("escape", '"'))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     staged = contract.apply(reader.csv(raw_dir), name)
     if fill_empty:
         staged = staged.na.fill("")
+    before = _rows(spark, out_path)
     ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{name}"
     q = (staged.writeStream.format("parquet").option("compression", "zstd").option("path", out_path)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    progress = q.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in progress))
+    return _rows(spark, out_path) - before
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows staged so far, by the files' footers."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0
