@@ -76,6 +76,18 @@ def test_row_number_in_group(spark):
     assert [got[i] for i in hot] == list(range(1, 401)) and [got[i] for i in range(0, 500, 5)] == list(range(1, 101))
 
 
+def test_rows_visit_few_cells(spark):
+    rng = np.random.default_rng(8)
+    angle = rng.uniform(0, 2 * np.pi, 1500)
+    X = np.stack([np.cos(angle), np.sin(angle), 0.01 * rng.normal(size=1500)], axis=1)
+    df = spark.createDataFrame(pd.DataFrame({"k": range(1500), "v": [list(r) for r in X]}))
+    visits = []
+    got = neighbors.cosine_top_k(df, "k", "v", 5, block_rows=50, min_block_rows=50, visits=visits).toPandas()
+    exp = _brute_topk(list(range(1500)), X, 5)
+    assert all(list(g.sort_values("rank")["neighbor_id"]) == [b for b, _ in exp[a]] for a, g in got.groupby("id"))
+    assert visits[0] / 1500 < 6  # of 30 cells
+
+
 def test_zero_vectors_alone_in_a_block(spark):
     pdf = pd.DataFrame({"k": range(12), "v": [[1.0, 0.0, float(i)] if i < 2 else [0.0, 0.0, 0.0] for i in range(12)]})
     got = neighbors.cosine_top_k(spark.createDataFrame(pdf), "k", "v", 2, block_rows=1, min_block_rows=1)
