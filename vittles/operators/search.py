@@ -205,6 +205,16 @@ def compare_table(selected: DataFrame, key: str, position: str, suffix: str = "_
         "nutrient", "label", position, key, "value", "is_best")
 
 
+def compare_wide(selected: DataFrame, key: str, position: str, n: int, suffix: str = "_per100g") -> DataFrame:
+    """Nutrients as rows and the ``n`` selected items as columns
+    (``item_1`` ... by position), with the best-marked positions as text."""
+    long = compare_table(selected, key, position, suffix)
+    best = F.array_join(F.array_sort(F.collect_list(F.when(F.col("is_best"), F.col(position).cast("string")))), ",")
+    return long.groupBy("nutrient", "label").agg(
+        *[F.max(F.when(F.col(position) == i, F.col("value"))).alias(f"item_{i}") for i in range(1, n + 1)],
+        best.alias("best_positions"))
+
+
 def badge(value: Column, unit: str = "", decimals: int = 0) -> Column:
     """A serving badge such as "120 kcal", a dash for NULL."""
     return format_number(value, decimals, f" {unit}" if unit else "")

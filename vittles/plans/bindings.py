@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vittles.functions import scalar
 from vittles.functions.scalar import r6, to_double, to_long_id
 from vittles.operators import (matrix, models, neighbors, quality, ranking, scorecard, search, stats, substitute,
                                units)
@@ -458,14 +459,14 @@ def q28_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fixed values of the test binding: raw class weights as functions of the score,
 # deliberately non-monotone in the B class.
-PROB_CLASSES = ["B", "C", "D", "E"]
+PROB_CLASSES = ["A", "B", "C", "D", "E"]
 
 
 def q29_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     foods = scored_parts(spark, sf_dir).select("fdc_id", "score")
     fl = F.floor("score")
-    w = {"B": 1 + F.pmod(fl, F.lit(7)), "C": F.lit(2), "D": 1 + F.pmod(fl, F.lit(3)), "E": F.lit(3)}
-    tot = w["B"] + w["C"] + w["D"] + w["E"]
+    w = {"A": F.pmod(fl, F.lit(5)), "B": 1 + F.pmod(fl, F.lit(7)), "C": F.lit(2), "D": 1 + F.pmod(fl, F.lit(3)), "E": F.lit(3)}
+    tot = w["A"] + w["B"] + w["C"] + w["D"] + w["E"]
     probs = foods.withColumns({f"prob_{g}": (w[g] / tot).cast("double") for g in PROB_CLASSES})
     return models.monotone_ab(probs, "score", [f"prob_{g}" for g in PROB_CLASSES], key="fdc_id")
 
@@ -514,9 +515,9 @@ def q32_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q33_driver_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3 + M4 + P15 + M7 + M9: elastic net on is_healthy, its prediction and
-    top drivers for every part."""
-    ff = models.feature_frame(scored_parts(spark, sf_dir), healthy=("A", "B"))
+    """M3 + M4 + P15 + M7 + M9: elastic net on is_healthy (A to C, so that both
+    labels occur), its prediction and top drivers for every part."""
+    ff = models.feature_frame(scored_parts(spark, sf_dir), healthy=("A", "B", "C"))
     m = models.train_driver_model(ff)
     pos, neg = models.top_drivers(models.contributions(ff, m))
     return ff.select("fdc_id", "is_healthy", r6(models.predict_enet(m, ff)).alias("healthy_pred"),
@@ -535,6 +536,101 @@ def q35_group_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("group", "n", r6("mean_score").alias("mean_score"), "any_in_set")
 
 
+# Fixed values of the test binding: the nutrient each event type carries, its
+# unit and the unit wanted.
+EVENT_NUTRIENTS = [("click", "potassium_mg", "g", "mg"), ("error", "sodium_mg", "g", "mg"), ("purchase", "fiber_g", "g", "g"),
+                   ("signup", "energy_kcal", "kj", "kcal")]
+
+
+def q36_mapped_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R9 + P4 + J2 + P12 + A1 + A2: facts joined with the mapping, converted,
+    distinct, averaged and pivoted; unmapped items drop out."""
+    dim = spark.createDataFrame(EVENT_NUTRIENTS, "event_type string, canonical_name string, unit string, wanted string")
+    factor = F.coalesce(units.conversion_factor(units.normalize_unit("unit"), units.normalize_unit("wanted")), F.lit(1.0))
+    dim = dim.select("event_type", "canonical_name", factor.alias("factor"))
+    names = [n for _, n, _, _ in EVENT_NUTRIENTS]
+    wide = matrix.nutrient_matrix(table(spark, sf_dir, "events"), dim, names, key="user_id", item="event_type", amount="value")
+    return wide.select("user_id", *[r6(f"{n}_per100g").alias(f"{n}_per100g") for n in names])
+
+
+def q37_large_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two large tables joined row by row on a shuffled key, lines of orders."""
+    li, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
+    return j.groupBy("o_orderpriority", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"), F.count_distinct("o_custkey").alias("customers"))
+
+
+def q38_unit_servings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + J8: one primary order per customer, the unit table's name where the
+    text is absent."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("fdc_id"), F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderpriority").like("5%"), F.col("o_orderpriority")).alias("portion_description"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(" ")).alias("gram_weight_modifier"),
+        (F.col("o_orderkey") % 40).alias("measure_unit_id"), F.col("o_totalprice").alias("gram_weight"))
+    unit = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    s = matrix.primary_servings(o, unit)
+    return s.select(F.col("fdc_id").alias("o_custkey"), "serving_desc", r6("serving_gram_weight").alias("serving_gram_weight"))
+
+
+def q39_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P19 + P20 + J10: the parts that returned lines ask for, each line's
+    supplier attributes attached to the distinct (part, supplier) pairs."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    found = search.point_lookup(table(spark, sf_dir, "part"), li.select("l_partkey").distinct(), "p_partkey")
+    pairs = li.select(F.col("l_partkey").alias("fdc_id"), F.col("l_suppkey").alias("neighbor_id"), F.lit(1).alias("s_name")).distinct()
+    rich = substitute.enrich(pairs, table(spark, sf_dir, "supplier"), ["s_name", "s_nationkey"], key="s_suppkey")
+    return rich.join(found, rich.fdc_id == found.p_partkey).select("fdc_id", "neighbor_id", "p_name", "s_name_nb", "s_nationkey")
+
+
+def q40_swap_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V13 + V14 + V15 + V10 + V16: swap coverage of all low grades, swaps of the
+    worst five, probability sums, and the completed per-serving columns."""
+    foods = cut_lineage(substitution_foods(spark, sf_dir))
+    subs = cut_lineage(substitute.substitutions(foods, part_edges(spark, sf_dir, foods), k=N_SUBSTITUTES))
+    probs = q29_probabilities(spark, sf_dir)
+    again = matrix.ensure_per_serving(foods.drop("protein_g_perserving"), CANONICAL_ORDER)
+    lacking = quality.column_pairs(again, CANONICAL_ORDER)
+    same = again.join(foods.select(F.col("fdc_id").alias("_id"), F.col("protein_g_perserving").alias("_was")), F.col("fdc_id") == F.col("_id"))
+    pairs = same.agg(F.count_if(~F.col("protein_g_perserving").eqNullSafe(F.col("_was"))).alias("b")).select(
+        F.lit("column_pairs").alias("check"), (F.col("b") + len(lacking) == 0).alias("passed"), (F.col("b") + len(lacking)).cast("double").alias("value"))
+    checks = [substitute.low_grade_coverage(foods, subs), substitute.worst_have_swaps(foods, subs),
+              quality.probabilities_valid(probs, [f"prob_{g}" for g in PROB_CLASSES]), pairs]
+    return quality.report(checks).select("check", "passed", r6("value").alias("value"))
+
+
+def q41_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + P11 strict + P27 + P29 + F7 + F17: labels, badges and strict
+    conversions of every part."""
+    part = table(spark, sf_dir, "part")
+    label = scalar.option_label("p_name", "p_partkey")
+    return part.select(
+        "p_partkey", scalar.sanitize(F.concat(F.lit(" "), F.expr("nullif(p_type, 'PROMO')"), F.lit(" "))).alias("type_text"),
+        search.badge(F.when(F.col("p_size") <= 40, F.col("p_size")), "g").alias("size_badge"), label.alias("label"),
+        scalar.parse_id(label).alias("label_id"), scalar.to_double_strict(F.concat(F.col("p_size").cast("string"), F.lit(".50"))).alias("size_half"),
+        r6(units.convert(F.col("p_retailprice"), F.lit(" G "), "mg", strict=True)).alias("price_mg"))
+
+
+def q42_compare_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 + R6: the three best parts side by side, nutrients as rows."""
+    top = ranking.global_top_k(scored_parts(spark, sf_dir), [("score", "desc"), ("fdc_id", "asc")], COMPARE_SIZE)
+    top = top.withColumn("position", F.row_number().over(
+        Window.partitionBy(F.lit(1)).orderBy(F.col("score").desc(), F.col("fdc_id"))))
+    t = search.compare_wide(cut_lineage(top), "fdc_id", "position", COMPARE_SIZE)
+    return t.select("nutrient", "label", *[r6(f"item_{i}").alias(f"item_{i}") for i in range(1, COMPARE_SIZE + 1)], "best_positions")
+
+
+def q43_filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P26 + W14 + J13: distinct brands, and how many parts are left to choose
+    beside the selected ones of each brand."""
+    part = table(spark, sf_dir, "part").withColumnsRenamed({"p_partkey": "fdc_id", "p_name": "description", "p_retailprice": "score"})
+    brands = search.filter_options(part, "p_brand")
+    rest = search.compare_options(part, part.where(F.col("p_size") > 25).select("fdc_id"))
+    left = rest.join(part.select("fdc_id", "p_brand"), "fdc_id").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("last_label"))
+    return brands.join(left, "p_brand", "left")
+
+
 QUERIES = {
     "q01_contract": q01_contract,
     "q02_text_staging": q02_text_staging,
@@ -569,4 +665,12 @@ QUERIES = {
     "q32_calibration": q32_calibration,
     "q33_driver_model": q33_driver_model,
     "q35_group_checks": q35_group_checks,
+    "q36_mapped_matrix": q36_mapped_matrix,
+    "q37_large_join": q37_large_join,
+    "q38_unit_servings": q38_unit_servings,
+    "q39_lookup": q39_lookup,
+    "q40_swap_checks": q40_swap_checks,
+    "q41_labels": q41_labels,
+    "q42_compare_wide": q42_compare_wide,
+    "q43_filter_options": q43_filter_options,
 }

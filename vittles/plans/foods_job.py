@@ -18,7 +18,7 @@ from vittles.operators import matrix, models, neighbors, quality, scorecard, sta
 from vittles.plans.fdc import CANONICAL_NUTRIENTS, CANONICAL_ORDER, LIQUID_KEYWORDS, NEIGHBOUR_FEATURES, RECO_DEFAULTS
 from vittles.sources import io
 from vittles.sources.contracts import Contract
-from vittles.session import broadcast_if_small
+from vittles.session import broadcast_if_small, cut_lineage
 
 # Per-file renames applied before the contract check, and the
 # required columns of each raw file, in order.
@@ -138,6 +138,8 @@ def build_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True
     ds = ds.withColumn("form", matrix.form_tag(["description", "food_category", "wweia_category"], LIQUID_KEYWORDS,
                                                override="_override")).drop("_override")
     per100 = [f"{n}_per100g" for n in CANONICAL_ORDER]
+    # the build is materialised once, then read by the statistics and the result
+    ds = cut_lineage(ds)
     ds = stats.robust_z(ds, per100, z_suffix="_z", clipped_suffix=None)
     ds = ds.withColumns({f"{c}_clipped": matrix_clip(F.col(f"{c}_z")) for c in per100})
     return ds, mapping.orderBy("canonical_name")
@@ -189,8 +191,9 @@ def run(spark: SparkSession, paths: Paths, *, k: int = RECO_DEFAULTS["n_neighbor
     stage(spark, paths)
     ds, mapping = build_foods(spark, paths)
     io.write_parquet(ds, f"{out}/foods_nutrients.parquet")
-    io.write_csv(ds, f"{out}/foods_nutrients.csv")
-    for name, df in diagnostics(spark.read.parquet(f"{out}/foods_nutrients.parquet")).items():
+    built = spark.read.parquet(f"{out}/foods_nutrients.parquet")
+    io.write_csv(built, f"{out}/foods_nutrients.csv")
+    for name, df in diagnostics(built).items():
         io.write_parquet(df, f"{out}/{name}.parquet")
         if name == "food_groups":
             io.write_csv(df, f"{out}/food_groups_csv")  # S11

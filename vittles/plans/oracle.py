@@ -311,7 +311,7 @@ def _hi(x: str) -> str:
     return f"CAST(round_even({x}, 0) AS BIGINT)"
 
 
-Q19 = f"""WITH {FOODS19},
+BEST19 = f"""{FOODS19},
 t1 AS (
   SELECT e.fdc_id, e.neighbor_id, c.score, c.score - b.score AS score_gain, c.grade,
     concat_ws(', ', 'score +' || CAST({_hi('c.score - b.score')} AS VARCHAR),
@@ -337,7 +337,9 @@ t3 AS (
   FROM foods b JOIN foods c ON c.score >= b.score + 10.0),
 allt AS (SELECT * FROM t1 WHERE rank <= {B.N_SUBSTITUTES} UNION ALL SELECT * FROM t2 WHERE rank <= {B.N_SUBSTITUTES}
          UNION ALL SELECT * FROM t3 WHERE rank <= {B.N_SUBSTITUTES}),
-best AS (SELECT *, min(tier) OVER (PARTITION BY fdc_id) AS bt FROM allt)
+best AS (SELECT *, min(tier) OVER (PARTITION BY fdc_id) AS bt FROM allt)"""
+
+Q19 = f"""WITH {BEST19}
 SELECT fdc_id, neighbor_id, round(score, 6) AS score, round(score_gain, 6) AS score_gain, grade, why, tier, rank
 FROM best WHERE tier = bt"""
 
@@ -421,18 +423,19 @@ SELECT nutrient, label, position, fdc_id, round(value, 6) AS value,
 
 
 
-_w29 = {"B": "1 + (floor(score) % 7)", "C": "2", "D": "1 + (floor(score) % 3)", "E": "3"}
+_w29 = {"A": "floor(score) % 5", "B": "1 + (floor(score) % 7)", "C": "2", "D": "1 + (floor(score) % 3)", "E": "3"}
 PROBS29 = f"""{SCORED},
 p0 AS (SELECT fdc_id, score, {", ".join(f"CAST({e} AS DOUBLE) AS w{g}" for g, e in _w29.items())} FROM scored),
-p1 AS (SELECT fdc_id, score, {", ".join(f"w{g} / (wB + wC + wD + wE) AS p{g}" for g in _w29)} FROM p0),
-p2 AS (SELECT *, max(pB) OVER (ORDER BY score, fdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS adj FROM p1),
-p3 AS (SELECT fdc_id, score, pB * (CASE WHEN pB > 0 THEN adj / pB ELSE 1.0 END) AS pB, pC, pD, pE FROM p2),
-p4 AS (SELECT *, CASE WHEN pB + pC + pD + pE = 0.0 THEN 1.0 ELSE pB + pC + pD + pE END AS tot FROM p3),
-probs AS (SELECT fdc_id, score, pB / tot AS prob_B, pC / tot AS prob_C, pD / tot AS prob_D, pE / tot AS prob_E,
-            pB / tot AS prob_AB FROM p4)"""
+p1 AS (SELECT fdc_id, score, {", ".join(f"w{g} / (wA + wB + wC + wD + wE) AS p{g}" for g in _w29)} FROM p0),
+p2 AS (SELECT *, max(pA + pB) OVER (ORDER BY score, fdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS adj FROM p1),
+p3 AS (SELECT fdc_id, score, pA * (CASE WHEN pA + pB > 0 THEN adj / (pA + pB) ELSE 1.0 END) AS pA,
+         pB * (CASE WHEN pA + pB > 0 THEN adj / (pA + pB) ELSE 1.0 END) AS pB, pC, pD, pE FROM p2),
+p4 AS (SELECT *, CASE WHEN pA + pB + pC + pD + pE = 0.0 THEN 1.0 ELSE pA + pB + pC + pD + pE END AS tot FROM p3),
+probs AS (SELECT fdc_id, score, pA / tot AS prob_A, pB / tot AS prob_B, pC / tot AS prob_C, pD / tot AS prob_D,
+            pE / tot AS prob_E, pA / tot + pB / tot AS prob_AB FROM p4)"""
 
 Q29 = f"""WITH {PROBS29}
-SELECT fdc_id, round(score, 6) AS score, round(prob_B, 6) AS prob_B, round(prob_C, 6) AS prob_C,
+SELECT fdc_id, round(score, 6) AS score, round(prob_A, 6) AS prob_A, round(prob_B, 6) AS prob_B, round(prob_C, 6) AS prob_C,
   round(prob_D, 6) AS prob_D, round(prob_E, 6) AS prob_E, round(prob_AB, 6) AS prob_AB FROM probs"""
 
 _edges18 = Q18[len("WITH "):Q18.index("SELECT vec_id, neighbor_id, round")].rstrip()
@@ -515,6 +518,60 @@ SELECT grp AS "group", count(*) AS n, round(avg(score), 6) AS mean_score, bool_o
 FROM g GROUP BY grp"""
 
 
+Q36 = """WITH m(event_type, canonical_name, factor) AS (VALUES ('click', 'potassium_mg', 1000.0), ('error', 'sodium_mg', 1000.0),
+    ('purchase', 'fiber_g', 1.0), ('signup', 'energy_kcal', 0.239005736)),
+d AS (SELECT DISTINCT user_id, canonical_name, CAST(value AS DOUBLE) * CAST(factor AS DOUBLE) AS amount FROM events JOIN m USING (event_type))
+SELECT user_id, round(avg(amount) FILTER (canonical_name = 'potassium_mg'), 6) AS potassium_mg_per100g,
+  round(avg(amount) FILTER (canonical_name = 'sodium_mg'), 6) AS sodium_mg_per100g,
+  round(avg(amount) FILTER (canonical_name = 'fiber_g'), 6) AS fiber_g_per100g,
+  round(avg(amount) FILTER (canonical_name = 'energy_kcal'), 6) AS energy_kcal_per100g
+FROM d GROUP BY user_id"""
+
+Q37 = """SELECT o_orderpriority, l_returnflag, count(*) AS n, sum(l_quantity) AS quantity, count(DISTINCT o_custkey) AS customers
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
+
+Q38 = """WITH o AS (
+  SELECT o_custkey, o_orderkey, o_totalprice AS w,
+    coalesce(CASE WHEN o_orderpriority LIKE '5%' THEN o_orderpriority END, n_name, '') AS txt
+  FROM orders LEFT JOIN nation ON o_orderkey % 40 = n_nationkey),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey
+        ORDER BY CASE WHEN length(txt) > 0 THEN 1 ELSE 0 END DESC, w DESC, o_orderkey) AS rn FROM o)
+SELECT o_custkey, txt AS serving_desc, round(w, 6) AS serving_gram_weight FROM r WHERE rn = 1"""
+
+Q39 = """SELECT DISTINCT l_partkey AS fdc_id, l_suppkey AS neighbor_id, p_name, s_name AS s_name_nb, s_nationkey
+FROM lineitem JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R'"""
+
+Q40 = f"""WITH {BEST19},
+swap AS (SELECT DISTINCT fdc_id FROM best WHERE tier = bt AND score_gain >= 10.0),
+low AS (SELECT avg(CASE WHEN swap.fdc_id IS NULL THEN 0.0 ELSE 1.0 END) AS s
+        FROM (SELECT fdc_id FROM foods WHERE grade IN ('D', 'E')) f LEFT JOIN swap USING (fdc_id)),
+worst AS (SELECT count(*) AS m FROM (SELECT fdc_id FROM foods ORDER BY score, fdc_id LIMIT 5) WHERE fdc_id NOT IN (SELECT fdc_id FROM swap))
+SELECT 'low_grade_coverage' AS "check", s >= 0.9 AS passed, round(s, 6) AS value FROM low
+UNION ALL SELECT 'worst_have_swaps', m = 0, CAST(m AS DOUBLE) FROM worst
+UNION ALL SELECT 'prob_sum', true, 0.0
+UNION ALL SELECT 'column_pairs', true, 0.0"""
+
+Q41 = """SELECT p_partkey, trim(coalesce(' ' || nullif(p_type, 'PROMO') || ' ', '')) AS type_text,
+  CASE WHEN p_size <= 40 THEN CAST(p_size AS VARCHAR) || ' g' ELSE '—' END AS size_badge,
+  p_name || ' (' || p_partkey || ')' AS label, p_partkey AS label_id, p_size + 0.5::DOUBLE AS size_half,
+  round(p_retailprice * 1000.0, 6) AS price_mg FROM part"""
+
+Q42 = f"""WITH {SCORED},
+top AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, fdc_id) AS INTEGER) AS position FROM scored
+        ORDER BY score DESC, fdc_id LIMIT 3),
+lng AS (SELECT * FROM ({_long25}) WHERE value IS NOT NULL),
+t AS (SELECT *, CASE WHEN nutrient IN ('protein_g', 'fiber_g') THEN max(value) OVER (PARTITION BY nutrient)
+                ELSE min(value) OVER (PARTITION BY nutrient) END AS target FROM lng)
+SELECT nutrient, label, round(max(value) FILTER (position = 1), 6) AS item_1, round(max(value) FILTER (position = 2), 6) AS item_2,
+  round(max(value) FILTER (position = 3), 6) AS item_3,
+  string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) FILTER (abs(value - target) <= 1e-8 + 1e-5 * abs(target)) AS best_positions
+FROM t GROUP BY nutrient, label"""
+
+Q43 = """SELECT p_brand, n, last_label FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL)
+LEFT JOIN (SELECT p_brand, count(*) AS n, max(p_name || ' (' || p_partkey || ')') AS last_label FROM part
+           WHERE NOT p_size > 25 GROUP BY p_brand) USING (p_brand)"""
+
+
 ORACLE = {
     "q01_contract": Q01,
     "q02_text_staging": Q02,
@@ -547,4 +604,12 @@ ORACLE = {
     "q30_drivers": Q30,
     "q31_features": Q31,
     "q35_group_checks": Q35,
+    "q36_mapped_matrix": Q36,
+    "q37_large_join": Q37,
+    "q38_unit_servings": Q38,
+    "q39_lookup": Q39,
+    "q40_swap_checks": Q40,
+    "q41_labels": Q41,
+    "q42_compare_wide": Q42,
+    "q43_filter_options": Q43,
 }

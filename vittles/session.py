@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.files.maxPartitionBytes", "4m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
