@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vittles.operators import quality
+from vittles.operators import matrix, quality
 from vittles.sources import contracts, io
 
 
@@ -51,3 +51,15 @@ def test_checks(spark):
     assert quality.keep_first(dup, "k", [("o", "desc")]).first()["v"] == "y"
     sr = quality.score_range(spark.createDataFrame([(None,), (50.0,), (101.0,)], "s double"), "s").first()
     assert (sr["score_min"], sr["score_max"], sr["in_range"]) == (0.0, 101.0, False)
+
+
+def test_absent_columns_warn_and_portions_default(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], "fdc_id long, note string").write.parquet(str(tmp_path / "t.parquet"))
+    with pytest.warns(UserWarning, match="brand"):
+        df = io.load_table(spark, str(tmp_path), str(tmp_path), "t", usecols=["fdc_id", "brand"])
+    assert df.columns == ["fdc_id"]
+    portions = spark.createDataFrame([(1, 7, "cup"), (1, 8, None), (2, 9, "")], "fdc_id long, id long, portion_description string")
+    got = {r.fdc_id: (r.serving_desc, r.serving_gram_weight) for r in matrix.primary_servings(portions).collect()}
+    assert got == {1: ("cup", 0.0), 2: ("", 0.0)}
+    listed = io.schema_table(spark, portions, counts=True).collect()
+    assert [(r.column, r.rows, r.non_null) for r in listed] == [("fdc_id", 3, 3), ("id", 3, 3), ("portion_description", 3, 2)]

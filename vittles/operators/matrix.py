@@ -93,10 +93,11 @@ def primary_servings(
     Text = description, else modifier, else the measure unit name; rows with
     text beat rows without, then the larger gram weight, then the lower
     portion id (T2).  Weight text that is not a number counts as 0.
-    ``blank_is_null=False`` keeps the staged-data quirk (Q6) where ``""``
+    An absent column counts as NULL.  ``blank_is_null=False`` keeps the staged-data quirk (Q6) where ``""``
     stops the fallback chain.
     """
-    p = portions
+    p = portions.withColumns({c: F.lit(None).cast("string") for c in (portion_id, description, modifier, unit_id, weight)
+                              if c not in portions.columns})
     if units is not None:
         u = broadcast_if_small(units.select(F.col("id").alias("_uid"), F.col("name").alias("_unit_name")))
         p = p.join(u, F.col(unit_id) == F.col("_uid"), "left")

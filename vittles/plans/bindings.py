@@ -77,6 +77,7 @@ def scored_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q08_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R8 + F1-F5 + A10 + P5 + P6 + J6 + J7: the scorecard of every part."""
     s = scorecard.score_foods(part_foods(spark, sf_dir))
     return s.select(
         "fdc_id", "grade", "penalty_estimated", "serving_desc",

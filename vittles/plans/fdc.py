@@ -86,7 +86,6 @@ DERIVED_FEATURES = ["unsat_sat_ratio", "energy_density"]
 RECO_DEFAULTS = {
     "min_features_present": 6,
     "n_neighbors": 50,
-    "metric": "cosine",
     "form_match": True,
     "group_match": True,
     "min_score_gain": 10.0,

@@ -8,6 +8,7 @@ same plan reads (S9): ``versioned_path`` gives a fresh location.
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def load_table(spark: SparkSession, staging_dir: str, data_root: str, name: str, *,
                usecols: Sequence[str] | None = None, schema: StructType | None = None) -> DataFrame:
     """S4 + S5 + S6: staged parquet first, raw CSV second, empty frame when
-    neither exists; requested columns that exist are kept."""
+    neither exists; requested columns that exist are kept, absent ones are
+    named in a warning."""
     pq = f"{staging_dir}/{name}.parquet"
     csv = f"{data_root}/{name}.csv"
     if path_exists(spark, pq):
@@ -44,6 +46,9 @@ def load_table(spark: SparkSession, staging_dir: str, data_root: str, name: str,
         cols = list(usecols or (schema.fieldNames() if schema else []))
         return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in cols]))
     if usecols:
+        absent = [c for c in usecols if c not in df.columns]
+        if absent:
+            warnings.warn(f"{name}: requested columns are absent: {absent}", stacklevel=2)
         df = df.select(*[c for c in usecols if c in df.columns])
     return df
 
@@ -113,7 +118,12 @@ def read_coefficients(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], "feature string, coefficient double")
 
 
-def schema_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """(column, type) listing of a DataFrame."""
+def schema_table(spark: SparkSession, df: DataFrame, counts: bool = False) -> DataFrame:
+    """(column, type) listing of a DataFrame; with ``counts`` also the
+    table's rows and each column's non-null values, by one aggregation."""
     rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "column string, type string")
\ No newline at end of file
+    if not counts:
+        return spark.createDataFrame(rows, "column string, type string")
+    got = df.agg(F.count(F.lit(1)), *[F.count(F.col(f"`{c}`")) for c in df.columns]).first()
+    return spark.createDataFrame([(*r, got[0], got[i + 1]) for i, r in enumerate(rows)],
+                                 "column string, type string, rows long, non_null long")
