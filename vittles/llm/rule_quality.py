@@ -107,8 +107,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
     sample = labelled.sample(docs, labels, label, folds, held, most, id_col, text_col)
     known = with_statistics(sample)
     names = [c for c in known.columns if c.startswith(PREFIX)]
-    # statistics and label only: a bounded table
-    known = checkpointed(known.select("label", *names).coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism))
+    # statistics and label only: a bounded table, dealt out evenly
+    known = checkpointed(known.select("label", *names).repartition(2 * docs.sparkSession.sparkContext.defaultParallelism))
     classes = {r[0] for r in known.select("label").distinct().collect()}
     if len(classes) < 2:
         return Rules(prior=classes.pop() if classes else 0.5)
