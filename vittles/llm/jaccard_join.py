@@ -11,7 +11,8 @@ counted sizes and list lengths.
 
 Any global order is right; the order here puts members that many documents have last,
 so long lists are rare. Equal sets are joined once. Pairs are filtered by size,
-by places in the order and by bitmaps, then verified on their whole sets.
+by the number of lists that they must share and by bitmaps, then verified on their
+whole sets.
 
 Long lists are not crossed: first every set of a list is compared with its neighbour by
 size, and the links found are closed to components. Then only sets of a list that
@@ -43,7 +44,10 @@ RUN, FREQUENT = 2_000_000, 8
 COMMON = 2000
 #: largest size that can be light
 LIGHT = 24
-BITMAP = 1024
+#: neighbours are compared at once if they share a quarter of the lists that they must share
+CHAIN = 4
+#: bits of a set's bitmap, and of the sieve of ids
+BITMAP, SIEVE = 1024, 1 << 23
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -225,11 +229,27 @@ def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]]) -> DataFra
     return docs.select("id", "text").mapInArrow(work, "id long, n long, digest binary, bitmap binary, lists array<long>, subsets array<long>")
 
 
-def _possible(n1: Column, n2: Column, at1: Column, at2: Column) -> Column:
-    """Whether sets that share a list can link, by their sizes and places; a subset has no place."""
-    need = F.ceil(PERCENT * (n1 + n2) / F.lit(100.0 + PERCENT) - F.lit(1e-9))
-    most = F.coalesce(F.least(n1 - at1, n2 - at2), F.least(n1, n2))
-    return (100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)) & (most >= need)
+def _need(n1: Column, n2: Column) -> Column:
+    """Members that two sets of these sizes share if they link."""
+    return F.ceil(PERCENT * (n1 + n2) / F.lit(100.0 + PERCENT) - F.lit(1e-9))
+
+
+def _sizes_fit(n1: Column, n2: Column) -> Column:
+    return 100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)
+
+
+def _need_lists(n1: Column, n2: Column) -> Column:
+    """Lists that two linked sets share at least.
+
+    At most n - need members of a set are missing in the other one, so that many at
+    most of its listed ones; the rest stands in both lists for the set whose
+    listed members end first in the global order.
+    """
+
+    def left(n: Column) -> Column:
+        return n - F.ceil(PERCENT * n / F.lit(100.0) - F.lit(1e-9)) + 1 - (n - _need(n1, n2))
+
+    return F.greatest(F.least(left(n1), left(n2)), F.lit(1))
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -246,25 +266,41 @@ def _similar_bitmaps(pairs: DataFrame, maps: DataFrame) -> DataFrame:
         return F.conv(F.hex(F.substring(F.col(m), 8 * i + 1, 8)), 16, -10).cast("long")
 
     differ = sum((F.bit_count(word("m1", i).bitwiseXOR(word("m2", i))) for i in range(BITMAP // 64)), F.lit(0))
-    need = F.ceil(PERCENT * (F.col("n1") + F.col("n2")) / F.lit(100.0 + PERCENT) - F.lit(1e-9))
-    return both.where(differ <= F.col("n1") + F.col("n2") - 2 * need).select("a", "b")
+    return both.where(differ <= F.col("n1") + F.col("n2") - 2 * _need(F.col("n1"), F.col("n2"))).select("a", "b")
+
+
+def _sieve(ids: DataFrame) -> np.ndarray:
+    """Bits of a hash of the ids: a filter of fixed size, past which only the ids and a few others come."""
+    at = f"pmod(xxhash64(id), {SIEVE})"
+    bit = F.expr(f"shiftleft(1L, cast({at} % 64 AS int))")
+    words = ids.groupBy(F.expr(f"{at} div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    sieve = np.zeros(SIEVE // 64, dtype="<u8")
+    sieve[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return sieve
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link: whole sets are made again from the texts of the documents in question."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    """Those of the pairs (a, b) whose sets link: whole sets are made again from the texts of the documents in question.
+
+    The documents are told by a sieve of their ids in the scan, so texts are not shuffled; a set goes
+    to the first documents of its pairs.
+    """
+    routes = pairs.select(F.col("b").alias("id"), F.col("a").alias("target"), F.col("b").alias("other"))
+    routes = checkpointed(routes.union(pairs.select("a", F.col("a").alias("target"), F.lit(None).cast("long")).distinct()))
+    sieve = _sieve(routes)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            at = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((sieve[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1))
             for first, sets in _sets(batch, 1):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
 
-    sets = docs.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(work, "id long, members binary")
-    sets = checkpointed(sets)
-    others = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "b", "members")
-    own = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "members")
+    placed = docs.where("id IS NOT NULL").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("bit"))
+    sets = placed.mapInArrow(work, "id long, members binary")
+    sent = sets.join(routes, "id").select(F.col("target").alias("a"), F.col("other").alias("b"), "members")
     # a set comes before those it is compared with; they pass by one at a time
-    dealt = own.unionByName(others).repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
+    dealt = sent.repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, mine = None, []
@@ -304,34 +340,50 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     light = boundary(sizes, totals.get((_SQUARES, 0), 0) / max(1, totals.get((_SUM, 0), 0)))
 
     sets = checkpointed(keyed(docs, light, sorted((r[0], r[1]) for r in common)))
-    reps = checkpointed(sets.where("id IS NOT NULL AND n > 0").groupBy("digest").agg(F.min("id").alias("rep")))
-    own = sets.join(reps.select(F.col("rep").alias("id"), F.col("digest").alias("of")), "id").where("digest = of").dropDuplicates(["id", "digest"]).select("id", "n", "bitmap", "lists", "subsets")
-    entries = own.select("id", "n", F.posexplode("lists").alias("at", "key")).unionByName(
-        own.select("id", "n", F.lit(None).cast("int").alias("at"), F.explode("subsets").alias("key")))
-    # a list of subsets is not one of members
-    by_list = Window.partitionBy("key", "small").orderBy("n", "id")
-    near = entries.withColumn("small", F.col("at").isNull())
-    near = near.select("*", F.lag(F.struct("id", "n", "at")).over(by_list).alias("p"), F.lead("id").over(by_list).alias("later")).where("p IS NOT NULL OR later IS NOT NULL")
-    near = checkpointed(near.select("key", "small", "id", "n", "at", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.at").alias("p_at")))
+    # one row for each distinct set
+    same = [F.first(c).alias(c) for c in ("n", "bitmap", "lists", "subsets")]
+    own = checkpointed(sets.where("id IS NOT NULL AND n > 0").groupBy("digest").agg(F.min("id").alias("id"), *same))
+    entries = own.select("id", "n", F.explode("lists").alias("key"), F.lit(0).alias("small")).unionByName(own.select("id", "n", F.explode("subsets").alias("key"), F.lit(1).alias("small")))
+    # size and kind in one number: by size, a set's neighbour in a list is the one most like it in size
+    spot = 2 * F.col("n") + F.col("small")
+    by_list = Window.partitionBy("key", F.col("spot") % 2).orderBy("spot", "id")
+    near = entries.select("key", spot.alias("spot"), "id")
+    near = near.select("*", F.lag("id").over(by_list).alias("p_id"), F.lag("spot").over(by_list).alias("p_spot"), F.lead("spot").over(by_list).alias("later"))
+
+    def size(spot: str) -> Column:
+        return F.floor(F.col(spot) / 2)
+
+    with_last, with_next = (F.col(x).isNotNull() & _sizes_fit(size("spot"), size(x)) for x in ("p_spot", "later"))
+    near = near.withColumn("p_id", F.when(with_last, F.col("p_id"))).where(with_last | with_next)
+    near = checkpointed(near.select("key", "spot", "id", "p_id", F.when(F.col("p_id").isNotNull(), F.col("p_spot")).alias("p_spot")))
+
     maps = checkpointed(own.join(near.select("id").distinct(), "id", "left_semi").select("id", "n", "bitmap"))
 
-    chained = near.where((F.col("id") != F.col("p_id")) & _possible(F.col("n"), F.col("p_n"), F.col("at"), F.col("p_at"))).select(*_pair("id", "p_id")).distinct()
+    n, p_n = size("spot"), size("p_spot")
+    # neighbours in a fair part of the lists that they must share; what this passes over is found below
+    beside = near.where(F.col("p_id").isNotNull() & (F.col("id") != F.col("p_id"))).withColumn("some", F.when(F.col("spot") % 2 == 1, F.lit(1.0)).otherwise(_need_lists(n, p_n) / CHAIN))
+    chained = beside.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b")
     chained = checkpointed(_similar_bitmaps(chained, maps))
     links = checkpointed(verified(chained, docs))
     joined = components(links)
 
-    placed = near.select("key", "small", "id", "n", "at").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = near.select("key", "spot", "id").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = placed.withColumn("small", F.col("spot") % 2)
     in_list = placed.groupBy("key", "small", "component").agg(F.count("*").alias("k"))
     mixed = in_list.groupBy(F.col("key").alias("m_key"), F.col("small").alias("m_small")).agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_lists = checkpointed(placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small"))).select("key", "small", "id", "n", "at", "component", "main"))
+    open_lists = placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small"))).select("key", "small", n.alias("n"), "id", "component", "main")
+    open_lists = checkpointed(open_lists)
     x, y = open_lists.where("component <> main").alias("x"), open_lists.alias("y")
-    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component"))
-                     & _possible(F.col("x.n"), F.col("y.n"), F.col("x.at"), F.col("y.at")))
-    crossed = crossed.select(*_pair("x.id", "y.id")).distinct().join(chained, ["a", "b"], "left_anti")
+    # each list gives a pair of different components once
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
+    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component")) & once & _sizes_fit(F.col("x.n"), F.col("y.n")))
+    crossed = crossed.select(*_pair("x.id", "y.id"), F.col("x.small").alias("small"), _need_lists(F.col("x.n"), F.col("y.n")).alias("need"))
+    crossed = crossed.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("small").alias("small"), F.min("need").alias("need"))
+    crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(chained, ["a", "b"], "left_anti")
     more = verified(checkpointed(_similar_bitmaps(crossed, maps)), docs)
     done = components(links.union(more).select("a", "b"))
 
-    of_set = reps.join(done, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    of_set = own.select("digest", "id").join(done, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = sets.select("id", "n", "digest").join(of_set, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
