@@ -37,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = checkpointed(clean)
     seen = _state(now)
     while True:
-        now = checkpointed(_small_star(_large_star(now).distinct()).distinct())
+        now = checkpointed(_small_star(_large_star(now)).distinct())
         if (state := _state(now)) == seen:
             break
         seen = state

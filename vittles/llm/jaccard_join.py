@@ -15,7 +15,8 @@ by the number of lists that they must share and by bitmaps, then verified on the
 whole sets.
 
 Long lists are not crossed: first every set of a list is compared with its neighbour by
-size, and the links found are closed to components. Then only sets of a list that
+size, and the links found are closed to components, then once more with a random
+neighbour of another component. Then only sets of a list that
 still are in different components are paired, those outside the list's largest
 component with all others. So no link between components is missed, and a list that is
 one group of copies costs its length.
@@ -46,6 +47,7 @@ COMMON = 2000
 LIGHT = 24
 #: neighbours are compared at once if they share a quarter of the lists that they must share
 CHAIN = 4
+SHUFFLED = 77
 #: bits of a set's bitmap, and of the sieve of ids
 BITMAP, SIEVE = 1024, 1 << 23
 
@@ -364,24 +366,38 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     beside = near.where(F.col("p_id").isNotNull() & (F.col("id") != F.col("p_id"))).withColumn("some", F.when(F.col("spot") % 2 == 1, F.lit(1.0)).otherwise(_need_lists(n, p_n) / CHAIN))
     chained = beside.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b")
     chained = checkpointed(_similar_bitmaps(chained, maps))
-    links = checkpointed(verified(chained, docs))
-    joined = components(links)
-
-    placed = near.select("key", "spot", "id").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = placed.withColumn("small", F.col("spot") % 2)
-    in_list = placed.groupBy("key", "small", "component").agg(F.count("*").alias("k"))
-    mixed = in_list.groupBy(F.col("key").alias("m_key"), F.col("small").alias("m_small")).agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_lists = placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small"))).select("key", "small", n.alias("n"), "id", "component", "main")
-    open_lists = checkpointed(open_lists)
+    joined = components(verified(chained, docs))
+
+    def opened(joined: DataFrame) -> DataFrame:
+        """Rows of lists that hold several components, with the largest one of the list."""
+        placed = near.select("key", "spot", "id").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        placed = placed.withColumn("small", F.col("spot") % 2)
+        in_list = placed.groupBy("key", "small", "component").agg(F.count("*").alias("k"))
+        mixed = in_list.groupBy(F.col("key").alias("m_key"), F.col("small").alias("m_small")).agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        found = placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small")))
+        return checkpointed(found.select("key", "small", n.alias("n"), "id", "component", "main"))
+
+    # neighbours once more, now in a random order: sets that their neighbour by size did not link
+    in_turn = Window.partitionBy("key", "small").orderBy(F.xxhash64(F.lit(SHUFFLED), F.col("id")), "id")
+    last = F.lag(F.struct("id", "n", "component")).over(in_turn)
+    mates = opened(joined).withColumn("p", last).where((F.col("p.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("p.n")))
+    mates = mates.withColumn("some", F.when(F.col("small") == 1, F.lit(1.0)).otherwise(_need_lists(F.col("n"), F.col("p.n")) / CHAIN)).withColumn("p_id", F.col("p.id"))
+    mates = mates.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b").join(chained, ["a", "b"], "left_anti")
+    mates = checkpointed(_similar_bitmaps(mates, maps))
+    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    joined = components(stars.union(verified(mates, docs)))
+
+    open_lists = opened(joined)
     x, y = open_lists.where("component <> main").alias("x"), open_lists.alias("y")
     # each list gives a pair of different components once
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
     crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component")) & once & _sizes_fit(F.col("x.n"), F.col("y.n")))
     crossed = crossed.select(*_pair("x.id", "y.id"), F.col("x.small").alias("small"), _need_lists(F.col("x.n"), F.col("y.n")).alias("need"))
     crossed = crossed.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("small").alias("small"), F.min("need").alias("need"))
-    crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(chained, ["a", "b"], "left_anti")
+    crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(chained.union(mates), ["a", "b"], "left_anti")
     more = verified(checkpointed(_similar_bitmaps(crossed, maps)), docs)
-    done = components(links.union(more).select("a", "b"))
+    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    done = components(stars.union(more))
 
     of_set = own.select("digest", "id").join(done, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = sets.select("id", "n", "digest").join(of_set, "digest", "left")
