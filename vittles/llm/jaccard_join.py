@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from vittles.llm.common import checkpointed, mix64
 from vittles.llm.graph import components
 
-#: Jaccard of links in percent, words of a shingle
+#: defaults: Jaccard of links in percent, words of a shingle (what op6 asks for)
 PERCENT, WORDS = 85, 4
 #: shingles that are counted together, and the count from which one is reported as frequent
 RUN, FREQUENT = 2_000_000, 8
@@ -119,16 +119,16 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def _sets(batch: pa.RecordBatch, column: int, chars: int = 2_000_000) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _sets(batch: pa.RecordBatch, column: int, words: int = WORDS, chars: int = 2_000_000) -> Iterator[tuple[int, list[np.ndarray]]]:
     first, size, run = 0, 0, []
     for i, text in enumerate(batch.column(column)):
         run.append(text.as_py() or "")
         size += len(run[-1])
         if size >= chars:
-            yield first, shingle_sets(run)
+            yield first, shingle_sets(run, words)
             first, size, run = i + 1, 0, []
     if run:
-        yield first, shingle_sets(run)
+        yield first, shingle_sets(run, words)
 
 
 # ---- statistics over all documents
@@ -136,7 +136,7 @@ def _sets(batch: pa.RecordBatch, column: int, chars: int = 2_000_000) -> Iterato
 _MEMBER, _SIZE, _SUM, _SQUARES = range(4)
 
 
-def statistics(docs: DataFrame) -> DataFrame:
+def statistics(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(kind, key, n): counts of members that are frequent in a run, of set sizes, of documents, and sums for the list length."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def statistics(docs: DataFrame) -> DataFrame:
 
         held, size = [], 0
         for batch in batches:
-            for _, sets in _sets(batch, 0):
+            for _, sets in _sets(batch, 0, words):
                 for s in sets:
                     sizes[min(len(s), LIGHT + 1)] += 1
                     held.append(s)
@@ -169,16 +169,16 @@ def statistics(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(work, "kind long, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def subsets_written(n: int) -> int:
-    return sum(comb(n, overlap(n, b)) for b in partners(n))
+def subsets_written(n: int, percent: int = PERCENT) -> int:
+    return sum(comb(n, overlap(n, b, percent)) for b in partners(n, percent))
 
 
-def boundary(sizes: dict[int, int], list_length: float) -> int:
+def boundary(sizes: dict[int, int], list_length: float, percent: int = PERCENT) -> int:
     """The light size up to which subsets cost less than lists; a written row and a scanned entry cost the same."""
 
     def cost(x: int) -> float:
-        light = sum(k * subsets_written(n) for n, k in sizes.items() if 0 < n <= x)
-        heavy = sum(k * (n - least_overlap(n) + 1) * (1 + list_length) for n, k in sizes.items() if least_overlap(x) <= n <= LIGHT and n in partners(x + 1) or x < n <= LIGHT)
+        light = sum(k * subsets_written(n, percent) for n, k in sizes.items() if 0 < n <= x)
+        heavy = sum(k * (n - least_overlap(n, percent) + 1) * (1 + list_length) for n, k in sizes.items() if least_overlap(x, percent) <= n <= LIGHT and n in partners(x + 1, percent) or x < n <= LIGHT)
         return light + heavy
 
     return min(range(LIGHT + 1), key=cost)
@@ -187,21 +187,21 @@ def boundary(sizes: dict[int, int], list_length: float) -> int:
 # ---- candidates
 
 
-def _keys(members: np.ndarray, light: int, common: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _keys(members: np.ndarray, light: int, common: np.ndarray, rank: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """List keys (first members in the global order) and subset keys of a set."""
     n = len(members)
     lists, subsets = np.zeros(0, dtype=np.uint64), []
-    if n and (n > light or n >= least_overlap(light + 1)):
+    if n and (n > light or n >= least_overlap(light + 1, percent)):
         order = np.zeros(n, dtype=np.int64)
         if len(common):
             at = np.searchsorted(common, members).clip(0, len(common) - 1)
             order = np.where(common[at] == members, rank[at], 0)
-        lists = members[np.argsort(order, kind="stable")][: n - least_overlap(n) + 1]
+        lists = members[np.argsort(order, kind="stable")][: n - least_overlap(n, percent) + 1]
     if 0 < n <= light:
-        for b in partners(n):
+        for b in partners(n, percent):
             if b <= light:
                 salt = np.uint64(min(n, b) * 4096 + max(n, b) + 1)
-                for some in itertools.combinations(members, overlap(n, b)):
+                for some in itertools.combinations(members, overlap(n, b, percent)):
                     subsets.append(mix64(mix64(np.array(some, dtype=np.uint64) + salt).sum(keepdims=True))[0])
     return lists, np.array(sorted(set(subsets)), dtype=np.uint64)
 
@@ -212,7 +212,7 @@ def _bitmap(members: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]]) -> DataFrame:
+def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]], words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n, digest, bitmap, lists, subsets) of every document; `common` has members to put last, with their counts."""
     hashes = np.array([m for m, _ in common], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
@@ -220,8 +220,8 @@ def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]]) -> DataFra
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, sets in _sets(batch, 1):
-                both = [_keys(s, light, hashes, ranks) for s in sets]
+            for first, sets in _sets(batch, 1, words):
+                both = [_keys(s, light, hashes, ranks, percent) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([_bitmap(s) for s in sets], pa.binary()),
@@ -231,16 +231,16 @@ def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]]) -> DataFra
     return docs.select("id", "text").mapInArrow(work, "id long, n long, digest binary, bitmap binary, lists array<long>, subsets array<long>")
 
 
-def _need(n1: Column, n2: Column) -> Column:
+def _need(n1: Column, n2: Column, percent: int) -> Column:
     """Members that two sets of these sizes share if they link."""
-    return F.ceil(PERCENT * (n1 + n2) / F.lit(100.0 + PERCENT) - F.lit(1e-9))
+    return F.ceil(percent * (n1 + n2) / F.lit(100.0 + percent) - F.lit(1e-9))
 
 
-def _sizes_fit(n1: Column, n2: Column) -> Column:
-    return 100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)
+def _sizes_fit(n1: Column, n2: Column, percent: int) -> Column:
+    return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
-def _need_lists(n1: Column, n2: Column) -> Column:
+def _need_lists(n1: Column, n2: Column, percent: int) -> Column:
     """Lists that two linked sets share at least.
 
     At most n - need members of a set are missing in the other one, so that many at
@@ -249,7 +249,7 @@ def _need_lists(n1: Column, n2: Column) -> Column:
     """
 
     def left(n: Column) -> Column:
-        return n - F.ceil(PERCENT * n / F.lit(100.0) - F.lit(1e-9)) + 1 - (n - _need(n1, n2))
+        return n - F.ceil(percent * n / F.lit(100.0) - F.lit(1e-9)) + 1 - (n - _need(n1, n2, percent))
 
     return F.greatest(F.least(left(n1), left(n2)), F.lit(1))
 
@@ -258,7 +258,7 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _similar_bitmaps(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+def _similar_bitmaps(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose bitmaps differ in no more bits than their sets may differ in members."""
     one = maps.select(F.col("id").alias("a"), F.col("n").alias("n1"), F.col("bitmap").alias("m1"))
     two = maps.select(F.col("id").alias("b"), F.col("n").alias("n2"), F.col("bitmap").alias("m2"))
@@ -268,7 +268,7 @@ def _similar_bitmaps(pairs: DataFrame, maps: DataFrame) -> DataFrame:
         return F.conv(F.hex(F.substring(F.col(m), 8 * i + 1, 8)), 16, -10).cast("long")
 
     differ = sum((F.bit_count(word("m1", i).bitwiseXOR(word("m2", i))) for i in range(BITMAP // 64)), F.lit(0))
-    return both.where(differ <= F.col("n1") + F.col("n2") - 2 * _need(F.col("n1"), F.col("n2"))).select("a", "b")
+    return both.where(differ <= F.col("n1") + F.col("n2") - 2 * _need(F.col("n1"), F.col("n2"), percent)).select("a", "b")
 
 
 def _sieve(ids: DataFrame) -> np.ndarray:
@@ -281,7 +281,7 @@ def _sieve(ids: DataFrame) -> np.ndarray:
     return sieve
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Those of the pairs (a, b) whose sets link: whole sets are made again from the texts of the documents in question.
 
     The documents are told by a sieve of their ids in the scan, so texts are not shuffled; a set goes
@@ -295,7 +295,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             at = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((sieve[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1))
-            for first, sets in _sets(batch, 1):
+            for first, sets in _sets(batch, 1, words):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
 
     placed = docs.where("id IS NOT NULL").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("bit"))
@@ -317,31 +317,33 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     continue
                 for s in mine:
                     shared = len(s) + len(members) - len(np.union1d(s, members))
-                    if shared and 100 * shared >= PERCENT * (len(s) + len(members) - shared):
+                    if shared and 100 * shared >= percent * (len(s) + len(members) - shared):
                         links.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of every row: set size, and the smallest id reachable by links, its own included.
 
+    Sets are of shingles of `words` words and link at a Jaccard of `percent` / 100.
+
     Null or empty text, or text without words, has an empty set and links with
     nothing. Rows with the same id are one document with several texts. A null id
     links with nothing and has a null component. Further columns are ignored; an empty
     table gives an empty table.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    stats = checkpointed(statistics(docs))
+    stats = checkpointed(statistics(docs, words))
     totals = {(r["kind"], r["key"]): r["n"] for r in stats.where(F.col("kind") != _MEMBER).collect()}
     sizes = {k: n for (kind, k), n in totals.items() if kind == _SIZE}
     n_docs = sum(sizes.values())
     # their number is bounded by COMMON times the mean size of a set
     common = stats.where((F.col("kind") == _MEMBER) & (F.col("n") * COMMON >= n_docs)).select("key", "n").collect()
-    light = boundary(sizes, totals.get((_SQUARES, 0), 0) / max(1, totals.get((_SUM, 0), 0)))
+    light = boundary(sizes, totals.get((_SQUARES, 0), 0) / max(1, totals.get((_SUM, 0), 0)), percent)
 
-    sets = checkpointed(keyed(docs, light, sorted((r[0], r[1]) for r in common)))
+    sets = checkpointed(keyed(docs, light, sorted((r[0], r[1]) for r in common), words, percent))
     # one row for each distinct set
     same = [F.first(c).alias(c) for c in ("n", "bitmap", "lists", "subsets")]
     own = checkpointed(sets.where("id IS NOT NULL AND n > 0").groupBy("digest").agg(F.min("id").alias("id"), *same))
@@ -355,7 +357,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def size(spot: str) -> Column:
         return F.floor(F.col(spot) / 2)
 
-    with_last, with_next = (F.col(x).isNotNull() & _sizes_fit(size("spot"), size(x)) for x in ("p_spot", "later"))
+    with_last, with_next = (F.col(x).isNotNull() & _sizes_fit(size("spot"), size(x), percent) for x in ("p_spot", "later"))
     near = near.withColumn("p_id", F.when(with_last, F.col("p_id"))).where(with_last | with_next)
     near = checkpointed(near.select("key", "spot", "id", "p_id", F.when(F.col("p_id").isNotNull(), F.col("p_spot")).alias("p_spot")))
 
@@ -363,10 +365,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     n, p_n = size("spot"), size("p_spot")
     # neighbours in a fair part of the lists that they must share; what this passes over is found below
-    beside = near.where(F.col("p_id").isNotNull() & (F.col("id") != F.col("p_id"))).withColumn("some", F.when(F.col("spot") % 2 == 1, F.lit(1.0)).otherwise(_need_lists(n, p_n) / CHAIN))
+    beside = near.where(F.col("p_id").isNotNull() & (F.col("id") != F.col("p_id"))).withColumn("some", F.when(F.col("spot") % 2 == 1, F.lit(1.0)).otherwise(_need_lists(n, p_n, percent) / CHAIN))
     chained = beside.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b")
-    chained = checkpointed(_similar_bitmaps(chained, maps))
-    joined = components(verified(chained, docs))
+    chained = checkpointed(_similar_bitmaps(chained, maps, percent))
+    joined = components(verified(chained, docs, words, percent))
 
     def opened(joined: DataFrame) -> DataFrame:
         """Rows of lists that hold several components, with the largest one of the list."""
@@ -380,22 +382,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # neighbours once more, now in a random order: sets that their neighbour by size did not link
     in_turn = Window.partitionBy("key", "small").orderBy(F.xxhash64(F.lit(SHUFFLED), F.col("id")), "id")
     last = F.lag(F.struct("id", "n", "component")).over(in_turn)
-    mates = opened(joined).withColumn("p", last).where((F.col("p.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("p.n")))
-    mates = mates.withColumn("some", F.when(F.col("small") == 1, F.lit(1.0)).otherwise(_need_lists(F.col("n"), F.col("p.n")) / CHAIN)).withColumn("p_id", F.col("p.id"))
+    mates = opened(joined).withColumn("p", last).where((F.col("p.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
+    mates = mates.withColumn("some", F.when(F.col("small") == 1, F.lit(1.0)).otherwise(_need_lists(F.col("n"), F.col("p.n"), percent) / CHAIN)).withColumn("p_id", F.col("p.id"))
     mates = mates.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b").join(chained, ["a", "b"], "left_anti")
-    mates = checkpointed(_similar_bitmaps(mates, maps))
+    mates = checkpointed(_similar_bitmaps(mates, maps, percent))
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    joined = components(stars.union(verified(mates, docs)))
+    joined = components(stars.union(verified(mates, docs, words, percent)))
 
     open_lists = opened(joined)
     x, y = open_lists.where("component <> main").alias("x"), open_lists.alias("y")
     # each list gives a pair of different components once
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component")) & once & _sizes_fit(F.col("x.n"), F.col("y.n")))
-    crossed = crossed.select(*_pair("x.id", "y.id"), F.col("x.small").alias("small"), _need_lists(F.col("x.n"), F.col("y.n")).alias("need"))
+    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component")) & once & _sizes_fit(F.col("x.n"), F.col("y.n"), percent))
+    crossed = crossed.select(*_pair("x.id", "y.id"), F.col("x.small").alias("small"), _need_lists(F.col("x.n"), F.col("y.n"), percent).alias("need"))
     crossed = crossed.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("small").alias("small"), F.min("need").alias("need"))
     crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(chained.union(mates), ["a", "b"], "left_anti")
-    more = verified(checkpointed(_similar_bitmaps(crossed, maps)), docs)
+    more = verified(checkpointed(_similar_bitmaps(crossed, maps, percent)), docs, words, percent)
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     done = components(stars.union(more))
 
@@ -405,12 +407,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows, whole, less those of documents that are not the first of their group; of repeated rows of an id one stays.
 
     Rows with a null id stay.
     """
-    rated = checkpointed(near_duplicates(df, id_col, text_col).where(F.col(id_col).isNotNull()))
+    rated = checkpointed(near_duplicates(df, id_col, text_col, words, percent).where(F.col(id_col).isNotNull()))
     gone = rated.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone__id")).distinct()
     left = df.join(gone, F.col(id_col) == F.col("gone__id"), "left_anti")
     again = rated.groupBy(F.col(id_col).alias("again__id")).agg(F.count("*").alias("again__n")).where("again__n > 1").select("again__id")
