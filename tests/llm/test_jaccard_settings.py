@@ -50,3 +50,14 @@ def test_keys_meet_for_all_links_at_80_percent(light):
             continue
         x, y = jj._keys(a, light, none, none, 80), jj._keys(b, light, none, none, 80)
         assert set(x[0].tolist()) & set(y[0].tolist()) or set(x[1].tolist()) & set(y[1].tolist())
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    # 5 is tied to 2 by b; a and c have no other copy; 9 has a text like c; 11 and 12 are tied by a row without words
+    rows = [(5, a), (5, b), (2, b), (7, c), (9, f"{c} more"), (9, f"{a} d e f g h i j k l m"), (11, ""), (11, "one two"), (10, "one two"), (12, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jj.near_duplicates(df).collect())
+    assert got == brute(rows, 4, 85) and (5, 27, 2) in got and (11, 0, 10) in got
+    kept = sorted((tuple(r) for r in jj.keep_one(df).collect()), key=repr)
+    assert kept == sorted([(5, a), (2, b), (7, c), rows[5], (11, ""), (10, "one two"), (12, None)], key=repr)

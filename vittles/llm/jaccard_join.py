@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vittles.llm.common import checkpointed, mix64
+from vittles.llm.common import checkpointed, mix64, numbered
 from vittles.llm.graph import components
 
 #: defaults: Jaccard of links in percent, words of a shingle (what op6 asks for)
@@ -399,25 +399,50 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(chained.union(mates), ["a", "b"], "left_anti")
     more = verified(checkpointed(_similar_bitmaps(crossed, maps, percent)), docs, words, percent)
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    done = components(stars.union(more))
+    # a document with several texts ties their sets
+    several = checkpointed(sets.where("id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("id"))
+    ties = sets.where("n > 0").select("id", "digest").join(several, "id", "left_semi").distinct().join(own.select("digest", F.col("id").alias("b")), "digest").select(F.col("id").alias("a"), "b")
+    done = checkpointed(components(stars.union(more).union(ties)))
 
     of_set = own.select("digest", "id").join(done, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = sets.select("id", "n", "digest").join(of_set, "digest", "left")
-    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")))
+    # a row without words has the component that its id has by its other texts
+    of_id = several.join(done, F.col("id") == F.col("node")).select(F.col("id").alias("tied"), F.col("component").alias("of_id"))
+    out = out.join(of_id, F.col("id") == F.col("tied"), "left")
+    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.coalesce("of_id", "id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows, whole, less those of documents that are not the first of their group; of repeated rows of an id one stays.
+    """The rows, whole, less those whose text has a kept copy in a document before; of the rows of an id one stays.
 
-    Rows with a null id stay.
+    So a row goes by its own text, not by others with its id. Rows with a null id stay.
     """
-    rated = checkpointed(near_duplicates(df, id_col, text_col, words, percent).where(F.col(id_col).isNotNull()))
-    gone = rated.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone__id")).distinct()
-    left = df.join(gone, F.col(id_col) == F.col("gone__id"), "left_anti")
-    again = rated.groupBy(F.col(id_col).alias("again__id")).agg(F.count("*").alias("again__n")).where("again__n > 1").select("again__id")
+    marked = df.withColumn("one__mark", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    named = marked.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("one__id"), "one__mark")
+    counts = named.groupBy("one__id").agg(F.min("one__mark").alias("least"), F.max("one__mark").alias("most"), F.count("*").alias("one__n"))
+    again = checkpointed(counts.where("one__n > 1"))
     if again.isEmpty():
-        return left
+        return _firsts(df, id_col, text_col, words, percent)
+    if again.where("least <> most").isEmpty():
+        left = _firsts(df, id_col, text_col, words, percent)
+    else:
+        # texts that share an id are joined as documents of their own
+        texts = checkpointed(numbered(checkpointed(named.distinct()), [], ["one__id", "one__mark"], "one__node")).toDF("text__id", "text__mark", "one__node")
+        placed = marked.join(texts, (F.col(id_col).cast("long") == F.col("text__id")) & (F.col("one__mark") == F.col("text__mark"))).select("one__node", F.col(text_col).alias("one__text"))
+        rated = checkpointed(near_duplicates(placed.dropDuplicates(["one__node"]), "one__node", "one__text", words, percent))
+        heads = rated.join(texts, "one__node").groupBy("component_id").agg(F.min(F.struct("text__id", "text__mark")).alias("head"))
+        stay = heads.select(F.col("head.text__id").alias("stay__id"), F.col("head.text__mark").alias("stay__mark"))
+        left = marked.join(stay, (F.col(id_col).cast("long") == F.col("stay__id")) & (F.col("one__mark") == F.col("stay__mark")), "left_semi")
+        left = left.unionByName(marked.where(F.col(id_col).isNull())).drop("one__mark")
+    match = F.col(id_col).cast("long") == F.col("one__id")
     one = Window.partitionBy(id_col).orderBy(*[F.col(c) for c in df.columns])
-    repeated = left.join(again, F.col(id_col) == F.col("again__id"), "left_semi").withColumn("again__at", F.row_number().over(one)).where("again__at = 1").drop("again__at")
-    return left.join(again, F.col(id_col) == F.col("again__id"), "left_anti").unionByName(repeated)
+    repeated = left.join(again, match, "left_semi").withColumn("again__at", F.row_number().over(one)).where("again__at = 1").drop("again__at")
+    return left.join(again, match, "left_anti").unionByName(repeated)
+
+
+def _firsts(df: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """Rows of documents that are the first of their group, and rows with a null id."""
+    rated = near_duplicates(df, id_col, text_col, words, percent).where(F.col(id_col).isNotNull())
+    gone = checkpointed(rated.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone__id")).distinct())
+    return df.join(gone, F.col(id_col) == F.col("gone__id"), "left_anti")
