@@ -9,7 +9,8 @@ of the table is ranked in many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from vittles.functions.scalar import format_number, humanise, isclose, tokens
 from vittles.operators import ranking
 from vittles.operators.ranking import global_top_k, top_k_per_group
+from vittles.session import cut_lineage
 
 # Friendly nutrient labels, the nutrients shown by the
 # compare and detail views (in order) and those where higher is better.
@@ -39,6 +41,8 @@ def requests(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
 
 
 GRAM = 3
+# requests without a match that are ranked against all items in one pass
+BLOCK = 256
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -114,6 +118,20 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)).cast("double")
 
 
+def _blocks(df: DataFrame, n: int) -> Iterator[list]:
+    """The rows in lists of at most ``n``; one partition at a time is on the driver."""
+    rows = df.toLocalIterator()
+    while block := list(islice(rows, n)):
+        yield block
+
+
+def with_requests(items: DataFrame, block: Sequence) -> DataFrame:
+    """Every item with every (query_id, ql) of the block, written out in each
+    task from a literal: no join and no shuffle of items."""
+    asked = F.array(*[F.struct(F.lit(i).cast("long").alias("query_id"), F.lit(q).alias("ql")) for i, q in block])
+    return items.select(*items.columns, F.inline(asked))
+
+
 def ranked_search(
     items: DataFrame,
     req: DataFrame,
@@ -127,26 +145,32 @@ def ranked_search(
     """Per query, queries shorter than 2 characters return the ``limit``
     best-scored items; otherwise the coarse filter (all items when nothing
     passes), ranked by edit similarity desc, score desc, key (T1).  A query
-    that matches nothing ranks all items: a stated query against all rows,
-    reduced to ``limit`` rows in each task."""
+    that matches nothing ranks all items: ``BLOCK`` such queries at a time meet
+    all rows, reduced to ``limit`` rows in each task."""
     cols = [c for c in filter_cols if c in items.columns]
     r = req.select("query_id", F.lower(F.col("q")).alias("ql"), (F.length("q") < 2).alias("short"))
     long_q = r.where(~F.col("short"))
-    hits = containing(items, cols, long_q, "ql")
-    none = long_q.join(hits.select("query_id").distinct(), "query_id", "left_anti").withColumn("_all", F.lit(0))
-    every = items.withColumn("_item", F.lit(0)).join(none, F.col("_item") == F.col("_all")).drop("_item", "_all")
-    cand = hits.unionByName(every).withColumn("match_score", edit_similarity(F.col("ql"), _lower(text)))
-    ranked = top_k_per_group(cand, ["query_id"], [("match_score", "desc"), (score, "desc"), (key, "asc")], limit,
-                             salt_of=key)
     out_cols = ["query_id", *items.columns, "match_score", "rank"]
+
+    def best_of(cand: DataFrame) -> DataFrame:
+        cand = cand.withColumn("match_score", edit_similarity(F.col("ql"), _lower(text)))
+        top = top_k_per_group(cand, ["query_id"], [("match_score", "desc"), (score, "desc"), (key, "asc")], limit,
+                              salt_of=key)
+        return cut_lineage(top.select(*out_cols))
+
+    ranked = best_of(containing(items, cols, long_q, "ql"))
+    none = long_q.join(ranked.select("query_id").distinct(), "query_id", "left_anti").select("query_id", "ql")
+    for block in _blocks(none, BLOCK):
+        ranked = ranked.unionByName(best_of(with_requests(items, block)))
     # short queries: the global top list (``limit`` rows, a fixed bound), broadcast
-    # and attached through the request's ``short`` flag
+    # and attached through its ranks
     best = global_top_k(items, [(score, "desc"), (key, "asc")], limit)
     best = best.withColumns({"short": F.lit(True), "match_score": F.lit(None).cast("double")})
     best = best.withColumn("rank", F.row_number().over(
         Window.partitionBy("short").orderBy(F.col(score).desc(), F.col(key))))
-    short_rows = r.where(F.col("short")).select("query_id", "short").join(F.broadcast(best), "short")
-    return ranked.select(*out_cols).unionByName(short_rows.select(*out_cols))
+    ranks = F.explode(F.sequence(F.lit(1), F.lit(limit))).alias("rank")
+    short_rows = r.where(F.col("short")).select("query_id", ranks).join(F.broadcast(best), "rank")
+    return ranked.unionByName(short_rows.select(*out_cols))
 
 
 def apply_filters(df: DataFrame, *, low_sodium: bool = False, high_fiber: bool = False, form: str | None = None,
