@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import chat_events, jaccard_join, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
+from vittles.llm import bidiagonal_whitening, chat_events, jaccard_join, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
 from vittles.llm.common import table
 
 
@@ -69,6 +69,10 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edits(table(spark, sf_dir, "documents"))
 
 
+def op13_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bidiagonal_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_chat_events": op2_chat_events,
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_rule_quality": op8_rule_quality,
     "op9_pow2_packing": op9_pow2_packing,
     "op10_order_minhash": op10_order_minhash,
+    "op13_bidiagonal_whitening": op13_bidiagonal_whitening,
 }
 
 ORACLE: dict[str, str] = {
