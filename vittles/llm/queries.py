@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import bidiagonal_whitening, chat_events, jaccard_join, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
+from vittles.llm import bidiagonal_whitening, chat_events, grammar_runs, jaccard_join, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
 from vittles.llm.common import table
 
 
@@ -69,6 +72,29 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edits(table(spark, sf_dir, "documents"))
 
 
+def _planted(doc_id: int, n: int) -> np.ndarray | None:
+    """Numbers of the words that stand in a text of n words, where the contract makes it periodic from some word on."""
+    g, chosen = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if chosen or not n:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([np.arange(a), a + np.arange(n - a) % p])
+
+
+def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = grammar_runs.periodic_runs(table(spark, sf_dir, "documents"), rearrange=_planted)
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    # runs come by start and period, so the first of those with the greatest exponent stays
+    best = F.aggregate("runs", none, lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    rows = rows.withColumn("best", best)
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bidiagonal_whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -84,6 +110,7 @@ QUERIES = {
     "op8_rule_quality": op8_rule_quality,
     "op9_pow2_packing": op9_pow2_packing,
     "op10_order_minhash": op10_order_minhash,
+    "op12_grammar_runs": op12_grammar_runs,
     "op13_bidiagonal_whitening": op13_bidiagonal_whitening,
 }
 
