@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vittles.llm import bidiagonal_whitening, chat_events, grammar_runs, jaccard_join, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, rule_quality, secret_crf, toxicity_nb, tree_bpe
+from vittles.llm import bidiagonal_whitening, chat_events, grammar_runs, jaccard_join, kd_sharding, labelled, lattice_dedup, order_minhash, pow2_packing, pruned_graph, rule_quality, secret_crf, toxicity_nb, tree_bpe
 from vittles.llm.common import table
 
 
@@ -72,6 +72,12 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edits(table(spark, sf_dir, "documents"))
 
 
+def op11_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = pruned_graph.search(pruned_graph.build_index(vectors), vectors.where("vec_id % 100 = 0"))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def _planted(doc_id: int, n: int) -> np.ndarray | None:
     """Numbers of the words that stand in a text of n words, where the contract makes it periodic from some word on."""
     g, chosen = divmod(zlib.crc32(str(doc_id).encode()), 10)
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_rule_quality": op8_rule_quality,
     "op9_pow2_packing": op9_pow2_packing,
     "op10_order_minhash": op10_order_minhash,
+    "op11_pruned_graph": op11_pruned_graph,
     "op12_grammar_runs": op12_grammar_runs,
     "op13_bidiagonal_whitening": op13_bidiagonal_whitening,
 }
