@@ -512,7 +512,7 @@ def q32_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     probs = models.grade_probabilities(info, ff.select("fdc_id", "score", "grade"))
     pcols = [c for c in probs.columns if c.startswith("prob_")]
     return probs.select("fdc_id", "grade", *[r6(c).alias(c) for c in pcols],
-                        F.lit(info["cv_log_loss"]).alias("cv_log_loss"))
+                        r6(F.lit(info["cv_log_loss"])).alias("cv_log_loss"))
 
 
 def q33_driver_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -523,7 +523,7 @@ def q33_driver_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos, neg = models.top_drivers(models.contributions(ff, m))
     return ff.select("fdc_id", "is_healthy", r6(models.predict_enet(m, ff)).alias("healthy_pred"),
                      F.array_join(pos, ",").alias("positive"), F.array_join(neg, ",").alias("negative"),
-                     F.lit(m["cv_rmse"]).alias("cv_rmse"))
+                     r6(F.lit(m["cv_rmse"])).alias("cv_rmse"))
 
 
 

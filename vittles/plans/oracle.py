@@ -509,6 +509,96 @@ FROM formed"""
 
 
 
+# The features that vary over the parts, in the model's order, and their columns.
+_FEATS33 = [("protein_g", "protein_g_per100g"), ("fiber_g", "fiber_g_per100g"), ("potassium_mg", "potassium_mg_per100g"),
+            ("sugar_g", "sugar_g_per100g"), ("sodium_mg", "sodium_mg_per100g"), ("sat_fat_g", "sat_fat_g_per100g"),
+            ("energy_kcal", "energy_kcal_per100g"), ("energy_density", "energy_kcal_per100g")]
+_n33 = [n for n, _ in _FEATS33]
+
+
+def _each33(form: str, sep: str = ", ") -> str:
+    return sep.join(form.format(f=n, i=i + 1) for i, n in enumerate(_n33))
+
+
+# Set s leaves out fold s (-1: none). Coordinate descent: step i moves weight i % 8.
+Q33 = f"""WITH RECURSIVE {SCORED},
+ff AS MATERIALIZED (SELECT fdc_id, CASE WHEN grade IN ('A', 'B', 'C') THEN 1 ELSE 0 END AS y, {", ".join(f"{c} AS {n}" for n, c in _FEATS33)},
+  ('0x' || substr(md5('42:' || fdc_id), 1, 8))::BIGINT % 5 AS fold FROM scored),
+sets AS (SELECT unnest([-1, 0, 1, 2, 3, 4]) AS s),
+med AS (SELECT s, avg(y) AS my, {_each33("median({f}) AS med_{f}")} FROM ff JOIN sets ON fold <> s GROUP BY s),
+imp AS (SELECT s, my, fold, fdc_id, y, {_each33("coalesce({f}, med_{f}) AS {f}")} FROM ff CROSS JOIN med),
+st AS (SELECT s, {_each33("avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}")} FROM imp WHERE fold <> s GROUP BY s),
+z AS MATERIALIZED (SELECT imp.s, my, fold, fdc_id, y, {_each33("({f} - m_{f}) / (CASE WHEN s_{f} > 0 THEN s_{f} ELSE 1.0 END) AS {f}")}
+  FROM imp JOIN st ON imp.s = st.s),
+gram AS MATERIALIZED (SELECT s, [{", ".join("[" + ", ".join(f"avg({a} * {b})" for b in _n33) + "]" for a in _n33)}] AS g,
+  [{_each33("avg({f} * (y - my))")}] AS b FROM z WHERE fold <> s GROUP BY s),
+cd AS (SELECT s, 0 AS i, [{_each33("0.0")}]::DOUBLE[] AS w FROM sets
+  UNION ALL
+  SELECT s, i + 1, list_transform(w, lambda v, k: CASE WHEN k <> j THEN v ELSE sign(r) * greatest(abs(r) - 0.05, 0.0) / (g[j][j] + 0.05) END)
+  FROM (SELECT cd.s, i, w, g, i % 8 + 1 AS j, b[i % 8 + 1] - list_dot_product(g[i % 8 + 1], w) + g[i % 8 + 1][i % 8 + 1] * w[i % 8 + 1] AS r
+        FROM cd JOIN gram ON cd.s = gram.s WHERE i < 3200)),
+model AS MATERIALIZED (SELECT s, list_transform(w, lambda v: round(v, 9)) AS w FROM cd WHERE i = 3200),
+rated AS (SELECT z.s, fold, fdc_id, y, {_each33("w[{i}] * {f} AS c{i}")}, my + {_each33("w[{i}] * {f}", " + ")} AS pred FROM z JOIN model ON z.s = model.s),
+cv AS (SELECT sqrt(avg(e)) AS cv_rmse FROM (SELECT s, avg((y - pred) * (y - pred)) AS e FROM rated WHERE fold = s GROUP BY s)),
+own AS (SELECT * FROM rated WHERE s = -1),
+u AS ({" UNION ALL ".join(f"SELECT fdc_id, {_q(n)} AS f, {i} AS ord, round(c{i + 1}, 9) AS v FROM own" for i, n in enumerate(_n33))}),
+pos AS (SELECT fdc_id, string_agg(f, ',' ORDER BY rn) AS positive FROM (
+  SELECT fdc_id, f, row_number() OVER (PARTITION BY fdc_id ORDER BY v DESC, ord) AS rn FROM u WHERE v > 0) WHERE rn <= 3 GROUP BY fdc_id),
+neg AS (SELECT fdc_id, string_agg(f, ',' ORDER BY rn) AS negative FROM (
+  SELECT fdc_id, f, row_number() OVER (PARTITION BY fdc_id ORDER BY v, ord) AS rn FROM u WHERE v < 0) WHERE rn <= 3 GROUP BY fdc_id)
+SELECT own.fdc_id, y AS is_healthy, round(pred, 6) AS healthy_pred, coalesce(positive, '') AS positive, coalesce(negative, '') AS negative,
+  round(cv_rmse, 6) AS cv_rmse
+FROM own LEFT JOIN pos ON own.fdc_id = pos.fdc_id LEFT JOIN neg ON own.fdc_id = neg.fdc_id, cv"""
+
+# Grades that occur among the parts. The unknowns of a set are four weights of (score - 70) / 10 and four biases;
+# their sum is held at 0 by a square that costs nothing, so each Newton step solves eight regular equations.
+_G32 = "BCDE"
+
+
+def _h32(a: int, b: int) -> str:
+    k, m = a % 4 + 1, b % 4 + 1
+    x = ("x * x" if a < 4 and b < 4 else "x" if a < 4 or b < 4 else "1.0")
+    more = " + 0.01" if a == b and a < 4 else " + 1.0" if a >= 4 and b >= 4 else ""
+    return f"sum({x} * p{k} * ({'1.0' if k == m else '0.0'} - p{m})){more}"
+
+
+def _d32(a: int) -> str:
+    more = f" + 0.01 * any_value(t[{a + 1}])" if a < 4 else " + any_value(t[5] + t[6] + t[7] + t[8])"
+    return f"sum({'x' if a < 4 else '1.0'} * (p{a % 4 + 1} - y{a % 4 + 1})){more}"
+
+
+_soft32 = ", ".join(f"exp(z{k} - top) / (exp(z1 - top) + exp(z2 - top) + exp(z3 - top) + exp(z4 - top)) AS p{k}" for k in range(1, 5))
+_line32 = ", ".join(f"t[{k}] * x + t[{k + 4}] AS z{k}" for k in range(1, 5))
+
+
+def _probs32(rows: str) -> str:
+    return f"SELECT *, {_soft32} FROM (SELECT *, greatest(z1, z2, z3, z4) AS top FROM (SELECT *, {_line32} FROM {rows}))"
+
+
+Q32 = f"""WITH RECURSIVE {SCORED},
+r AS MATERIALIZED (SELECT fdc_id, score, grade, (score - 70.0) / 10.0 AS x, (row_number() OVER (PARTITION BY grade ORDER BY fdc_id) - 1) % 5 AS fold,
+  {", ".join(f"CASE WHEN grade = '{g}' THEN 1.0 ELSE 0.0 END AS y{k + 1}" for k, g in enumerate(_G32))} FROM scored),
+sets AS (SELECT unnest([-1, 0, 1, 2, 3, 4]) AS s),
+nt AS (SELECT s, 0 AS i, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[] AS t FROM sets
+  UNION ALL
+  SELECT s, i + 1, list_transform(t, lambda v, k: v - sol[k][9]) FROM (
+    SELECT s, i, t, list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda m, p: list_transform(m, lambda row, a:
+        CASE WHEN a = p THEN list_transform(row, lambda v: v / row[p])
+        ELSE list_transform(row, lambda v, b: v - row[p] * m[p][b] / m[p][p]) END), mat) AS sol FROM (
+      SELECT s, any_value(i) AS i, any_value(t) AS t,
+        [{", ".join("[" + ", ".join([*(_h32(a, b) for b in range(8)), _d32(a)]) + "]" for a in range(8))}] AS mat
+      FROM ({_probs32("(SELECT s, i, t, r.* FROM nt JOIN r ON fold <> s WHERE i < 40)")}) GROUP BY s))),
+model AS MATERIALIZED (SELECT s, t FROM nt WHERE i = 40),
+rated AS MATERIALIZED ({_probs32("(SELECT s, t, r.* FROM model JOIN r ON s IN (-1, fold))")}),
+cv AS (SELECT avg(e) AS cv_log_loss FROM (
+  SELECT s, avg(-ln(greatest(least(y1 * p1 + y2 * p2 + y3 * p3 + y4 * p4, 1 - 1e-15), 1e-15))) AS e FROM rated WHERE s >= 0 GROUP BY s)),
+m1 AS (SELECT fdc_id, grade, p2, p3, p4, max(p1) OVER (ORDER BY score, fdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p1
+  FROM rated WHERE s = -1),
+m2 AS (SELECT *, p1 + p2 + p3 + p4 AS tot FROM m1)
+SELECT fdc_id, grade, round(p1 / tot, 6) AS prob_B, round(p2 / tot, 6) AS prob_C, round(p3 / tot, 6) AS prob_D, round(p4 / tot, 6) AS prob_E,
+  round(p1 / tot, 6) AS prob_AB, round(cv_log_loss, 6) AS cv_log_loss FROM m2, cv"""
+
+
 _g35 = " UNION ALL ".join(
     f"SELECT {_q(name)} AS grp, score, grade FROM scored WHERE regexp_matches(lower(description), {_q(pat)})"
     for name, pat in B.PART_KEYWORD_GROUPS.items())
@@ -603,6 +693,8 @@ ORACLE = {
     "q29_monotone": Q29,
     "q30_drivers": Q30,
     "q31_features": Q31,
+    "q32_calibration": Q32,
+    "q33_driver_model": Q33,
     "q35_group_checks": Q35,
     "q36_mapped_matrix": Q36,
     "q37_large_join": Q37,
