@@ -114,3 +114,40 @@ def test_exact_quantiles_match_numpy(spark, equal):
     for g, x in (("a", a), ("b", b)):
         for p in (0.1, 0.25, 0.5, 0.9):
             assert got[(g, p)] == pytest.approx(np.quantile(x, p), abs=1e-12)
+
+
+@pytest.mark.parametrize("cores,block_rows", [(1, 7), (4, 11), (8, 7), (8, 11), (1, 1000), (4, 1000)])
+def test_cosine_ties_do_not_depend_on_the_cells(spark, monkeypatch, cores, block_rows):
+    rng = np.random.default_rng(3)
+    X = rng.integers(-2, 3, size=(60, 4)).astype(float)
+    X[5] = 0.0
+    df = spark.createDataFrame(pd.DataFrame({"k": range(100, 160), "v": [list(r) for r in X]}))
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: cores))
+    got = neighbors.cosine_top_k(df, "k", "v", 5, block_rows=block_rows, min_block_rows=5).toPandas()
+    exp = _brute_topk(list(range(100, 160)), X, 5)
+    assert {a: list(g.sort_values("rank")["neighbor_id"]) for a, g in got.groupby("id")} == {a: [b for b, _ in e] for a, e in exp.items()}
+
+
+def test_equal_vectors_visit_nothing(spark):
+    n = 100_000
+    same = spark.range(n).select(F.col("id").alias("k"), F.array(F.lit(1.0), F.lit(2.0), F.lit(0.5)).alias("v"))
+    others = spark.range(n, n + 50).select(F.col("id").alias("k"), F.array(F.lit(1.0), F.col("id") - n + 3.0, F.lit(0.5)).alias("v"))
+    visits = []
+    got = neighbors.cosine_top_k(same.unionByName(others), "k", "v", 3, block_rows=1000, visits=visits)
+    assert visits == [0] and got.count() == 3 * (n + 50)
+    lists = {r.id: r.l for r in got.where("id IN (0, 2, 99999)").groupBy("id").agg(F.array_sort(F.collect_list("neighbor_id")).alias("l")).collect()}
+    assert lists == {0: [1, 2, 3], 2: [0, 1, 3], 99999: [0, 1, 2]}
+    assert got.where("sim < 0.999999 AND id < 100000").count() == 0
+
+
+def test_groups_of_equal_vectors_match_brute_force(spark):
+    rng = np.random.default_rng(12)
+    X = rng.normal(size=(40, 3))[rng.integers(0, 40, 300)] * rng.choice([1.0, 2.0, 4.0], size=(300, 1))
+    df = spark.createDataFrame(pd.DataFrame({"k": range(300), "v": [list(r) for r in X]}))
+    for block_rows in (4, 1000):
+        got = neighbors.cosine_top_k(df, "k", "v", 6, block_rows=block_rows).toPandas()
+        U = X / np.linalg.norm(X, axis=1, keepdims=True)
+        S = np.round(U @ U.T, 9)
+        for a, g in got.groupby("id"):
+            want = sorted((-S[a, j], j) for j in range(300) if j != a)[:6]
+            assert np.allclose(g.sort_values("rank")["sim"], [-s for s, _ in want]) and set(g["neighbor_id"]) == {j for _, j in want}
