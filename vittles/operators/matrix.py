@@ -3,10 +3,10 @@
 The reference's row-apply functions (form inference, row conversion; U3)
 are column expressions here.
 
-Shuffle plan of ``long_to_wide``: one exchange on (key, name, amount) for the
-de-duplication and one on key for the pivot, both with map-side partial
-aggregation, so a key holding a third of the facts is combined before it
-is shuffled.
+Shuffle plan of ``long_to_wide``: the facts are exchanged once, by key and a
+small salt of the name, so a key holding a third of them goes to ``CODE_SALTS``
+tasks; duplicates go and means are made there, and only a mean for each key and
+name is exchanged again, by key.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from vittles.operators.ranking import first_per_key
 from vittles.session import broadcast_if_small
 
 
+CODE_SALTS = 4  # tasks over which the names of one key are dealt
+
+
 def coerce_facts(df: DataFrame, key: str, item: str, amount: str) -> DataFrame:
     """P1 + P3: ids and amount from text, rows with a NULL key dropped."""
     out = df.select(
@@ -44,9 +47,11 @@ def long_to_wide(
     # the fixed name list becomes a small integer code before the shuffles
     # (narrower rows, integer hashing); 0 = not in the list
     code = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(name)).cast("int")
-    dedup = facts.select(key, code.alias("_code"), F.col(amount).alias("_amt")).where(F.col("_code") > 0).distinct()
-    aggs = [F.avg(F.when(F.col("_code") == i + 1, F.col("_amt"))).alias(f"_{i}") for i in range(len(names))]
-    wide = dedup.groupBy(key).agg(*aggs)
+    coded = facts.select(key, code.alias("_code"), F.col(amount).alias("_amt")).where(F.col("_code") > 0)
+    dealt = coded.withColumn("_salt", F.col("_code") % CODE_SALTS).repartition(key, "_salt")
+    dedup = dealt.groupBy(key, "_salt", "_code", "_amt").agg(F.lit(1).alias("_one"))
+    means = dedup.groupBy(key, "_salt", "_code").agg(F.avg("_amt").alias("_mean"))
+    wide = means.groupBy(key).agg(*[F.max(F.when(F.col("_code") == i + 1, F.col("_mean"))).alias(f"_{i}") for i in range(len(names))])
     return wide.select(key, *[nan_to_null(F.col(f"_{i}")).alias(f"{n}{suffix}") for i, n in enumerate(names)])
 
 
