@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tests.llm.test_jaccard_join import brute
+from tests.llm.test_jaccard_settings import brute
 from tests.llm.test_secret_crf import plain_base
 
 D = "/root/testdata/sf0.01"
@@ -26,7 +26,7 @@ def test_stages_against_brute_force(spark):
         rated = [i for i in before if i in labels]
         assert np.mean([(i in now) == (labels[i][label] != bad) for i in rated]) > 0.95
         assert all(now[i] == before[i] for i in now)
-    assert sorted(single) == sorted(i for i, _, c in brute([(i, r.text) for i, r in clean.items()]) if i == c)
+    assert sorted(single) == sorted(i for i, _, c in brute([(i, r.text) for i, r in clean.items()], 5, 80) if i == c)
     assert masked.keys() == single.keys()
     for i, r in masked.items():
         base = plain_base(single[i].text)

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import re
 
@@ -36,6 +37,13 @@ def brute(rows):
     return sorted(((i, len(s), None if i is None else find(i)) for i, s in sets), key=repr)
 
 
+def firsts(rows):
+    """Of each group of linked texts the row with the least id (then digest); rows with a null id stay."""
+    texts = sorted({(i, hashlib.sha256((t or "").encode()).hexdigest(), t) for i, t in rows if i is not None}, key=lambda x: x[:2])
+    component = {i: c for i, _, c in brute([(k, t) for k, (_, _, t) in enumerate(texts)])}
+    return sorted([(i, t) for k, (i, _, t) in enumerate(texts) if component[k] == k] + [r for r in rows if r[0] is None], key=repr)
+
+
 def made(seed, n):
     rng = np.random.default_rng(seed)
     vocabulary, passage, out = [f"w{i}" for i in range(40)], " ".join(f"p{i}" for i in range(30)), []
@@ -84,9 +92,8 @@ def test_components_equal_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("digest", F.lit("x"))
     got = sorted((tuple(r) for r in jj.near_duplicates(df).collect()), key=repr)
     assert got == brute(rows)
-    kept = [r.doc_id for r in jj.keep_one(df).collect()]
-    first = {i for i, _, c in got if i is not None and i == c}
-    assert sorted(k for k in kept if k is not None) == sorted(first) and kept.count(None) == 1 and jj.keep_one(df).columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in jj.keep_one(df).collect()), key=repr)
+    assert kept == firsts(rows) and kept.count((3, rows[3][1])) + kept.count((3, rows[5][1])) >= 1 and jj.keep_one(df).columns == df.columns
     assert jj.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -98,3 +105,25 @@ def test_query_equals_brute_force_on_whole_table(spark):
 
 def test_boundary_weighs_both_costs():
     assert jj.boundary({5: 10, 20: 10}, 0.0) < 20 and jj.boundary({20: 10}, 1e9) >= 20 and jj.subsets_written(5) == 1
+
+
+def test_unlike_texts_of_one_id_both_stay(spark):
+    rows = [(1, "a b c d e f"), (1, "u v w x y z"), (1, "a b c d e f"), (2, "u v w x y z"), (2, "one two three four five"), (None, "u v w x y z"), (3, None), (3, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text or "") for r in jj.keep_one(df).collect()), key=repr)
+    assert got == sorted([(1, "a b c d e f"), (1, "u v w x y z"), (2, "one two three four five"), (None, "u v w x y z"), (3, "")], key=repr)
+
+
+def test_group_of_copies_in_unlike_sizes_is_linked(spark):
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in rng.integers(0, 10**6, 300)]
+    rows = [(i, " ".join(f"x{i}" if rng.random() < 0.004 else w for w in base[: 300 - int(rng.integers(0, 30))])) for i in range(150)]
+    rows += [(1000 + i, " ".join([f"n{i}w{j}" for j in range(200)] + base[:40])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jj.near_duplicates(df).collect()) == sorted(brute(rows))
+
+
+def test_sieve_grows_with_the_ids(spark):
+    for n in (0, 10, 100_000):
+        bits = 64 * len(jj._sieve(spark.range(n), n))
+        assert max(1 << 16, jj.SIEVE_SHARE * n) <= bits <= max(1 << 16, 2 * jj.SIEVE_SHARE * n)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: rows that one task numbers in `numbered`
@@ -30,6 +30,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def observed(df: DataFrame, *measures: Column) -> tuple[DataFrame, tuple]:
+    """`df` checkpointed, and aggregates of its rows taken in the same job."""
+    seen = Observation()
+    kept = checkpointed(df.observe(seen, *[m.alias(f"m{i}") for i, m in enumerate(measures)]))
+    return kept, tuple(seen.get[f"m{i}"] for i in range(len(measures)))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once per row and use it several times in `body`."""
     return F.transform(F.array(value), body)[0]

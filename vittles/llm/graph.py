@@ -2,43 +2,67 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vittles.llm.common import checkpointed
+from vittles.llm.common import observed
+
 
+def _stars(large: bool):
+    """Edges (u, v) come sorted; a node's neighbours pass by, its least one first.
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the least of the node and its neighbours."""
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy(F.col("u").alias("n")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, F.col("u") == F.col("n")).select(F.col("v").alias("a"), F.col("m").alias("b"))
+    Large: every larger neighbour is linked to the least of the node and its
+    neighbours. Small, of edges to smaller nodes: the node and its neighbours are linked
+    to the least of these.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, low = (None, None), np.int64(0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            u, v = (batch.column(i).to_numpy() for i in (0, 1))
+            new, again = np.ones(len(u), dtype=bool), np.zeros(len(u), dtype=bool)
+            new[1:] = u[1:] != u[:-1]
+            again[1:] = ~new[1:] & (v[1:] == v[:-1])
+            new[0], again[0] = u[0] != last[0], (u[0], v[0]) == last
+            starts = np.flatnonzero(new)
+            lows = np.concatenate([[low], np.minimum(u[starts], v[starts]) if large else v[starts]])
+            least = lows[np.cumsum(new)]
+            last, low = (u[-1], v[-1]), lows[-1]
+            if large:
+                out = ((v > u) & ~again,)
+                a, b = v[out[0]], least[out[0]]
+            else:
+                moved = (v != least) & ~again
+                a, b = np.concatenate([u[new], v[moved]]), np.concatenate([least[new], least[moved]])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are linked to the least of these."""
-    least = edges.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
-    moved = edges.join(least, F.col("a") == F.col("n")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
+    return run
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _passed(pairs: DataFrame, large: bool) -> DataFrame:
+    return pairs.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_stars(large), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (a, b): the least node that it reaches.
 
-    Each round is checkpointed. Stars of a hub are joined by the hub, a join that
-    adaptive execution splits; least neighbours are combined before the shuffle. Loops
-    and null ends are dropped; repeated edges count once; an empty table gives an empty table.
+    A round is one job of two exchanges, checkpointed; its count and hash sum, taken on
+    the way, tell when nothing changes. A hub's neighbours stream past in sorted order,
+    so none is held. Loops and null ends are dropped; repeated edges count once; an empty
+    table gives an empty table.
     """
-    clean = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = checkpointed(clean)
-    seen = _state(now)
+    now, seen = edges.where("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), None
     while True:
-        now = checkpointed(_small_star(_large_star(now)).distinct())
-        if (state := _state(now)) == seen:
+        both = now.select(F.inline(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))))
+        stars = _passed(_passed(both, True).select(F.col("a").alias("u"), F.col("b").alias("v")), False)
+        now, state = observed(stars, F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+        if state == seen:
             break
         seen = state
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -15,15 +15,17 @@ by the number of lists that they must share and by bitmaps, then verified on the
 whole sets.
 
 Long lists are not crossed: first every set of a list is compared with its neighbour by
-size, and the links found are closed to components, then once more with a random
-neighbour of another component. Then only sets of a list that
+size, and the links found are closed to components, then with a random neighbour of
+another component, again and again until a round links nothing. Then only sets of a list that
 still are in different components are paired, those outside the list's largest
-component with all others. So no link between components is missed, and a list that is
+component with all others, and only pairs become rows whose sizes and bitmaps allow a
+link. So no link between components is missed, and a list that is
 one group of copies costs its length.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 from collections.abc import Iterator
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vittles.llm.common import checkpointed, mix64, numbered
+from vittles.llm.common import checkpointed, mix64, numbered, observed
 from vittles.llm.graph import components
 
 #: defaults: Jaccard of links in percent, words of a shingle (what op6 asks for)
@@ -48,8 +50,10 @@ LIGHT = 24
 #: neighbours are compared at once if they share a quarter of the lists that they must share
 CHAIN = 4
 SHUFFLED = 77
-#: bits of a set's bitmap, and of the sieve of ids
-BITMAP, SIEVE = 1024, 1 << 23
+#: bits of a set's bitmap, and of its fold that list entries carry
+BITMAP, FOLDED = 1024, 512
+#: bits of the sieve for each id, and its least and greatest size; past it more texts are read than needed
+SIEVE_SHARE, SIEVE = 16, (1 << 16, 1 << 27)
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -206,10 +210,10 @@ def _keys(members: np.ndarray, light: int, common: np.ndarray, rank: np.ndarray,
     return lists, np.array(sorted(set(subsets)), dtype=np.uint64)
 
 
-def _bitmap(members: np.ndarray) -> bytes:
-    """Parity of members by hashed bit: sets that differ in d members differ in at most d bits."""
+def _bitmap(members: np.ndarray) -> np.ndarray:
+    """Parity of members by hashed bit, in longs: sets that differ in d members differ in at most d bits."""
     odd = np.bincount((members >> np.uint64(20)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]], words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -224,11 +228,11 @@ def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]], words: int
                 both = [_keys(s, light, hashes, ranks, percent) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([_bitmap(s) for s in sets], pa.binary()),
+                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([_bitmap(s) for s in sets], pa.list_(pa.int64())),
                      pa.array([k.view(np.int64) for k, _ in both], pa.list_(pa.int64())), pa.array([k.view(np.int64) for _, k in both], pa.list_(pa.int64()))],
                     names=["id", "n", "digest", "bitmap", "lists", "subsets"])
 
-    return docs.select("id", "text").mapInArrow(work, "id long, n long, digest binary, bitmap binary, lists array<long>, subsets array<long>")
+    return docs.select("id", "text").mapInArrow(work, "id long, n long, digest binary, bitmap array<long>, lists array<long>, subsets array<long>")
 
 
 def _need(n1: Column, n2: Column, percent: int) -> Column:
@@ -258,25 +262,32 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _bits_fit(m1: str, m2: str, n1: Column, n2: Column, percent: int, words: int = BITMAP // 64) -> Column:
+    """Whether bitmaps of so many longs differ in no more bits than sets of these sizes may differ in members, if they link."""
+    differ = sum((F.bit_count(F.get(m1, F.lit(i)).bitwiseXOR(F.get(m2, F.lit(i)))) for i in range(words)), F.lit(0))
+    return differ <= n1 + n2 - 2 * _need(n1, n2, percent)
+
+
+def _folded(bitmap: str) -> Column:
+    """A bitmap folded to fewer bits, which differ no more often."""
+    size, full = FOLDED // 64, BITMAP // 64
+    return F.array(*[functools.reduce(Column.bitwiseXOR, [F.get(bitmap, F.lit(j)) for j in range(i, full, size)]) for i in range(size)])
+
+
 def _similar_bitmaps(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose bitmaps differ in no more bits than their sets may differ in members."""
+    """Pairs (a, b) whose bitmaps allow a link."""
     one = maps.select(F.col("id").alias("a"), F.col("n").alias("n1"), F.col("bitmap").alias("m1"))
     two = maps.select(F.col("id").alias("b"), F.col("n").alias("n2"), F.col("bitmap").alias("m2"))
-    both = pairs.join(one, "a").join(two, "b")
-
-    def word(m: str, i: int) -> Column:
-        return F.conv(F.hex(F.substring(F.col(m), 8 * i + 1, 8)), 16, -10).cast("long")
+    return pairs.join(one, "a").join(two, "b").where(_bits_fit("m1", "m2", F.col("n1"), F.col("n2"), percent)).select("a", "b")
 
-    differ = sum((F.bit_count(word("m1", i).bitwiseXOR(word("m2", i))) for i in range(BITMAP // 64)), F.lit(0))
-    return both.where(differ <= F.col("n1") + F.col("n2") - 2 * _need(F.col("n1"), F.col("n2"), percent)).select("a", "b")
 
-
-def _sieve(ids: DataFrame) -> np.ndarray:
-    """Bits of a hash of the ids: a filter of fixed size, past which only the ids and a few others come."""
-    at = f"pmod(xxhash64(id), {SIEVE})"
+def _sieve(ids: DataFrame, rows: int) -> np.ndarray:
+    """Bits of a hash of the ids: a filter past which only these and a few others come, sized by their number."""
+    bits = min(max(SIEVE[0], 1 << (SIEVE_SHARE * rows - 1).bit_length() if rows else 0), SIEVE[1])
+    at = f"pmod(xxhash64(id), {bits})"
     bit = F.expr(f"shiftleft(1L, cast({at} % 64 AS int))")
     words = ids.groupBy(F.expr(f"{at} div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    sieve = np.zeros(SIEVE // 64, dtype="<u8")
+    sieve = np.zeros(bits // 64, dtype="<u8")
     sieve[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return sieve
 
@@ -288,8 +299,8 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
     to the first documents of its pairs.
     """
     routes = pairs.select(F.col("b").alias("id"), F.col("a").alias("target"), F.col("b").alias("other"))
-    routes = checkpointed(routes.union(pairs.select("a", F.col("a").alias("target"), F.lit(None).cast("long")).distinct()))
-    sieve = _sieve(routes)
+    routes, (rows,) = observed(routes.union(pairs.select("a", F.col("a").alias("target"), F.lit(None).cast("long")).distinct()), F.count("*"))
+    sieve = _sieve(routes, rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,7 +309,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
             for first, sets in _sets(batch, 1, words):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
 
-    placed = docs.where("id IS NOT NULL").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("bit"))
+    placed = docs.where("id IS NOT NULL").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(64 * len(sieve))).alias("bit"))
     sets = placed.mapInArrow(work, "id long, members binary")
     sent = sets.join(routes, "id").select(F.col("target").alias("a"), F.col("other").alias("b"), "members")
     # a set comes before those it is compared with; they pass by one at a time
@@ -367,38 +378,48 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # neighbours in a fair part of the lists that they must share; what this passes over is found below
     beside = near.where(F.col("p_id").isNotNull() & (F.col("id") != F.col("p_id"))).withColumn("some", F.when(F.col("spot") % 2 == 1, F.lit(1.0)).otherwise(_need_lists(n, p_n, percent) / CHAIN))
     chained = beside.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b")
-    chained = checkpointed(_similar_bitmaps(chained, maps, percent))
-    joined = components(verified(chained, docs, words, percent))
+    compared = checkpointed(_similar_bitmaps(chained, maps, percent))
+    joined = components(verified(compared, docs, words, percent))
+    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    lists = near.select("key", (F.col("spot") % 2).alias("small"), n.alias("n"), "id")
 
-    def opened(joined: DataFrame) -> DataFrame:
+    def opened(lists: DataFrame, joined: DataFrame) -> DataFrame:
         """Rows of lists that hold several components, with the largest one of the list."""
-        placed = near.select("key", "spot", "id").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        placed = placed.withColumn("small", F.col("spot") % 2)
+        placed = lists.select("key", "small", "n", "id").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         in_list = placed.groupBy("key", "small", "component").agg(F.count("*").alias("k"))
         mixed = in_list.groupBy(F.col("key").alias("m_key"), F.col("small").alias("m_small")).agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
         found = placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small")))
-        return checkpointed(found.select("key", "small", n.alias("n"), "id", "component", "main"))
-
-    # neighbours once more, now in a random order: sets that their neighbour by size did not link
-    in_turn = Window.partitionBy("key", "small").orderBy(F.xxhash64(F.lit(SHUFFLED), F.col("id")), "id")
-    last = F.lag(F.struct("id", "n", "component")).over(in_turn)
-    mates = opened(joined).withColumn("p", last).where((F.col("p.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
-    mates = mates.withColumn("some", F.when(F.col("small") == 1, F.lit(1.0)).otherwise(_need_lists(F.col("n"), F.col("p.n"), percent) / CHAIN)).withColumn("p_id", F.col("p.id"))
-    mates = mates.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b").join(chained, ["a", "b"], "left_anti")
-    mates = checkpointed(_similar_bitmaps(mates, maps, percent))
-    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    joined = components(stars.union(verified(mates, docs, words, percent)))
-
-    open_lists = opened(joined)
+        return checkpointed(found.select("key", "small", "n", "id", "component", "main"))
+
+    # neighbours in random orders, until they link nothing more
+    lists, turn = opened(lists, joined), 0
+    while True:
+        in_turn = Window.partitionBy("key", "small").orderBy(F.xxhash64(F.lit(SHUFFLED + turn), F.col("id")), "id")
+        mates = lists.withColumn("p", F.lag(F.struct("id", "n", "component")).over(in_turn)).where((F.col("p.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
+        mates = mates.withColumn("some", F.when(F.col("small") == 1, F.lit(1.0)).otherwise(_need_lists(F.col("n"), F.col("p.n"), percent) / CHAIN)).withColumn("p_id", F.col("p.id"))
+        mates = mates.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b").join(compared, ["a", "b"], "left_anti")
+        mates, (tried,) = observed(_similar_bitmaps(mates, maps, percent), F.count("*"))
+        if not tried:
+            break
+        compared = compared.union(mates)
+        links, (linked,) = observed(verified(mates, docs, words, percent), F.count("*"))
+        if not linked:
+            break
+        joined = components(stars.union(links))
+        stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        lists, turn = opened(lists, joined), turn + 1
+
+    folded = maps.select(F.col("id").alias("f_id"), _folded("bitmap").alias("bits"))
+    open_lists = checkpointed(lists.join(folded, F.col("id") == F.col("f_id")).drop("f_id"))
     x, y = open_lists.where("component <> main").alias("x"), open_lists.alias("y")
     # each list gives a pair of different components once
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component")) & once & _sizes_fit(F.col("x.n"), F.col("y.n"), percent))
+    may = _sizes_fit(F.col("x.n"), F.col("y.n"), percent) & _bits_fit("x.bits", "y.bits", F.col("x.n"), F.col("y.n"), percent, FOLDED // 64)
+    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component")) & once & may)
     crossed = crossed.select(*_pair("x.id", "y.id"), F.col("x.small").alias("small"), _need_lists(F.col("x.n"), F.col("y.n"), percent).alias("need"))
     crossed = crossed.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("small").alias("small"), F.min("need").alias("need"))
-    crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(chained.union(mates), ["a", "b"], "left_anti")
+    crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(compared, ["a", "b"], "left_anti")
     more = verified(checkpointed(_similar_bitmaps(crossed, maps, percent)), docs, words, percent)
-    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     # a document with several texts ties their sets
     several = checkpointed(sets.where("id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("id"))
     ties = sets.where("n > 0").select("id", "digest").join(several, "id", "left_semi").distinct().join(own.select("digest", F.col("id").alias("b")), "digest").select(F.col("id").alias("a"), "b")
@@ -414,18 +435,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows, whole, less those whose text has a kept copy in a document before; of the rows of an id one stays.
+    """The rows, whole, less those whose text has a kept copy before; of rows with one id and equal texts one stays.
 
-    So a row goes by its own text, not by others with its id. Rows with a null id stay.
+    So a row goes by its own text, not by others with its id, and unlike texts under one
+    id all stay. Rows with a null id stay. A null text is an empty one.
     """
     marked = df.withColumn("one__mark", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     named = marked.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("one__id"), "one__mark")
     counts = named.groupBy("one__id").agg(F.min("one__mark").alias("least"), F.max("one__mark").alias("most"), F.count("*").alias("one__n"))
-    again = checkpointed(counts.where("one__n > 1"))
-    if again.isEmpty():
+    again, (several, unlike) = observed(counts.where("one__n > 1"), F.count("*"), F.count_if(F.col("least") != F.col("most")))
+    if not several:
         return _firsts(df, id_col, text_col, words, percent)
-    if again.where("least <> most").isEmpty():
-        left = _firsts(df, id_col, text_col, words, percent)
+    if not unlike:
+        left = _firsts(marked, id_col, text_col, words, percent)
     else:
         # texts that share an id are joined as documents of their own
         texts = checkpointed(numbered(checkpointed(named.distinct()), [], ["one__id", "one__mark"], "one__node")).toDF("text__id", "text__mark", "one__node")
@@ -434,11 +456,11 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
         heads = rated.join(texts, "one__node").groupBy("component_id").agg(F.min(F.struct("text__id", "text__mark")).alias("head"))
         stay = heads.select(F.col("head.text__id").alias("stay__id"), F.col("head.text__mark").alias("stay__mark"))
         left = marked.join(stay, (F.col(id_col).cast("long") == F.col("stay__id")) & (F.col("one__mark") == F.col("stay__mark")), "left_semi")
-        left = left.unionByName(marked.where(F.col(id_col).isNull())).drop("one__mark")
+        left = left.unionByName(marked.where(F.col(id_col).isNull()))
     match = F.col(id_col).cast("long") == F.col("one__id")
-    one = Window.partitionBy(id_col).orderBy(*[F.col(c) for c in df.columns])
+    one = Window.partitionBy(id_col, "one__mark").orderBy(*[F.col(c) for c in df.columns])
     repeated = left.join(again, match, "left_semi").withColumn("again__at", F.row_number().over(one)).where("again__at = 1").drop("again__at")
-    return left.join(again, match, "left_anti").unionByName(repeated)
+    return left.join(again, match, "left_anti").unionByName(repeated).drop("one__mark")
 
 
 def _firsts(df: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
