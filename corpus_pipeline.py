@@ -34,8 +34,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates."""
-    return jaccard_join.keep_one(docs)
+    """The first document of each group of near duplicates: shingles of five words, a Jaccard of 0.8 or more."""
+    return jaccard_join.keep_one(docs, words=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
