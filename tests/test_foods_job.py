@@ -6,6 +6,7 @@ import pytest
 from vittles.operators import quality, scorecard
 from vittles.plans import foods_job
 from vittles.plans.fdc import CANONICAL_ORDER
+from vittles.sources import buckets
 
 NUTRIENTS = [
     (1008, "Energy", "KCAL", 208), (1062, "Energy", "kJ", 268), (1003, "Protein", "G", 203),
@@ -118,3 +119,27 @@ def test_cli_entry_point(fdc, spark, tmp_path, capsys):
     printed = capsys.readouterr().out.strip().splitlines()[-1]
     assert '"neighbours"' in printed
     assert spark.read.parquet(f"{out}/nn_index.parquet").groupBy("fdc_id").count().agg({"count": "max"}).first()[0] <= 2
+
+
+def test_bucketed_tables_join_without_an_exchange(fdc, spark, tmp_path):
+    _, ds, _, paths = fdc
+    laid = foods_job.Paths(paths.data_root, str(tmp_path / "staging"), paths.processed_dir, paths.dictionaries_dir, 4)
+    foods_job.stage(spark, laid)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined, _ = foods_job.joined_foods(spark, laid)
+        rows = {r["fdc_id"]: r for r in joined.collect()}
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") >= 3 and "hashpartitioning(fdc_id" not in plan and plan.count("Bucketed: true") >= 4
+        plain, _ = foods_job.joined_foods(spark, paths)
+        assert "hashpartitioning(fdc_id" in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for r in ds.collect():
+        assert all(rows[r["fdc_id"]][c] == r[c] for c in joined.columns)
+    for name in foods_job.KEYED:  # a new session opens them from the layout
+        spark.sql(f"DROP TABLE {buckets._table(laid.staging_dir, name)}")
+    assert buckets.open_bucketed(spark, laid.staging_dir, "food").count() == 6
+    assert buckets.open_bucketed(spark, laid.staging_dir, "sr_legacy_food") is None
+    assert [buckets.bucket_count(n) for n in (0, 1, 2_000_000, 2_000_001, 10**9)] == [1, 1, 1, 2, 512]

@@ -41,14 +41,17 @@ def long_to_wide(
     amount: str,
     names: Sequence[str],
     suffix: str = "_per100g",
+    colocated: bool = False,
 ) -> DataFrame:
     """A1 + A2: mean of the distinct amounts per (key, name), pivoted to a
-    fixed column list.  Names without data give NULL columns; +-inf -> NULL."""
+    fixed column list.  Names without data give NULL columns; +-inf -> NULL.
+    ``colocated``: the facts are bucketed by the key, so nothing is exchanged."""
     # the fixed name list becomes a small integer code before the shuffles
     # (narrower rows, integer hashing); 0 = not in the list
     code = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(name)).cast("int")
     coded = facts.select(key, code.alias("_code"), F.col(amount).alias("_amt")).where(F.col("_code") > 0)
-    dealt = coded.withColumn("_salt", F.col("_code") % CODE_SALTS).repartition(key, "_salt")
+    salted = coded.withColumn("_salt", F.col("_code") % CODE_SALTS)
+    dealt = salted if colocated else salted.repartition(key, "_salt")
     dedup = dealt.groupBy(key, "_salt", "_code", "_amt").agg(F.lit(1).alias("_one"))
     means = dedup.groupBy(key, "_salt", "_code").agg(F.avg("_amt").alias("_mean"))
     wide = means.groupBy(key).agg(*[F.max(F.when(F.col("_code") == i + 1, F.col("_mean"))).alias(f"_{i}") for i in range(len(names))])
@@ -64,21 +67,22 @@ def nutrient_matrix(
     item: str = "nutrient_id",
     amount: str = "amount",
     suffix: str = "_per100g",
+    colocated: bool = False,
 ) -> DataFrame:
     """R9 (P4 + P12 + A1 + A2).
 
     ``mapping`` is the small dimension (item id, canonical name, factor) built
     by ``units.mapping_with_factors``; it has at most one row per canonical
-    name, so broadcasting it is bounded by ``len(names)``.  One broadcast
+    name there, and is broadcast after a check of its size.  One
     inner join both filters to mapped ids and attaches the name (P4); the
     lenient conversion (P12) multiplies by a factor that is 1.0 when no
     conversion applies.
     """
-    dim = F.broadcast(mapping.select(F.col(item), F.col("canonical_name"), F.col("factor")))
+    dim = broadcast_if_small(mapping.select(F.col(item), F.col("canonical_name"), F.col("factor")))
     converted = facts.join(dim, item, "inner").select(
         F.col(key), F.col("canonical_name"), (F.col(amount) * F.col("factor")).alias("amount_target_unit")
     )
-    return long_to_wide(converted, key, "canonical_name", "amount_target_unit", names, suffix)
+    return long_to_wide(converted, key, "canonical_name", "amount_target_unit", names, suffix, colocated)
 
 
 def primary_servings(

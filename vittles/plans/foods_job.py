@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vittles.functions.scalar import blank_to_null, to_double, to_long_id
 from vittles.operators import matrix, models, neighbors, quality, scorecard, stats, units
 from vittles.plans.fdc import CANONICAL_NUTRIENTS, CANONICAL_ORDER, LIQUID_KEYWORDS, NEIGHBOUR_FEATURES, RECO_DEFAULTS
-from vittles.sources import io
+from vittles.sources import buckets, io
 from vittles.sources.contracts import Contract
 from vittles.session import broadcast_if_small, cut_lineage
 
@@ -61,6 +61,12 @@ class Paths:
     staging_dir: str
     processed_dir: str
     dictionaries_dir: str
+    #: staged tables that are joined by fdc_id are also written in so many buckets; None: plain files only
+    buckets: int | None = None
+
+
+# tables joined by fdc_id
+KEYED = ("food", "branded_food", "food_portion", "food_nutrient")
 
 
 def stage(spark: SparkSession, paths: Paths, *, fill_empty: bool = False) -> list[str]:
@@ -75,6 +81,9 @@ def stage(spark: SparkSession, paths: Paths, *, fill_empty: bool = False) -> lis
         raw = io.read_text_csv(spark, src, multiline=name != "food_nutrient")
         io.write_staged(contract(name).apply(raw, name), f"{paths.staging_dir}/{name}.parquet", fill_empty=fill_empty)
         staged.append(name)
+        if paths.buckets and name in KEYED:
+            plain = spark.read.parquet(f"{paths.staging_dir}/{name}.parquet")
+            buckets.write_bucketed(plain, paths.staging_dir, name, "fdc_id", paths.buckets)
     if {"food_nutrient", "nutrient"} <= set(staged):
         fn = spark.read.parquet(f"{paths.staging_dir}/food_nutrient.parquet")
         nu = spark.read.parquet(f"{paths.staging_dir}/nutrient.parquet").select(
@@ -92,9 +101,20 @@ def _load(spark: SparkSession, paths: Paths, name: str, cols: list[str] | None =
                          schema=contract(name).empty(spark).schema)
 
 
-def build_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True) -> tuple[DataFrame, DataFrame]:
-    """R9 + W1 + J3-J7 + P5-P8 + A3: the wide foods dataset and the nutrient
-    mapping table (P9b)."""
+def _load_keyed(spark: SparkSession, paths: Paths, name: str, cols: list[str]) -> DataFrame:
+    """A table with fdc_id as a long: the bucketed one where it was staged, so
+    that joins on fdc_id need no exchange, else the plain one."""
+    df = buckets.open_bucketed(spark, paths.staging_dir, name) if paths.buckets else None
+    if df is not None:
+        return df.select(*[c for c in cols if c in df.columns])
+    df = _load(spark, paths, name, cols)
+    return df.withColumn("fdc_id", to_long_id("fdc_id"))
+
+
+def joined_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True) -> tuple[DataFrame, DataFrame]:
+    """R9 + W1 + J3-J7 + P5-P8: the wide foods dataset, and the nutrient mapping
+    (P9b).  Over bucketed tables its joins on fdc_id, the matrix and the primary
+    servings are made bucket by bucket."""
     nutrients = _load(spark, paths, "nutrient", ["id", "name", "unit_name", "nutrient_nbr"])
     patterns = units.pattern_table(spark, CANONICAL_NUTRIENTS)
     mapping = units.nutrient_mapping(nutrients.withColumn("nutrient_nbr", to_double("nutrient_nbr")), patterns)
@@ -102,20 +122,19 @@ def build_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True
     if missing:
         raise LookupError(f"Unable to resolve nutrient ids for {[r[0] for r in missing]}")
 
-    food = _load(spark, paths, "food", FDC_REQUIRED["food"] + FDC_OPTIONAL["food"])
-    food = food.withColumn("fdc_id", to_long_id("fdc_id"))
+    food = _load_keyed(spark, paths, "food", FDC_REQUIRED["food"] + FDC_OPTIONAL["food"])
     cat = _load(spark, paths, "food_category")
     food, numeric = _category(food, cat)
     food = _wweia(spark, paths, food)
-    branded = _load(spark, paths, "branded_food",
-                    ["fdc_id", "brand_owner", "household_serving_fulltext", "serving_size", "serving_size_unit"])
-    branded = branded.withColumn("fdc_id", to_long_id("fdc_id"))
+    branded = _load_keyed(spark, paths, "branded_food",
+                          ["fdc_id", "brand_owner", "household_serving_fulltext", "serving_size", "serving_size_unit"])
     if blank_is_null:
         branded = branded.withColumn("household_serving_fulltext", blank_to_null("household_serving_fulltext"))
     meta = food.join(branded, "fdc_id", "left")
 
-    facts = matrix.coerce_facts(_load(spark, paths, "food_nutrient", ["fdc_id", "nutrient_id", "amount"]),
-                                "fdc_id", "nutrient_id", "amount")
+    facts = _load_keyed(spark, paths, "food_nutrient", ["fdc_id", "nutrient_id", "amount"])
+    facts = facts.select("fdc_id", to_long_id("nutrient_id").alias("nutrient_id"), to_double("amount").alias("amount"))
+    facts = facts.where(F.col("fdc_id").isNotNull() & F.col("nutrient_id").isNotNull())
     quality.enforce(quality.non_empty(facts, "food_nutrient_non_empty"))
     nu_ids = nutrients.select(to_long_id("id").alias("id"), blank_to_null("unit_name").alias("unit_name"))
     quality.enforce(quality.report([
@@ -124,9 +143,9 @@ def build_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True
                                 nu_ids, "nutrient_id", "unit_name", MAX_UNMATCHED_UNIT_SHARE, right_key="id"),
     ]))
     dim = units.mapping_with_factors(mapping, patterns, nu_ids)
-    wide = matrix.nutrient_matrix(facts, dim, CANONICAL_ORDER)
+    wide = matrix.nutrient_matrix(facts, dim, CANONICAL_ORDER, colocated=bool(paths.buckets))
 
-    portions = _load(spark, paths, "food_portion").withColumn("fdc_id", to_long_id("fdc_id"))
+    portions = _load_keyed(spark, paths, "food_portion", FDC_REQUIRED["food_portion"])
     servings = matrix.primary_servings(portions, _load(spark, paths, "measure_unit").withColumn("id", to_long_id("id")),
                                        blank_is_null=blank_is_null)
     ds = meta.join(wide, "fdc_id", "left")
@@ -137,12 +156,18 @@ def build_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True
     ds = ds.join(broadcast_if_small(overrides.withColumnRenamed("form", "_override")), "fdc_id", "left")
     ds = ds.withColumn("form", matrix.form_tag(["description", "food_category", "wweia_category"], LIQUID_KEYWORDS,
                                                override="_override")).drop("_override")
+    return ds, mapping.orderBy("canonical_name")
+
+
+def build_foods(spark: SparkSession, paths: Paths, *, blank_is_null: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``joined_foods`` with the robust z-scores (A3) of every nutrient."""
+    ds, mapping = joined_foods(spark, paths, blank_is_null=blank_is_null)
     per100 = [f"{n}_per100g" for n in CANONICAL_ORDER]
     # the build is materialised once, then read by the statistics and the result
     ds = cut_lineage(ds)
     ds = stats.robust_z(ds, per100, z_suffix="_z", clipped_suffix=None)
     ds = ds.withColumns({f"{c}_clipped": matrix_clip(F.col(f"{c}_z")) for c in per100})
-    return ds, mapping.orderBy("canonical_name")
+    return ds, mapping
 
 
 def matrix_clip(c):
@@ -235,12 +260,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="processed output folder")
     ap.add_argument("--dictionaries", default="", help="folder with form_overrides.csv (optional)")
     ap.add_argument("--neighbours", type=int, default=RECO_DEFAULTS["n_neighbors"])
+    ap.add_argument("--buckets", type=int, default=None, help="bucket the staged tables by fdc_id (optional)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("vittles-foods").getOrCreate()
     from vittles.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    paths = Paths(a.data_root, a.staging_dir, a.out, a.dictionaries or f"{a.data_root}/dictionaries")
+    paths = Paths(a.data_root, a.staging_dir, a.out, a.dictionaries or f"{a.data_root}/dictionaries", a.buckets)
     print(json.dumps(run(spark, paths, k=a.neighbours)))
 
 
