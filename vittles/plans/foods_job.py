@@ -18,6 +18,7 @@ from vittles.operators import matrix, models, neighbors, quality, scorecard, sta
 from vittles.plans.fdc import CANONICAL_NUTRIENTS, CANONICAL_ORDER, LIQUID_KEYWORDS, NEIGHBOUR_FEATURES, RECO_DEFAULTS
 from vittles.sources import buckets, io
 from vittles.sources.contracts import Contract
+from vittles.sources.split_csv import read_split_csv
 from vittles.session import broadcast_if_small, cut_lineage
 
 # Per-file renames applied before the contract check, and the
@@ -78,7 +79,9 @@ def stage(spark: SparkSession, paths: Paths, *, fill_empty: bool = False) -> lis
         src = f"{paths.data_root}/{name}.csv"
         if not io.path_exists(spark, src):
             continue
-        raw = io.read_text_csv(spark, src, multiline=name != "food_nutrient")
+        # the facts hold no quoted line ends; the other tables by food may, and are large
+        raw = read_split_csv(spark, src) if name in KEYED and name != "food_nutrient" else io.read_text_csv(
+            spark, src, multiline=name != "food_nutrient")
         io.write_staged(contract(name).apply(raw, name), f"{paths.staging_dir}/{name}.parquet", fill_empty=fill_empty)
         staged.append(name)
         if paths.buckets and name in KEYED:
