@@ -16,7 +16,7 @@ whole sets.
 
 Long lists are not crossed: first every set of a list is compared with its neighbour by
 size, and the links found are closed to components, then with a random neighbour of
-another component, again and again until a round links nothing. Then only sets of a list that
+another component, again and again while most of them link. Then only sets of a list that
 still are in different components are paired, those outside the list's largest
 component with all others, and only pairs become rows whose sizes and bitmaps allow a
 link. So no link between components is missed, and a list that is
@@ -49,7 +49,8 @@ COMMON = 2000
 LIGHT = 24
 #: neighbours are compared at once if they share a quarter of the lists that they must share
 CHAIN = 4
-SHUFFLED = 77
+#: seed of the random orders, and the share of neighbours that must link for another round
+SHUFFLED, FRUITFUL = 77, 0.5
 #: bits of a set's bitmap, and of its fold that list entries carry
 BITMAP, FOLDED = 1024, 512
 #: bits of the sieve for each id, and its least and greatest size; past it more texts are read than needed
@@ -391,7 +392,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found = placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small")))
         return checkpointed(found.select("key", "small", "n", "id", "component", "main"))
 
-    # neighbours in random orders, until they link nothing more
+    # neighbours in random orders, while most of them link; the rest is paired below
     lists, turn = opened(lists, joined), 0
     while True:
         in_turn = Window.partitionBy("key", "small").orderBy(F.xxhash64(F.lit(SHUFFLED + turn), F.col("id")), "id")
@@ -403,11 +404,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
         compared = compared.union(mates)
         links, (linked,) = observed(verified(mates, docs, words, percent), F.count("*"))
-        if not linked:
+        if linked:
+            joined = components(stars.union(links))
+            stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            lists, turn = opened(lists, joined), turn + 1
+        # pieces of one group link nearly always, unrelated sets that share a passage never
+        if linked < FRUITFUL * tried:
             break
-        joined = components(stars.union(links))
-        stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        lists, turn = opened(lists, joined), turn + 1
 
     folded = maps.select(F.col("id").alias("f_id"), _folded("bitmap").alias("bits"))
     open_lists = checkpointed(lists.join(folded, F.col("id") == F.col("f_id")).drop("f_id"))
