@@ -33,3 +33,33 @@ def test_unmatched_requests_rank_all_items_without_a_cross_join(spark, monkeypat
         rated.sort(key=lambda x: (-(x[1] or 0), -x[0][2], x[0][0]))
         want += [(n, i[0], k) for k, (i, _) in enumerate(rated[:4] if len(q) > 1 else sorted(rated, key=lambda x: (-x[0][2], x[0][0]))[:4], 1)]
     assert sorted((r.query_id, r.fdc_id, r["rank"]) for r in got.select("query_id", "fdc_id", F.col("rank")).collect()) == sorted(want)
+
+
+def test_few_distances_are_computed(spark):
+    items = [(i, f"{'abcdefgh'[i % 8] * (1 + i % 9)} {i * 7919 % 1009} {'tail' * (i % 6)}", float(i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(items, "fdc_id long, description string, nutrition_score double").repartition(4)
+    asked = ["zq tail", "hhhh 17z", "no 999 tailtail", "éé"]
+    calls = spark.sparkContext.accumulator(0)
+    got = search.ranked_search(df, search.requests(spark, asked), limit=5, calls=calls)
+    want = []
+    for n, q in enumerate(asked, 1):
+        rated = sorted(((1 - distance(q, i[1]) / max(len(q), len(i[1])), i) for i in items), key=lambda x: (-x[0], -x[1][2], x[1][0]))
+        want += [(n, i[0], k) for k, (_, i) in enumerate(rated[:5], 1)]
+    assert sorted((r.query_id, r.fdc_id, r["rank"]) for r in got.select("query_id", "fdc_id", F.col("rank")).collect()) == sorted(want)
+    print(calls.value); assert 0 < calls.value < 0.35 * len(items) * len(asked)
+
+
+def test_pages_come_from_few_partitions(spark, tmp_path):
+    from vittles.operators import ranking
+
+    df = spark.range(5000).select("id", (F.col("id") * 7919 % 301).alias("s"), F.when(F.col("id") % 10 > 0, F.col("id") % 5).alias("t"))
+    order = [("s", "desc"), ("t", "asc"), ("id", "asc")]
+    ranking.write_order_index(df, order, str(tmp_path / "index"), partition_rows=400)
+    want = sorted(((r.s, r.t, r.id) for r in df.collect()), key=lambda r: (-r[0], r[1] is None, r[1] or 0, r[2]))
+    for page in (1, 7, 50, 200, 201):
+        got = ranking.indexed_page(spark, str(tmp_path / "index"), order, page, 25)
+        assert [(r.s, r.t, r.id) for r in got.collect()] == want[(page - 1) * 25 : page * 25]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(_pid" in plan or "PartitionFilters: [_pid" in plan or page == 201
+        read = got._jdf.queryExecution().executedPlan().toString().count("rangepartitioning(s")
+        assert read == 0

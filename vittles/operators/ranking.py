@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -94,6 +94,38 @@ def page(df: DataFrame, order: Order, page_number: int, page_size: int = 25) ->
     return df.orderBy(*sort_cols(order)).offset(start).limit(page_size)
 
 
+def write_order_index(df: DataFrame, order: Order, folder: str, partition_rows: int = 100_000) -> None:
+    """The table in a total order, as a stored index for ``indexed_page``.
+
+    Rows are range-partitioned on the full order into files of about
+    ``partition_rows`` (a directory for each), and a count table holds, for each
+    partition, its rows and the rows before it.  End ``order`` with a key, as rows
+    equal in all its columns share a partition."""
+    partitions = max(1, -(-df.count() // partition_rows))
+    placed = df.repartitionByRange(partitions, *sort_cols(order)).sortWithinPartitions(*sort_cols(order))
+    placed.withColumn("_pid", F.spark_partition_id()).write.mode("overwrite").partitionBy("_pid").parquet(f"{folder}/rows")
+    spark = df.sparkSession
+    counts = spark.read.schema("_pid int").parquet(f"{folder}/rows").groupBy("_pid").agg(F.count(F.lit(1)).alias("n"))
+    # a row for each partition
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).write.mode("overwrite").parquet(f"{folder}/counts")
+
+
+def indexed_page(spark: SparkSession, folder: str, order: Order, page_number: int, page_size: int = 25) -> DataFrame:
+    """A 1-based page from a stored order index: the counts tell which
+    partitions hold it, only these are read, and only their rows are numbered."""
+    start = (max(int(page_number), 1) - 1) * page_size
+    counts = spark.read.parquet(f"{folder}/counts")
+    held = counts.where((F.col("before") < start + page_size) & (F.col("before") + F.col("n") > start)).collect()
+    rows = spark.read.parquet(f"{folder}/rows").where(F.col("_pid").isin([r["_pid"] for r in held]))
+    first = F.create_map(*[F.lit(x) for r in held for x in (r["_pid"], r["before"])]) if held else F.lit(None)
+    place = F.row_number().over(Window.partitionBy("_pid").orderBy(*sort_cols(order))) - 1
+    if held:
+        place = place + first[F.col("_pid")]
+    rows = rows.withColumn("_place", place).where((F.col("_place") >= start) & (F.col("_place") < start + page_size))
+    return rows.orderBy("_place").drop("_pid", "_place")
+
+
 def _range_partitioned(df: DataFrame, order: Order, partitions: int | None) -> DataFrame:
     """Range-partition on the full order so a value shared by a third of the
     rows is split by the trailing key; ``_pid`` is the ordered range index."""

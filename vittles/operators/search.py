@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vittles.functions.scalar import format_number, humanise, isclose, tokens
 from vittles.operators import ranking
+from vittles.operators.edit_top import best_by_edit
 from vittles.operators.ranking import global_top_k, top_k_per_group
 from vittles.session import cut_lineage
 
@@ -125,13 +126,6 @@ def _blocks(df: DataFrame, n: int) -> Iterator[list]:
         yield block
 
 
-def with_requests(items: DataFrame, block: Sequence) -> DataFrame:
-    """Every item with every (query_id, ql) of the block, written out in each
-    task from a literal: no join and no shuffle of items."""
-    asked = F.array(*[F.struct(F.lit(i).cast("long").alias("query_id"), F.lit(q).alias("ql")) for i, q in block])
-    return items.select(*items.columns, F.inline(asked))
-
-
 def ranked_search(
     items: DataFrame,
     req: DataFrame,
@@ -141,12 +135,14 @@ def ranked_search(
     filter_cols: Sequence[str] = ("description", "food_category", "wweia_category"),
     score: str = "nutrition_score",
     limit: int = 20,
+    calls=None,
 ) -> DataFrame:
     """Per query, queries shorter than 2 characters return the ``limit``
     best-scored items; otherwise the coarse filter (all items when nothing
     passes), ranked by edit similarity desc, score desc, key (T1).  A query
-    that matches nothing ranks all items: ``BLOCK`` such queries at a time meet
-    all rows, reduced to ``limit`` rows in each task."""
+    that matches nothing ranks all items, ``BLOCK`` such queries in one pass over
+    them: a task computes distances only where the bounds of ``edit_top`` leave room
+    (``calls``, an accumulator, counts them) and sends ``limit`` rows a query."""
     cols = [c for c in filter_cols if c in items.columns]
     r = req.select("query_id", F.lower(F.col("q")).alias("ql"), (F.length("q") < 2).alias("short"))
     long_q = r.where(~F.col("short"))
@@ -161,7 +157,11 @@ def ranked_search(
     ranked = best_of(containing(items, cols, long_q, "ql"))
     none = long_q.join(ranked.select("query_id").distinct(), "query_id", "left_anti").select("query_id", "ql")
     for block in _blocks(none, BLOCK):
-        ranked = ranked.unionByName(best_of(with_requests(items, block)))
+        few = best_by_edit(items, [(r["query_id"], r["ql"]) for r in block], key, text, score, limit, calls)
+        # ``limit`` rows a task and query: joined with their items, then ranked
+        full = few.join(items, key)
+        top = top_k_per_group(full, ["query_id"], [("match_score", "desc"), (score, "desc"), (key, "asc")], limit, salt_of=key)
+        ranked = ranked.unionByName(cut_lineage(top.select(*out_cols)))
     # short queries: the global top list (``limit`` rows, a fixed bound), broadcast
     # and attached through its ranks
     best = global_top_k(items, [(score, "desc"), (key, "asc")], limit)

@@ -10,6 +10,8 @@ are seven measures derived from every ``lineitem`` row of the part.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from vittles.functions.scalar import r6, to_double, to_long_id
 from vittles.operators import (matrix, models, neighbors, quality, ranking, scorecard, search, stats, substitute,
                                units)
 from vittles.plans.fdc import BASE_FEATURE_MAP, CANONICAL_ORDER, NEIGHBOUR_FEATURES
-from vittles.session import broadcast_if_small, cut_lineage, table
+from vittles.session import broadcast_if_small, cut_lineage, ensure_checkpoint_dir, table
 from vittles.sources import contracts
 
 # Fixed values of the test binding: which lineitem measure plays which nutrient
@@ -412,7 +414,7 @@ def q26_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     comp = foods.agg(stats.completeness(foods, feats).alias("value")).select(
         F.lit("completeness").alias("check"), (F.col("value") >= 0.95).alias("passed"), "value")
     emb = neighbors.cosine_top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 10)
-    probs = q29_probabilities(spark, sf_dir)
+    probs = q29_probabilities(spark, sf_dir, foods)
     checks = [
         quality.many_to_one(part, "p_partkey"),
         quality.unmatched_share(li, part, "l_partkey", "p_name", right_key="p_partkey"),
@@ -463,8 +465,8 @@ def q28_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROB_CLASSES = ["A", "B", "C", "D", "E"]
 
 
-def q29_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    foods = scored_parts(spark, sf_dir).select("fdc_id", "score")
+def q29_probabilities(spark: SparkSession, sf_dir: str, foods: DataFrame | None = None) -> DataFrame:
+    foods = (scored_parts(spark, sf_dir) if foods is None else foods).select("fdc_id", "score")
     fl = F.floor("score")
     w = {"A": F.pmod(fl, F.lit(5)), "B": 1 + F.pmod(fl, F.lit(7)), "C": F.lit(2), "D": 1 + F.pmod(fl, F.lit(3)), "E": F.lit(3)}
     tot = w["A"] + w["B"] + w["C"] + w["D"] + w["E"]
@@ -590,7 +592,7 @@ def q40_swap_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     worst five, probability sums, and the completed per-serving columns."""
     foods = cut_lineage(substitution_foods(spark, sf_dir))
     subs = cut_lineage(substitute.substitutions(foods, part_edges(spark, sf_dir, foods), k=N_SUBSTITUTES))
-    probs = q29_probabilities(spark, sf_dir)
+    probs = q29_probabilities(spark, sf_dir, foods)
     again = matrix.ensure_per_serving(foods.drop("protein_g_perserving"), CANONICAL_ORDER)
     lacking = quality.column_pairs(again, CANONICAL_ORDER)
     same = again.join(foods.select(F.col("fdc_id").alias("_id"), F.col("protein_g_perserving").alias("_was")), F.col("fdc_id") == F.col("_id"))
@@ -632,6 +634,27 @@ def q43_filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brands.join(left, "p_brand", "left")
 
 
+LINE_ORDER = [("l_extendedprice", "desc"), ("l_orderkey", "asc"), ("l_linenumber", "asc")]
+LINE_PAGE = 100
+
+
+def q44_last_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last page of all lineitems by price, from a stored order index."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/order-index-{uuid.uuid4().hex}"
+    ranking.write_order_index(li, LINE_ORDER, folder)
+    return ranking.indexed_page(spark, folder, LINE_ORDER, -(-li.count() // LINE_PAGE), LINE_PAGE)
+
+
+GROUP_ENDS = 3
+
+
+def q45_group_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 + W13: the worst and best three parts of each keyword group."""
+    ends = stats.keyword_group_ends(scored_parts(spark, sf_dir), "fdc_id", "description", PART_KEYWORD_GROUPS, GROUP_ENDS)
+    return ends.select("group", "end", "rank", "fdc_id", r6("score").alias("score"))
+
+
 QUERIES = {
     "q01_contract": q01_contract,
     "q02_text_staging": q02_text_staging,
@@ -674,4 +697,6 @@ QUERIES = {
     "q41_labels": q41_labels,
     "q42_compare_wide": q42_compare_wide,
     "q43_filter_options": q43_filter_options,
+    "q44_last_page": q44_last_page,
+    "q45_group_ends": q45_group_ends,
 }

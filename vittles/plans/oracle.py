@@ -662,6 +662,17 @@ LEFT JOIN (SELECT p_brand, count(*) AS n, max(p_name || ' (' || p_partkey || ')'
            WHERE NOT p_size > 25 GROUP BY p_brand) USING (p_brand)"""
 
 
+Q44 = """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber
+LIMIT 100 OFFSET (SELECT ((count(*) + 99) // 100 - 1) * 100 FROM lineitem)"""
+
+Q45 = f"""WITH {SCORED},
+g(grp, pattern) AS (VALUES ('anvils', '\\banvil'), ('bolts', 'bolt'), ('hot_or_cold', '^(hot|cold) '), ('gizmo_widget', 'gizmo|widget')),
+m AS (SELECT grp, fdc_id, score FROM scored JOIN g ON regexp_matches(lower(description), pattern)),
+r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score, fdc_id) AS low, row_number() OVER (PARTITION BY grp ORDER BY score DESC, fdc_id) AS high FROM m)
+SELECT grp AS "group", 'worst' AS "end", CAST(low AS INTEGER) AS rank, fdc_id, round(score, 6) AS score FROM r WHERE low <= 3
+UNION ALL SELECT grp, 'best', CAST(high AS INTEGER), fdc_id, round(score, 6) FROM r WHERE high <= 3"""
+
+
 ORACLE = {
     "q01_contract": Q01,
     "q02_text_staging": Q02,
@@ -704,4 +715,6 @@ ORACLE = {
     "q41_labels": Q41,
     "q42_compare_wide": Q42,
     "q43_filter_options": Q43,
+    "q44_last_page": Q44,
+    "q45_group_ends": Q45,
 }
