@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from vittles.session import cut_lineage
+from vittles.session import broadcast_if_small, cut_lineage
 
 Order = Sequence[tuple[str, str]]  # (column, "asc" | "desc")
 
@@ -140,14 +140,14 @@ def row_number_in_group(df: DataFrame, group: str, order: Order, out: str, parti
     """1-based row number within each group in a total order, without one task
     per group: rows are numbered inside the range partitions of (group, order),
     and shifted by the group's rows in the partitions before (one row per group
-    and partition, broadcast)."""
+    and partition, broadcast if small)."""
     r = _range_partitioned(df, [(group, "asc"), *order], partitions)
     w = Window.partitionBy("_pid", group).orderBy(*sort_cols(order))
     earlier = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = r.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_n")).select(
         F.col(group).alias("_bg"), F.col("_pid").alias("_bp"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     r = r.withColumn("_local", F.row_number().over(w)).join(
-        F.broadcast(counts), F.col(group).eqNullSafe(F.col("_bg")) & (F.col("_pid") == F.col("_bp")))
+        broadcast_if_small(counts), F.col(group).eqNullSafe(F.col("_bg")) & (F.col("_pid") == F.col("_bp")))
     return r.withColumn(out, F.col("_local") + F.col("_before")).drop("_pid", "_bg", "_bp", "_before", "_local")
 
 

@@ -1,14 +1,82 @@
 """DuckDB forms of the bound queries (the driver's correctness oracle).
 
-Written independently of the Spark code: plain SQL over the pre-registered
-views.  Float outputs are rounded to 6 decimals, as on the Spark side.
+Written independently of the Spark code, constants included: plain SQL over the
+pre-registered views.  Float outputs are rounded to 6 decimals, as on the Spark side.
 """
 
 from __future__ import annotations
 
-from vittles.plans import bindings as B
-from vittles.plans.bindings import LINEITEM_MEASURES, SERVING_SIZE_LIMIT
-from vittles.plans.fdc import CANONICAL_ORDER, CONVERSION_FACTORS, UNIT_SYNONYMS
+# Fixed values, stated here apart from the code under test: what the queries ask for
+# (measures, units, patterns, requests, limits) and the names and factors of the domain.
+BAD_AMOUNT_TEXT = {'error': 'n/a', 'view': ''}
+BASE_FEATURE_MAP = [('protein_g', 'protein_g_per100g'), ('fiber_g', 'fiber_g_per100g'), ('potassium_mg', 'potassium_mg_per100g'),
+ ('added_sugar_g', 'added_sugar_g_per100g'), ('sugar_g', 'sugar_g_per100g'), ('sodium_mg', 'sodium_mg_per100g'),
+ ('sat_fat_g', 'sat_fat_g_per100g'), ('total_fat_g', 'total_fat_g_per100g'), ('carbs_g', 'carbs_g_per100g'),
+ ('energy_kcal', 'energy_kcal_per100g'), ('mono_fat_g', 'mono_fat_g_per100g'), ('poly_fat_g', 'poly_fat_g_per100g')]
+DRIVER_COEFS = {'protein_g_per100g': 0.8,
+ 'fiber_g_per100g': 0.6,
+ 'potassium_mg_per100g': 0.3,
+ 'sugar_g_per100g': -0.4,
+ 'sodium_mg_per100g': -0.5,
+ 'sat_fat_g_per100g': -0.7,
+ 'energy_kcal_per100g': -0.2}
+EVENT_TYPES = ['click', 'error', 'purchase', 'signup', 'view', 'refund']
+EVENT_UNITS = {'click': 'mg', 'error': 'MCG', 'purchase': ' g ', 'signup': 'kJ', 'view': 'oz'}
+LINEITEM_STAT_COLS = ['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']
+MIN_FEATURES = 6
+NEIGHBOUR_FEATURES = ['protein_g_per100g', 'fiber_g_per100g', 'potassium_mg_per100g', 'added_sugar_g_per100g', 'sugar_g_per100g',
+ 'sodium_mg_per100g', 'sat_fat_g_per100g', 'total_fat_g_per100g', 'carbs_g_per100g', 'energy_kcal_per100g',
+ 'mono_fat_g_per100g', 'poly_fat_g_per100g']
+N_NEIGHBOURS = 50
+N_SUBSTITUTES = 5
+OVERRIDE_BRAND = 'Brand#13'
+PART_FORM_KEYWORDS = ['old', 'ring', 'izm', 'promo']
+PART_KEYWORD_GROUPS = {'anvils': '\\banvil', 'bolts': 'bolt', 'hot_or_cold': '^(hot|cold) ', 'gizmo_widget': 'gizmo|widget'}
+PART_PATTERNS = [('gear_mg', 'mg', ['\\bcogs?\\b', '\\bgears?\\b']), ('bolt_g', 'g', ['^(blue|red) bolt$', 'bolt']),
+ ('rod_kcal', 'kcal', ['\\bhot\\b.*\\brod\\b']), ('plate_ug', 'ug', ['plate']),
+ ('ring_g', 'g', ['^(small|large)\\s+ring$']), ('gizmo_kj', 'kj', ['GIZMO', 'widget']),
+ ('spring_g', 'g', ['\\bsprings?\\b'])]
+PART_TYPE_UNITS = {'ECONOMY': 'mg', 'STANDARD': ' MCG ', 'LARGE': 'g', 'SMALL': 'kJ', 'PROMO': 'kcal', 'MEDIUM': 'IU'}
+RANKED_QUERIES = ['blue bolt', 'gear', 'zzqx', 'b', 'old rod']
+SEARCH_LIMIT = 20
+SERVING_WEIGHT_PER_SIZE = 10
+TOKEN_QUERIES = ['blue bolt', 'Brand#1 gear', 'cold xyz', 'HOT', '   ']
+URGENT = '1-URGENT'
+LINEITEM_MEASURES = [('protein_g', 'l_quantity'), ('fiber_g', 'floor(l_discount * 300 + 0.5)'),
+ ('potassium_mg', 'floor(l_extendedprice / 10 + 0.5)'), ('sodium_mg', 'floor(l_extendedprice / 400 + 0.5)'),
+ ('sat_fat_g', 'floor(l_tax * 25 + 0.5)'), ('sugar_g', 'l_quantity / 16'),
+ ('energy_kcal', 'floor(l_extendedprice / 1000 + 0.5)')]
+SERVING_SIZE_LIMIT = 45
+CANONICAL_ORDER = ['energy_kcal', 'protein_g', 'total_fat_g', 'sat_fat_g', 'mono_fat_g', 'poly_fat_g', 'carbs_g', 'fiber_g', 'sugar_g',
+ 'added_sugar_g', 'sodium_mg', 'potassium_mg']
+CONVERSION_FACTORS = {('ug', 'mg'): 0.001,
+ ('ug', 'g'): 1e-06,
+ ('mg', 'g'): 0.001,
+ ('mg', 'ug'): 1000.0,
+ ('g', 'mg'): 1000.0,
+ ('g', 'ug'): 1000000.0,
+ ('kj', 'kcal'): 0.239005736,
+ ('kcal', 'kj'): 4.184}
+UNIT_SYNONYMS = {'µg': 'ug',
+ 'μg': 'ug',
+ 'mcg': 'ug',
+ 'ug': 'ug',
+ 'mg': 'mg',
+ 'g': 'g',
+ 'kg': 'kg',
+ 'kcal': 'kcal',
+ 'calorie': 'kcal',
+ 'kilocalorie': 'kcal',
+ 'kj': 'kj',
+ 'unit': 'unit'}
+FRIENDLY_NAMES = {'energy_kcal': 'Calories',
+ 'protein_g': 'Protein',
+ 'carbs_g': 'Carbs',
+ 'fiber_g': 'Fiber',
+ 'sugar_g': 'Sugar',
+ 'added_sugar_g': 'Added Sugar',
+ 'sodium_mg': 'Sodium',
+ 'sat_fat_g': 'Saturated Fat'}
 
 
 def _cap(expr: str, ref: float) -> str:
@@ -53,7 +121,7 @@ wide AS (
 ds AS (
  SELECT p.p_partkey AS fdc_id, p.p_name AS description, p.p_brand AS brand_owner, p.p_type AS food_category,
     p.p_size, p.p_retailprice,
-    coalesce(CASE WHEN p.p_size <= {SERVING_SIZE_LIMIT} THEN CAST(p.p_size * {B.SERVING_WEIGHT_PER_SIZE} AS DOUBLE) END, 100.0) AS w,
+    coalesce(CASE WHEN p.p_size <= {SERVING_SIZE_LIMIT} THEN CAST(p.p_size * {SERVING_WEIGHT_PER_SIZE} AS DOUBLE) END, 100.0) AS w,
     coalesce(CASE WHEN p.p_size <= {SERVING_SIZE_LIMIT} THEN 'size ' || CAST(p.p_size AS VARCHAR) END, '100 g') AS serving_desc,
     wide.* EXCLUDE (fdc_id)
  FROM part p LEFT JOIN wide ON wide.fdc_id = p.p_partkey
@@ -134,7 +202,7 @@ Q02 = """SELECT coalesce(CAST(p_partkey AS VARCHAR), '') AS p_partkey, coalesce(
   coalesce(p_brand, '') AS p_brand, coalesce(nullif(p_type, 'PROMO'), '') AS p_type,
   coalesce(CAST(p_size AS VARCHAR), '') AS p_size FROM part"""
 
-_amount_text = "(CASE event_type " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in B.BAD_AMOUNT_TEXT.items()) \
+_amount_text = "(CASE event_type " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in BAD_AMOUNT_TEXT.items()) \
     + r" ELSE regexp_extract(props, '(\d+)', 1) END)"
 Q03 = f"""WITH t AS (
   SELECT event_id, CASE WHEN value < 1.0 THEN '' ELSE CAST(user_id AS VARCHAR) || '.0' END AS user_text,
@@ -142,17 +210,17 @@ Q03 = f"""WITH t AS (
 SELECT event_id, {_to_id('user_text')} AS user_id, {_to_double('amount_text')} AS amount
 FROM t WHERE {_to_id('user_text')} IS NOT NULL"""
 
-_ev_unit = f"(CASE WHEN value >= 300.0 THEN NULL ELSE {_map_case('event_type', B.EVENT_UNITS)} END)"
+_ev_unit = f"(CASE WHEN value >= 300.0 THEN NULL ELSE {_map_case('event_type', EVENT_UNITS)} END)"
 Q04 = f"""WITH u AS (SELECT event_id, value, {_norm_unit(_ev_unit)} AS unit FROM events)
 SELECT event_id, unit, round(value * coalesce({_factor('unit', "'mg'")}, 1.0), 6) AS value_mg FROM u"""
 
 _pat_rows = ", ".join(f"({_q(n)}, {i}, {_q(p)}, {j}, {_q(u)})"
-                      for i, (n, u, pats) in enumerate(B.PART_PATTERNS) for j, p in enumerate(pats))
+                      for i, (n, u, pats) in enumerate(PART_PATTERNS) for j, p in enumerate(pats))
 _pairs = ", ".join(_q(a + "|" + b) for (a, b) in CONVERSION_FACTORS)
 Q05 = f"""WITH nutr AS (
   SELECT p_partkey AS nutrient_id, trim(p_name) AS nutrient_name,
-    {_map_case('p_type', B.PART_TYPE_UNITS)} AS raw_unit,
-    {_norm_unit(_map_case('p_type', B.PART_TYPE_UNITS))} AS unit,
+    {_map_case('p_type', PART_TYPE_UNITS)} AS raw_unit,
+    {_norm_unit(_map_case('p_type', PART_TYPE_UNITS))} AS unit,
     CASE WHEN p_size <= {SERVING_SIZE_LIMIT} THEN p_size END AS nbr
   FROM part),
 pats(canonical_name, ord, pattern, pattern_ord, target_unit) AS (VALUES {_pat_rows}),
@@ -167,9 +235,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY canonical_name
         ORDER BY pattern_ord, us DESC, ns DESC, nutrient_id) AS rn FROM cand)
 SELECT canonical_name, nutrient_id, nutrient_name, unit_name, matched_pattern FROM r WHERE rn = 1"""
 
-_ev_cols = ",\n  ".join(f"round(avg(value) FILTER (WHERE event_type = {_q(t)}), 6) AS {t}" for t in B.EVENT_TYPES)
+_ev_cols = ",\n  ".join(f"round(avg(value) FILTER (WHERE event_type = {_q(t)}), 6) AS {t}" for t in EVENT_TYPES)
 Q06 = f"""WITH d AS (SELECT DISTINCT user_id, event_type, value FROM events
-  WHERE event_type IN ({", ".join(_q(t) for t in B.EVENT_TYPES)}))
+  WHERE event_type IN ({", ".join(_q(t) for t in EVENT_TYPES)}))
 SELECT user_id,
   {_ev_cols}
 FROM d GROUP BY user_id"""
@@ -185,13 +253,13 @@ Q09 = f"""WITH {SCORED}
 SELECT coalesce(food_category, 'Unknown') AS food_category, coalesce(grade, 'Unknown') AS grade,
   count(*) AS count FROM scored GROUP BY ALL"""
 
-_kw = " OR ".join(f"contains(txt, {_q(k)})" for k in B.PART_FORM_KEYWORDS)
+_kw = " OR ".join(f"contains(txt, {_q(k)})" for k in PART_FORM_KEYWORDS)
 Q10 = f"""WITH t AS (
   SELECT p_partkey, p_brand, p_size,
     lower(concat_ws(' ', nullif(trim(p_name), ''), nullif(trim(p_type), ''),
                          nullif(trim(nullif(p_brand, 'Brand#1')), ''))) AS txt FROM part)
 SELECT p_partkey AS fdc_id,
-  coalesce(CASE WHEN p_brand = {_q(B.OVERRIDE_BRAND)} THEN 'gel' END,
+  coalesce(CASE WHEN p_brand = {_q(OVERRIDE_BRAND)} THEN 'gel' END,
            CASE WHEN {_kw} THEN 'liquid' ELSE 'solid' END) AS form,
   CASE WHEN p_size <= {SERVING_SIZE_LIMIT} THEN 0 ELSE 1 END AS size_missing
 FROM t"""
@@ -217,7 +285,7 @@ SELECT p_partkey,
 FROM b, m, d"""
 
 _l12 = " UNION ALL ".join(f"SELECT {_q(c)} AS name, CAST({c} AS DOUBLE) AS value FROM lineitem"
-                          for c in B.LINEITEM_STAT_COLS)
+                          for c in LINEITEM_STAT_COLS)
 Q12 = f"""WITH l AS (SELECT * FROM ({_l12}) WHERE value IS NOT NULL),
 s AS (SELECT name, avg(value) AS mean, quantile_cont(value, 0.1) AS p10, quantile_cont(value, 0.9) AS p90,
         median(value) AS median FROM l GROUP BY name),
@@ -257,7 +325,7 @@ FROM scored"""
 
 # Features of the part binding that carry data (the measured nutrients), in index order.
 _measured = {n for n, _ in LINEITEM_MEASURES}
-FEATS = [f for f in B.NEIGHBOUR_FEATURES if f.replace("_per100g", "") in _measured]
+FEATS = [f for f in NEIGHBOUR_FEATURES if f.replace("_per100g", "") in _measured]
 _nn = " + ".join(f"(CASE WHEN {f} IS NULL THEN 0 ELSE 1 END)" for f in FEATS)
 _qs = ", ".join(f"quantile_cont({f}, 0.25) AS q1_{f}, median({f}) AS m_{f}, quantile_cont({f}, 0.75) AS q3_{f}"
                 for f in FEATS)
@@ -270,7 +338,7 @@ def _scaled(f: str) -> str:
 
 
 SCALED = f"""{SCORED},
-el AS (SELECT * FROM scored WHERE serving_gram_weight IS NOT NULL AND ({_nn}) >= {B.MIN_FEATURES}),
+el AS (SELECT * FROM scored WHERE serving_gram_weight IS NOT NULL AND ({_nn}) >= {MIN_FEATURES}),
 qs AS (SELECT {_qs} FROM el),
 sc AS (SELECT fdc_id, score, {", ".join(f"{_scaled(f)} AS {f}_scaled" for f in FEATS)} FROM el, qs)"""
 
@@ -296,14 +364,14 @@ vec AS (SELECT fdc_id, score, {_unit("[" + ", ".join(f"{f}_scaled" for f in FEAT
 pairs AS (SELECT a.fdc_id, b.fdc_id AS neighbor_id, list_dot_product(a.u, b.u) AS cos_sim, a.score AS base_score
           FROM vec a JOIN vec b ON a.fdc_id <> b.fdc_id),
 edges AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fdc_id ORDER BY cos_sim DESC, neighbor_id) AS rn
-          FROM pairs) WHERE rn <= {B.N_NEIGHBOURS})"""
+          FROM pairs) WHERE rn <= {N_NEIGHBOURS})"""
 
-_kw19 = " OR ".join(f"contains(txt, {_q(k)})" for k in B.PART_FORM_KEYWORDS)
+_kw19 = " OR ".join(f"contains(txt, {_q(k)})" for k in PART_FORM_KEYWORDS)
 FOODS19 = f"""{EDGES},
 ft AS (SELECT *, lower(concat_ws(' ', nullif(trim(description), ''), nullif(trim(food_category), ''),
                  nullif(trim(nullif(brand_owner, 'Brand#1')), ''))) AS txt FROM scored),
 foods AS (SELECT fdc_id, score, grade, food_category AS grp, kcal_per_serv AS kcal, sodium_mg_perserving AS sodium,
-   coalesce(CASE WHEN brand_owner = {_q(B.OVERRIDE_BRAND)} THEN 'gel' END,
+   coalesce(CASE WHEN brand_owner = {_q(OVERRIDE_BRAND)} THEN 'gel' END,
             CASE WHEN {_kw19} THEN 'liquid' ELSE 'solid' END) AS form FROM ft)"""
 
 
@@ -335,8 +403,8 @@ t3 AS (
     'score +' || CAST(greatest(0, {_hi('c.score - b.score')}) AS VARCHAR) AS why, 3 AS tier,
     CAST(row_number() OVER (PARTITION BY b.fdc_id ORDER BY c.score DESC, c.fdc_id) AS INTEGER) AS rank
   FROM foods b JOIN foods c ON c.score >= b.score + 10.0),
-allt AS (SELECT * FROM t1 WHERE rank <= {B.N_SUBSTITUTES} UNION ALL SELECT * FROM t2 WHERE rank <= {B.N_SUBSTITUTES}
-         UNION ALL SELECT * FROM t3 WHERE rank <= {B.N_SUBSTITUTES}),
+allt AS (SELECT * FROM t1 WHERE rank <= {N_SUBSTITUTES} UNION ALL SELECT * FROM t2 WHERE rank <= {N_SUBSTITUTES}
+         UNION ALL SELECT * FROM t3 WHERE rank <= {N_SUBSTITUTES}),
 best AS (SELECT *, min(tier) OVER (PARTITION BY fdc_id) AS bt FROM allt)"""
 
 Q19 = f"""WITH {BEST19}
@@ -356,7 +424,7 @@ SELECT covered, total, round(covered / greatest(total, 1), 6) AS coverage FROM c
 FORMED = f"""{SCORED},
 ftx AS (SELECT *, lower(concat_ws(' ', nullif(trim(description), ''), nullif(trim(food_category), ''),
                  nullif(trim(nullif(brand_owner, 'Brand#1')), ''))) AS txt FROM scored),
-formed AS (SELECT * EXCLUDE (txt), coalesce(CASE WHEN brand_owner = {_q(B.OVERRIDE_BRAND)} THEN 'gel' END,
+formed AS (SELECT * EXCLUDE (txt), coalesce(CASE WHEN brand_owner = {_q(OVERRIDE_BRAND)} THEN 'gel' END,
             CASE WHEN {_kw19} THEN 'liquid' ELSE 'solid' END) AS form FROM ftx)"""
 
 
@@ -365,7 +433,7 @@ def _req(queries: list[str]) -> str:
 
 
 Q21 = f"""WITH {FORMED},
-{_req(B.TOKEN_QUERIES)},
+{_req(TOKEN_QUERIES)},
 tk AS (SELECT query_id, list_filter(string_split_regex(lower(q), '\\s+'), lambda x: x <> '') AS toks FROM req),
 tok AS (SELECT query_id, unnest(toks) AS tok, unnest(generate_series(0, len(toks) - 1)) AS pos, len(toks) AS ntok
         FROM tk WHERE len(toks) > 0),
@@ -385,7 +453,7 @@ _coarse = ("(contains(lower(coalesce(f.description, '')), fl.ql) OR "
 _lev = ("1.0 - levenshtein(fl.ql, lower(coalesce(f.description, ''))) / "
         "CAST(greatest(length(fl.ql), length(lower(coalesce(f.description, ''))), 1) AS DOUBLE)")
 Q22 = f"""WITH {FORMED},
-{_req(B.RANKED_QUERIES)},
+{_req(RANKED_QUERIES)},
 r AS (SELECT query_id, lower(q) AS ql, length(q) < 2 AS short FROM req),
 lq AS (SELECT * FROM r WHERE NOT short),
 hits AS (SELECT fl.query_id, count(*) AS n FROM formed f JOIN lq fl ON {_coarse} GROUP BY fl.query_id),
@@ -394,11 +462,11 @@ cand AS (SELECT fl.query_id, f.*, {_lev} AS match_score FROM formed f JOIN fl ON
 rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY match_score DESC, nutrition_score DESC, fdc_id)
        AS rank FROM cand),
 best AS (SELECT *, row_number() OVER (ORDER BY nutrition_score DESC, fdc_id) AS rank FROM formed
-         ORDER BY nutrition_score DESC, fdc_id LIMIT {B.SEARCH_LIMIT}),
+         ORDER BY nutrition_score DESC, fdc_id LIMIT {SEARCH_LIMIT}),
 sh AS (SELECT r.query_id, best.fdc_id, best.description, best.grade, best.nutrition_score,
          CAST(NULL AS DOUBLE) AS match_score, best.rank FROM r JOIN best ON r.short)
 SELECT CAST(query_id AS BIGINT) AS query_id, fdc_id, description, grade, round(nutrition_score, 6) AS nutrition_score,
-  round(match_score, 6) AS match_score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= {B.SEARCH_LIMIT}
+  round(match_score, 6) AS match_score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= {SEARCH_LIMIT}
 UNION ALL
 SELECT CAST(query_id AS BIGINT), fdc_id, description, grade, round(nutrition_score, 6), round(match_score, 6),
   CAST(rank AS INTEGER) FROM sh"""
@@ -408,7 +476,7 @@ f AS (SELECT * FROM formed WHERE fiber_g_per100g >= 5.0 AND sodium_mg_per100g <=
 pg AS (SELECT * FROM f ORDER BY score DESC, fdc_id LIMIT 25 OFFSET 25)
 SELECT fdc_id, description, food_category, round(score, 6) AS score, grade FROM pg"""
 
-_names25 = list(__import__("vittles.operators.search", fromlist=["FRIENDLY_NAMES"]).FRIENDLY_NAMES.items())
+_names25 = list(FRIENDLY_NAMES.items())
 _long25 = " UNION ALL ".join(
     f"SELECT fdc_id, position, {_q(n)} AS nutrient, {_q(lbl)} AS label, CAST({n}_per100g AS DOUBLE) AS value FROM top"
     for n, lbl in _names25)
@@ -477,14 +545,14 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 LEFT JOIN per ON c.c_custkey = per.o_custkey"""
 
 Q28 = f"""WITH u AS (SELECT l.l_partkey FROM lineitem l WHERE EXISTS (
-    SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderpriority = {_q(B.URGENT)}))
+    SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderpriority = {_q(URGENT)}))
 SELECT p_partkey, true AS in_urgent FROM part WHERE p_partkey IN (SELECT l_partkey FROM u)
 UNION ALL
 SELECT p_partkey, false AS in_urgent FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM u)"""
 
 _u30 = " UNION ALL ".join(
-    f"SELECT fdc_id, {_q(f)} AS f, {i} AS ord, {f}_scaled * {B.DRIVER_COEFS[f]!r} AS v FROM sc"
-    for i, f in enumerate(FEATS) if f in B.DRIVER_COEFS)
+    f"SELECT fdc_id, {_q(f)} AS f, {i} AS ord, {f}_scaled * {DRIVER_COEFS[f]!r} AS v FROM sc"
+    for i, f in enumerate(FEATS) if f in DRIVER_COEFS)
 Q30 = f"""WITH {SCALED},
 u AS ({_u30}),
 pos AS (SELECT fdc_id, string_agg(f, ',' ORDER BY rn) AS positive FROM (
@@ -496,7 +564,7 @@ neg AS (SELECT fdc_id, string_agg(f, ',' ORDER BY rn) AS negative FROM (
 SELECT sc.fdc_id, coalesce(pos.positive, '') AS positive, coalesce(neg.negative, '') AS negative
 FROM sc LEFT JOIN pos ON sc.fdc_id = pos.fdc_id LEFT JOIN neg ON sc.fdc_id = neg.fdc_id"""
 
-_base31 = ", ".join(f"round({src}, 6) AS {feat}" for feat, src in B.BASE_FEATURE_MAP)
+_base31 = ", ".join(f"round({src}, 6) AS {feat}" for feat, src in BASE_FEATURE_MAP)
 Q31 = f"""WITH {FORMED}
 SELECT fdc_id, {_base31},
   round((coalesce(mono_fat_g_per100g, 0.0) + coalesce(poly_fat_g_per100g, 0.0)) / (coalesce(sat_fat_g_per100g, 0.0) + 1e-6), 6)
@@ -601,7 +669,7 @@ SELECT fdc_id, grade, round(p1 / tot, 6) AS prob_B, round(p2 / tot, 6) AS prob_C
 
 _g35 = " UNION ALL ".join(
     f"SELECT {_q(name)} AS grp, score, grade FROM scored WHERE regexp_matches(lower(description), {_q(pat)})"
-    for name, pat in B.PART_KEYWORD_GROUPS.items())
+    for name, pat in PART_KEYWORD_GROUPS.items())
 Q35 = f"""WITH {SCORED},
 g AS ({_g35})
 SELECT grp AS "group", count(*) AS n, round(avg(score), 6) AS mean_score, bool_or(grade IN ('A', 'B')) AS any_in_set

@@ -41,7 +41,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="vittles-ckpt-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="vittles-ckpt-"))
     return sc.getCheckpointDir()
 
 
@@ -49,17 +52,18 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-BROADCAST_MAX_BYTES = 64 << 20
+BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS = 64 << 20, 1_000_000
 
 
-def broadcast_if_small(df, max_bytes: int = BROADCAST_MAX_BYTES):
-    """Broadcast a dimension only after measuring its bytes (as JSON rows);
-    above the bound it stays a shuffle join, which AQE may still turn into a
-    broadcast from runtime sizes."""
+def broadcast_if_small(df, max_bytes: int = BROADCAST_MAX_BYTES, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast a dimension only after measuring its rows and bytes (as JSON);
+    the measure stops past the bound on rows.  Above a bound it stays a shuffle
+    join, which AQE may still turn into a broadcast from runtime sizes."""
     from pyspark.sql import functions as F
 
-    size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(df) if size <= max_bytes else df
+    some = df.limit(max_rows + 1)
+    rows, size = some.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
 def cut_lineage(df):

@@ -109,12 +109,9 @@ def metrics_frame(spark: SparkSession, metrics: dict) -> DataFrame:
 
 
 def read_coefficients(spark: SparkSession, path: str) -> DataFrame:
-    """Coefficient table; empty when missing or unreadable."""
-    try:
-        if path_exists(spark, path):
-            return spark.read.json(path)
-    except Exception:  # noqa: BLE001 - the reference shows nothing on failure
-        pass
+    """Coefficient table; empty when missing (a file that can't be read is an error)."""
+    if path_exists(spark, path):
+        return spark.read.json(path)
     return spark.createDataFrame([], "feature string, coefficient double")
 
 
