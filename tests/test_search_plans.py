@@ -63,3 +63,24 @@ def test_pages_come_from_few_partitions(spark, tmp_path):
         assert "PartitionFilters: [isnotnull(_pid" in plan or "PartitionFilters: [_pid" in plan or page == 201
         read = got._jdf.queryExecution().executedPlan().toString().count("rangepartitioning(s")
         assert read == 0
+
+
+def test_index_reads_only_the_buckets_asked_for(spark, tmp_path):
+    from vittles.operators import gram_index
+
+    items = [(i, f"{'food' if i % 3 else 'meal'} number {i}", None if i % 5 else f"Acme {i % 7}") for i in range(400)]
+    df = spark.createDataFrame(items, "fdc_id long, description string, brand_owner string")
+    gram_index.write_gram_index(df, "fdc_id", ["description", "brand_owner"], str(tmp_path / "index"), 16)
+    asked = search.requests(spark, ["food 39", "acme", "MEAL number", "number", "zzz", "n", "", "number 7 acme"])
+    for call in (search.token_search, lambda *a, **k: search.ranked_search(*a, filter_cols=["description", "brand_owner"], score="fdc_id", limit=9, **k)):
+        plain, found = call(df, asked), call(df, asked, index=str(tmp_path / "index"))
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.select(*found.columns).collect()))
+    needles = spark.createDataFrame([("food number 39",), ("number 39",)], "tok string")
+    # pruning also holds where the scan is not kept in buckets; only then does the plan not tell
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", False)
+    near = gram_index.candidates(spark, str(tmp_path / "index"), needles, "tok", "fdc_id")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 16" in plan
+    probe = {r.tok: r["_probe"] for r in gram_index.probes(spark, str(tmp_path / "index"), needles, "tok").collect()}
+    assert probe == {"food number 39": " 39", "number 39": " 39"}

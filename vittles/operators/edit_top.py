@@ -99,5 +99,5 @@ def best_by_edit(items: DataFrame, asked: Sequence[tuple[int, str]], key: str, t
 
     kind = pa.string() if items.schema[key].dataType.simpleString() == "string" else pa.int64()
     keyed = F.col(key) if kind == pa.string() else F.col(key).cast("long")
-    read = items.select(keyed.alias(key), F.lower(F.coalesce(F.col(text), F.lit(""))).alias(text), F.col(score).cast("double").alias(score))
+    read = items.select(keyed.alias("k"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("t"), F.col(score).cast("double").alias("s"))
     return read.mapInArrow(work, f"query_id long, `{key}` {'string' if kind == pa.string() else 'long'}, match_score double")

@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vittles.functions.scalar import format_number, humanise, isclose, tokens
-from vittles.operators import ranking
+from vittles.operators import gram_index, ranking
 from vittles.operators.edit_top import best_by_edit
+from vittles.operators.gram_index import GRAM, item_grams
+from vittles.operators.gram_index import lower as _lower
 from vittles.operators.ranking import global_top_k, top_k_per_group
 from vittles.session import cut_lineage
 
@@ -41,29 +43,24 @@ def requests(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(i + 1, q) for i, q in enumerate(queries)], "query_id long, q string")
 
 
-GRAM = 3
 # requests without a match that are ranked against all items in one pass
 BLOCK = 256
 
 
-def _grams(text: Column, n: int) -> Column:
-    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.substring(text, i, F.lit(n)))
-
-
-def _lower(c: str) -> Column:
-    return F.lower(F.coalesce(F.col(c), F.lit("")))
-
-
-def containing(items: DataFrame, text_cols: Sequence[str], needles: DataFrame, needle: str) -> DataFrame:
+def containing(items: DataFrame, text_cols: Sequence[str], needles: DataFrame, needle: str, key: str = "fdc_id", index: str | None = None) -> DataFrame:
     """Items joined with the needles contained in any of the lower-cased text
     columns.
 
     Each needle is looked up by one gram, its first ``GRAM`` characters or all
     of a shorter one, among the distinct grams of an item's texts: an equi-join,
-    then checked with ``contains``.  Empty needles match nothing."""
+    then checked with ``contains``.  Empty needles match nothing.  With ``index``,
+    the folder of a stored gram index over these columns, the needles' rarest grams
+    are looked up there instead, and only items that hold them are read."""
     cols = [c for c in text_cols if c in items.columns]
-    grams = F.array_distinct(F.concat(*[_grams(_lower(c), n) for c in cols for n in range(1, GRAM + 1)]))
+    if index:
+        near = gram_index.candidates(items.sparkSession, index, needles, needle, key).join(items, key)
+        return near.where(coarse_filter(cols, F.col(needle)))
+    grams = item_grams(cols)
     probe = needles.where(F.length(needle) > 0).withColumn("_probe", F.substring(needle, 1, GRAM))
     near = items.withColumn("_gram", F.explode(grams)).join(probe, F.col("_gram") == F.col("_probe"))
     return near.where(coarse_filter(cols, F.col(needle))).drop("_gram", "_probe")
@@ -78,6 +75,7 @@ def token_search(
     brand: str = "brand_owner",
     max_rows: int | None = None,
     regex: bool = False,
+    index: str | None = None,
 ) -> DataFrame:
     """P17 + F14: per query, items where every whitespace token is contained
     in name or brand (case-insensitive); when none match, items matching the
@@ -92,7 +90,7 @@ def token_search(
     if regex:
         m = texts.join(toks, F.regexp(_lower(name), F.col("tok")) | F.regexp(_lower(brand), F.col("tok")))
     else:
-        m = containing(texts, [name, brand], toks, "tok")
+        m = containing(texts, [name, brand], toks, "tok", key, index)
     per = m.groupBy("query_id", key).agg(
         F.count_distinct("pos").alias("n_hit"), F.max("ntok").alias("ntok"),
         F.max((F.col("pos") == 0).cast("int")).alias("first_hit"))
@@ -136,6 +134,7 @@ def ranked_search(
     score: str = "nutrition_score",
     limit: int = 20,
     calls=None,
+    index: str | None = None,
 ) -> DataFrame:
     """Per query, queries shorter than 2 characters return the ``limit``
     best-scored items; otherwise the coarse filter (all items when nothing
@@ -154,7 +153,7 @@ def ranked_search(
                               salt_of=key)
         return cut_lineage(top.select(*out_cols))
 
-    ranked = best_of(containing(items, cols, long_q, "ql"))
+    ranked = best_of(containing(items, cols, long_q, "ql", key, index))
     none = long_q.join(ranked.select("query_id").distinct(), "query_id", "left_anti").select("query_id", "ql")
     for block in _blocks(none, BLOCK):
         few = best_by_edit(items, [(r["query_id"], r["ql"]) for r in block], key, text, score, limit, calls)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vittles.functions import scalar
 from vittles.functions.scalar import r6, to_double, to_long_id
-from vittles.operators import (matrix, models, neighbors, quality, ranking, scorecard, search, stats, substitute,
+from vittles.operators import (gram_index, matrix, models, neighbors, quality, ranking, scorecard, search, stats, substitute,
                                units)
 from vittles.plans.fdc import BASE_FEATURE_MAP, CANONICAL_ORDER, NEIGHBOUR_FEATURES
 from vittles.session import broadcast_if_small, cut_lineage, ensure_checkpoint_dir, table
@@ -634,6 +634,19 @@ def q43_filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brands.join(left, "p_brand", "left")
 
 
+# Fixed values of the test binding: searches over the names and brands of all parts.
+INDEXED_QUERIES = ["blue bolt", "Brand#1 gear", "cold xyz", "HOT", "old rod", "Brand#13", "zz", "g"]
+INDEX_BUCKETS = 16
+
+
+def q46_indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P17 + F13 + F14: token search from a stored gram index of every part's name and brand."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("fdc_id"), F.col("p_name").alias("description"), F.col("p_brand").alias("brand_owner"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gram-index-{uuid.uuid4().hex}"
+    gram_index.write_gram_index(parts, "fdc_id", ["description", "brand_owner"], folder, INDEX_BUCKETS)
+    return search.token_search(parts, search.requests(spark, INDEXED_QUERIES), index=folder).select("query_id", "fdc_id", "description", "brand_owner")
+
+
 LINE_ORDER = [("l_extendedprice", "desc"), ("l_orderkey", "asc"), ("l_linenumber", "asc")]
 LINE_PAGE = 100
 
@@ -699,4 +712,5 @@ QUERIES = {
     "q43_filter_options": q43_filter_options,
     "q44_last_page": q44_last_page,
     "q45_group_ends": q45_group_ends,
+    "q46_indexed_search": q46_indexed_search,
 }

@@ -730,6 +730,14 @@ LEFT JOIN (SELECT p_brand, count(*) AS n, max(p_name || ' (' || p_partkey || ')'
            WHERE NOT p_size > 25 GROUP BY p_brand) USING (p_brand)"""
 
 
+Q46 = """WITH req(query_id, q) AS (VALUES (1, 'blue bolt'), (2, 'brand#1 gear'), (3, 'cold xyz'), (4, 'hot'), (5, 'old rod'), (6, 'brand#13'), (7, 'zz'), (8, 'g')),
+tok AS (SELECT query_id, unnest(string_split(q, ' ')) AS tok, unnest(generate_series(1, len(string_split(q, ' ')))) AS pos, len(string_split(q, ' ')) AS n FROM req),
+per AS (SELECT query_id, p_partkey, count(DISTINCT pos) = max(n) AS hit_all, bool_or(pos = 1) AS head_hit FROM part
+  JOIN tok ON contains(lower(p_name), tok) OR contains(lower(p_brand), tok) GROUP BY query_id, p_partkey),
+won AS (SELECT query_id, bool_or(hit_all) AS any_all FROM per GROUP BY query_id)
+SELECT CAST(per.query_id AS BIGINT) AS query_id, part.p_partkey AS fdc_id, p_name AS description, p_brand AS brand_owner
+FROM per JOIN won ON per.query_id = won.query_id JOIN part ON part.p_partkey = per.p_partkey WHERE CASE WHEN any_all THEN hit_all ELSE head_hit END"""
+
 Q44 = """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber
 LIMIT 100 OFFSET (SELECT ((count(*) + 99) // 100 - 1) * 100 FROM lineitem)"""
 
@@ -785,4 +793,5 @@ ORACLE = {
     "q43_filter_options": Q43,
     "q44_last_page": Q44,
     "q45_group_ends": Q45,
+    "q46_indexed_search": Q46,
 }

@@ -35,10 +35,10 @@ def _place(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}.buckets"
 
 
-def write_bucketed(df: DataFrame, folder: str, name: str, key: str, buckets: int) -> None:
-    """One file for each bucket, sorted by the key; a key that is no number is NULL."""
+def write_bucketed(df: DataFrame, folder: str, name: str, key: str, buckets: int, numeric: bool = True) -> None:
+    """One file for each bucket, sorted by the key; a ``numeric`` key is a long, NULL where it is no number."""
     spark = df.sparkSession
-    typed = df.withColumn(key, to_long_id(F.col(key).cast("string")))
+    typed = df.withColumn(key, to_long_id(F.col(key).cast("string"))) if numeric else df
     spark.sql(f"DROP TABLE IF EXISTS {_table(folder, name)}")
     (typed.repartition(buckets, key).sortWithinPartitions(key).write.mode("overwrite").format("parquet")
      .option("compression", "zstd").option("path", _place(folder, name)).bucketBy(buckets, key).sortBy(key)
