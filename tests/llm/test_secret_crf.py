@@ -71,3 +71,52 @@ def test_queries_handle_nulls_and_empty(spark):
     clean = crf.redact(df, crf.Field.empty()).collect()
     assert {(r.text, r.n_chars) for r in clean if r.doc_id == 1} == {('my [SECRET]" end', 16)} and {r.text for r in clean if r.doc_id == 2} == {None}
     assert crf.scan(df.limit(0), crf.train(df.limit(0))).count() == 0
+
+
+def planted(rng, i):
+    """A value with a name that the base patterns lack, in several writings."""
+    value = "".join(rng.choice(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789"), 32))
+    form = ['pwd = "%s"', "Authorization: Bearer %s", 'credentials: "%s"', 'passphrase:\n  "%s"', "auth =\n%s"][i % 5]
+    return form % value, value
+
+
+def test_field_finds_what_the_patterns_lack(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    field = crf.train(docs)
+    plain = [r.text for r in docs.where("text IS NOT NULL AND length(text) BETWEEN 300 AND 3000").orderBy("doc_id").limit(600).collect()]
+    plain = [t for t in plain if not plain_base(t)]
+    rng, hit, texts, values = np.random.default_rng(3), 0, [], []
+    for i, text in enumerate(plain):
+        written, value = planted(rng, i)
+        words = text.split(" ")
+        at = int(rng.integers(len(words)))
+        texts.append(" ".join([*words[:at], written, *words[at:]]))
+        values.append(value)
+    for text, value, spans in zip(texts, values, crf.find_spans(texts, field)):
+        at = text.index(value)
+        hit += any(a < at + len(value) and at < b for a, k, b in spans if k == 3)
+    wrong = sum(bool([s for s in x if s[1] == 3]) for x in crf.find_spans(plain, field))
+    print(f"planted: {hit} of {len(plain)} found; spans in {wrong} of {len(plain)} plain texts")
+    assert hit >= 0.9 * len(plain) and wrong == 0
+
+
+def test_hidden_names_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    plain = [r.text for r in docs.where("text IS NOT NULL AND length(text) BETWEEN 300 AND 3000").orderBy("doc_id").limit(900).collect()]
+    plain = [t for t in plain if not plain_base(t)]
+    rng, names, rows = np.random.default_rng(5), ["password", "secret", "token", "api_key"], []
+    for i, text in enumerate(plain):
+        value = "".join(rng.choice(list("0123456789ABCDEFGHJKMNPQRSTVWXYZabcdefghjkmnpqrstvwxyz"), int(rng.integers(24, 44))))
+        words = text.split(" ")
+        at = int(rng.integers(len(words)))
+        rows.append((i, " ".join([*words[:at], ['%s = "%s"', "%s: %s"][i % 2] % (names[i % 4], value), *words[at:]]), value))
+    df = spark.createDataFrame(rows, "doc_id long, text string, value string")
+    for k, name in enumerate(names):
+        field = crf.train(df, hidden=[name])
+        asked = [r for r in rows if r[0] % 4 == k]
+        t, _, offsets = crf.tokens([r[1] for r in asked])
+        spans = crf.decoded_spans(t, offsets, field)
+        places = [(r[1].index(r[2]), r[1].index(r[2]) + len(r[2])) for r in asked]
+        right = [i for i, a, b in spans if a < places[i][1] and places[i][0] < b]
+        print(f"{name} hidden: {len(set(right))} of {len(asked)} found, {len(right)} of {len(spans)} spans are right")
+        assert len(set(right)) >= 0.9 * len(asked) and len(right) >= 0.9 * len(spans)

@@ -39,3 +39,20 @@ def test_query_shape(spark):
                   for i, t, _ in rows)
     assert got == want
     assert tree_bpe.encode_texts(df.limit(0), RANKS, P.PATTERN).count() == 0
+
+
+def test_query_equals_tiktoken_on_whole_table(spark):
+    from vittles.llm.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    got = sorted(tuple(r) for r in QUERIES["op7_tree_bpe"](spark, "/root/testdata/sf0.01").collect())
+    want = sorted((r.doc_id, len(ids := PLAIN.encode_ordinary(r.text or "")), tree_bpe.ids_digest(ids), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in docs)
+    assert got == want
+
+
+def test_ordinary_texts_are_halved(monkeypatch):
+    own, joined = tree_bpe.TreeCodec(RANKS, P.PATTERN), []
+    real = own._join
+    monkeypatch.setattr(own, "_join", lambda *a: joined.append(a[2]) or real(*a))
+    text = "Some plain words, as a document has them. " * 50
+    assert own.encode(text).tolist() == PLAIN.encode_ordinary(text) and len(joined) >= 7

@@ -3,9 +3,11 @@
 Symbols are the words of a text, long ones cut every `SYMBOL_CHARS` characters. Each run
 of `K` symbols is a k-mer, numbered by its occurrence in the text, so repeats count. A
 hash of k-mer and number deals it to one of `BUCKETS` sketches, each with a hash order
-of its own (one permutation, dealt out). A sketch takes its `TUPLE` = 2 least k-mers,
+of its own (one permutation, dealt out). A sketch takes its 2 least k-mers,
 puts them back in text order and hashes the pair: moved text changes the pair although
-its k-mers stay, which makes the signature follow edit distance. The likeness of two
+its k-mers stay, which makes the signature follow edit distance. Where a sketch has one
+k-mer only, as in short texts, the least one of the next sketch that has any, round the
+end, is its partner, so short texts keep their order too. The likeness of two
 texts is the share of sketches that agree, of those that either has.
 
 Hash and place are packed into one long, so a sort of longs numbers the occurrences
@@ -63,9 +65,10 @@ def _sketches(least: Column) -> Column:
     low = PLACE_BITS + HASH_BITS - BUCKET_BITS
 
     def pair(start: Column) -> Column:
-        a, b, bucket = F.get(least, start), F.get(least, start + 1), F.shiftright(F.get(least, start), low)
-        alone = b.isNull() | (F.shiftright(b, low) != bucket)
-        pair_hash = F.when(alone, F.xxhash64(_hash(a))).when(_place(a) < _place(b), F.xxhash64(_hash(a), _hash(b))).otherwise(F.xxhash64(_hash(b), _hash(a)))
+        a, bucket = F.get(least, start), F.shiftright(F.get(least, start), low)
+        # the next k-mer is of the same sketch, or the least one of the next sketch that has any
+        b = F.coalesce(F.get(least, start + 1), F.get(least, F.lit(0)))
+        pair_hash = F.when(F.size(least) == 1, F.xxhash64(_hash(a))).when(_place(a) < _place(b), F.xxhash64(_hash(a), _hash(b))).otherwise(F.xxhash64(_hash(b), _hash(a)))
         return F.shiftleft(bucket, 32).bitwiseOR(F.shiftrightunsigned(pair_hash, 32))
 
     return F.transform(_changes(least, low), pair)
@@ -112,9 +115,10 @@ def _block(id_col: Column, cuts: list[int]) -> Column:
 
 
 def with_next(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """Add the text and signature of the next row, by ascending id, as `next_text` and `next_sig`; the first follows the last.
+    """Add `sig`, and the text and signature of the next row, by ascending id, as `next_text` and `next_sig`; the first follows the last.
 
-    Takes (id, text, sig). Rows are dealt to blocks by quantiles of the id and the next row is
+    Takes (id, text). A row is signed once; the first rows of blocks, which others look up, are
+    picked by id and text and signed again. Rows are dealt to blocks by quantiles of the id and the next row is
     looked up in the block; the last row of a block takes the first one of the next block.
     Texts are shuffled once. At most `MOST_BLOCKS` cuts and first ids reach the
     driver. Null ids come last; rows with the same id are ordered by text.
@@ -132,22 +136,26 @@ def with_next(df: DataFrame, id_col: str = "id") -> DataFrame:
     follows = df.sparkSession.createDataFrame([(i, b) for (_, i), b in zip(first_ids, before)], "first_id long, for_block int")
     # one row for each block
     heads = df.join(F.broadcast(follows), F.col(id_col).eqNullSafe(F.col("first_id")))
-    heads = heads.groupBy("for_block").agg(F.min(F.struct("text", "sig")).alias("head"))
+    heads = heads.groupBy("for_block").agg(F.min("text").alias("text"))
+    heads = heads.select("for_block", F.struct("text", signature(F.col("text")).alias("sig")).alias("head"))
     order = Window.partitionBy("block").orderBy(F.col(id_col).asc_nulls_last(), "text")
-    placed = df.withColumn("block", block).select("*", F.lead(F.struct("text", "sig")).over(order).alias("after"))
+    signed = df.withColumn("sig", signature(F.col("text")))
+    placed = signed.withColumn("block", block).select("*", F.lead(F.struct("text", "sig")).over(order).alias("after"))
     joined = placed.join(heads, (F.col("block") == F.col("for_block")) & F.col("after").isNull(), "left")
     after = F.coalesce("after", "head")
-    return joined.select(*df.columns, after["text"].alias("next_text"), after["sig"].alias("next_sig"))
+    return joined.select(*signed.columns, after["text"].alias("next_text"), after["sig"].alias("next_sig"))
 
 
 def edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness.
 
     The last quarter of a text's code points is replaced by as many (or all) first ones
-    of the next document. Null text counts as empty. An empty table gives an empty table.
+    of the next document. Null text counts as empty. An empty table gives an empty table. Repeated
+    rows are rows of their own; further columns are ignored. A very long text costs memory for
+    some arrays of its words.
     """
     base = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    placed = with_next(base.withColumn("sig", signature(F.col("text"))))
+    placed = with_next(base)
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))

@@ -5,8 +5,9 @@ from its own shape, the classes of its three tokens before and one behind, and
 features of its file; transitions link neighbours; Viterbi decoding picks the tags.
 
 The field is trained on a bounded sample of documents, in which the values that the
-base patterns find are marked (weak labels). A scan returns the base spans and adds
-the decoded ones that touch none of them.
+base patterns find are marked (weak labels); named values are learnt in other writings and
+alphabets too, and their names without a value, so that the field finds what the patterns
+lack. A scan returns the base spans and adds the decoded ones that touch none of them.
 
 Decoding is exact, though only few tokens go through the recursion: where `outside`
 beats the other tags by more than transitions can ever return, the best path is
@@ -16,9 +17,11 @@ at such tokens and only the short runs between them are decoded.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +38,8 @@ ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 12, 18, 16
 
 #: documents that the field is fitted on, at most twice as many
 TRAIN_DOCS = 1200
-#: windows of a document, tokens of a window, and training steps
-DOC_WINDOWS, WINDOW, STEPS = 4, 20, 80
+#: windows of a document (half of them around marked values at most), tokens of a window, and training steps
+DOC_WINDOWS, WINDOW, STEPS = 4, 20, 150
 
 OUT, BEGIN, INSIDE = 0, 1, 2
 
@@ -99,8 +102,11 @@ class Tokens:
     file: np.ndarray
 
 
-def tokens(texts: list[str]) -> tuple[Tokens, np.ndarray, np.ndarray]:
-    """Cut texts into words (letters, digits and joiners) and single marks; also the code points and text offsets."""
+def tokens(texts: list[str], hidden: Sequence[str] = ()) -> tuple[Tokens, np.ndarray, np.ndarray]:
+    """Cut texts into words (letters, digits and joiners) and single marks; also the code points and text offsets.
+
+    Words that end with a hidden name are plain ones.
+    """
     points, offsets = code_points(texts)
     small = np.minimum(points, 128).astype(np.uint8)
     kind = CLASS[small]
@@ -142,7 +148,8 @@ def tokens(texts: list[str]) -> tuple[Tokens, np.ndarray, np.ndarray]:
     named = np.flatnonzero(~mark & (length >= 3) & (length <= 40) & (digits == 0) & (others == 0))
     last3 = _three(small)[end[named] - 3]
     for i in named[np.isin(last3, [_packed(w[-3:]) for w in KEYWORDS])]:
-        if bytes(LOWERED[small[start[i] : end[i]]]).decode("latin-1").endswith(KEYWORDS):
+        word_i = bytes(LOWERED[small[start[i] : end[i]]]).decode("latin-1")
+        if word_i.endswith(KEYWORDS) and not word_i.endswith(tuple(hidden)):
             near[i] = KEYWORD
     around = np.zeros((len(NEAR), len(start)), dtype=np.int64)
     for row, shift in enumerate(NEAR):
@@ -252,7 +259,19 @@ def find_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int]
     """Of each text all spans (start, kind, end), sorted: base spans, and decoded ones that touch none of them."""
     t, points, offsets = tokens(texts)
     found = [[(a, k, b) for a, k, b, _ in spans] for spans in _base(texts, points, offsets)]
-    tags = decode(field, t)
+    # base spans are sorted by start: one that touches (a, b) starts before b, and some such one ends behind a
+    starts = [[a for a, _, _ in spans] for spans in found]
+    ends = [list(itertools.accumulate((b for _, _, b in spans), max)) for spans in found]
+    for own, a, b in decoded_spans(t, offsets, field):
+        before = bisect.bisect_left(starts[own], b)
+        if not before or ends[own][before - 1] <= a:
+            found[own].append((a, 3, b))
+    return [sorted(x) for x in found]
+
+
+def decoded_spans(t: Tokens, offsets: np.ndarray, field: Field) -> list[tuple[int, int, int]]:
+    """(text, start, end) of what the field tags, whether or not a base pattern marks it."""
+    tags, out = decode(field, t), []
     # a span begins at `begin`, or at `inside` after `outside` or another text
     tagged = np.flatnonzero(tags != OUT)
     i = 0
@@ -261,35 +280,94 @@ def find_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int]
         while j < len(tagged) and tagged[j] == tagged[j - 1] + 1 and tags[tagged[j]] == INSIDE and t.text[tagged[j]] == t.text[tagged[i]]:
             j += 1
         own = int(t.text[tagged[i]])
-        a, b = int(t.start[tagged[i]] - offsets[own]), int(t.end[tagged[j - 1]] - offsets[own])
-        if all(b <= x or y <= a for x, k, y in found[own] if k < 3):
-            found[own].append((a, 3, b))
+        out.append((own, int(t.start[tagged[i]] - offsets[own]), int(t.end[tagged[j - 1]] - offsets[own])))
         i = j
-    return [sorted(x) for x in found]
+    return out
 
 
 # ---- training
 
 
-def _windows(texts: list[str], seed: int) -> list[tuple[np.ndarray, ...]]:
-    """Training windows (shape, near, file, tag) around marked values, and as many drawn anywhere, with quiet edges."""
+def _windows(texts: list[str], seed: int, hidden: Sequence[str] = ()) -> list[tuple[np.ndarray, ...]]:
+    """Training windows (shape, near, file, tag) around marked values, and as many drawn anywhere, with quiet edges.
+
+    Windows that touch a value of a hidden kind, or of a hidden name, are left out; hidden
+    names are plain words here. A text shorter than a window is padded at both ends.
+    """
     rng, out = np.random.default_rng(seed), []
-    t, points, offsets = tokens(texts)
-    tags = np.zeros(len(t.start), dtype=np.int8)
+    t, points, offsets = tokens(texts, hidden)
+    tags, unseen = np.zeros(len(t.start), dtype=np.int8), np.zeros(len(t.start) + 1, dtype=np.int64)
     for i, spans in enumerate(_base(texts, points, offsets)):
-        for _, _, end, value in spans:
+        for begin, kind, end, value in spans:
             a, b = np.searchsorted(t.end, value + offsets[i], side="right"), np.searchsorted(t.start, end + offsets[i])
+            if KINDS[kind] in hidden or kind == 0 and texts[i][begin:value].lower().startswith(tuple(hidden)):
+                unseen[a:b] = 1
+                continue
             tags[a:b] = INSIDE
             tags[a : a + 1] = BEGIN
+    unseen = np.concatenate([[0], np.cumsum(unseen[:-1])])
     bounds = np.searchsorted(t.text, np.arange(len(texts) + 1))
     for lo, hi in zip(bounds[:-1], bounds[1:]):
+        if hi == lo:
+            continue
         if hi - lo < WINDOW:
+            if unseen[hi] == unseen[lo]:
+                before = (WINDOW - (hi - lo)) // 2
+                pad = (before, WINDOW - (hi - lo) - before)
+                out.append((np.pad(t.shape[lo:hi], pad, constant_values=SHAPES - 8), np.pad(t.near[:, lo:hi], ((0, 0), pad), constant_values=EDGE),
+                            np.pad(t.file[lo:hi], pad, mode="edge"), np.pad(tags[lo:hi], pad)))
             continue
         marked = lo + np.flatnonzero(tags[lo:hi] == BEGIN)[: DOC_WINDOWS // 2]
         firsts = np.concatenate([marked - rng.integers(4, WINDOW // 2, len(marked)), rng.integers(lo, hi - WINDOW + 1, DOC_WINDOWS - len(marked))])
         for a in np.clip(firsts, lo, hi - WINDOW):
-            own = slice(a, a + WINDOW)
-            out.append((t.shape[own], t.near[:, own], t.file[own], tags[own]))
+            if unseen[a + WINDOW] == unseen[a]:
+                own = slice(a, a + WINDOW)
+                out.append((t.shape[own], t.near[:, own], t.file[own], tags[own]))
+    return out
+
+
+#: writings of a named value, lengths and alphabets of values, that marked values are varied by in training
+LENGTHS_DRAWN = (16, 49)
+WRITINGS = ('%s = "%s"', "%s %s", "%s: %s", "%s=%s", "%s:\n%s", "%s = '%s'")
+ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+
+def _varied(texts: list[str], seed: int, hidden: Sequence[str]) -> list[tuple[np.ndarray, ...]]:
+    """More windows from the named values of a run of texts: each in all writings
+    with other values, and once without its value, so that neither the quotes
+    nor the name alone make a secret."""
+    rng, made, values = np.random.default_rng(seed), [], []
+    whole, points, offsets = tokens(texts, hidden)
+    for number, (text, spans) in enumerate(zip(texts, _base(texts, points, offsets))):
+        # the variants are read as in their document
+        file = whole.file[np.searchsorted(whole.text, number)] if spans else 0
+        named = [s for s in spans if s[1] == 0 and "assign" not in hidden and not text[s[0] : s[3]].lower().startswith(tuple(hidden))]
+        for begin, _, end, value in named[: DOC_WINDOWS // 2]:
+            name = re.match("[A-Za-z_]+", text[begin:])[0]
+            before, after = text[max(0, begin - 150) : begin], text[end : end + 100].lstrip("\"'")
+            for writing, letters in itertools.product(WRITINGS, ALPHABETS):
+                drawn = "".join(rng.choice(list(letters), rng.integers(*LENGTHS_DRAWN)))
+                written = writing % (name, drawn)
+                at = len(before) + written.index(drawn, len(name))
+                made.append(f"{before}{written}{after}")
+                values.append((at, at + len(drawn), file))
+            for plain in ("", " of", ": the"):
+                made.append(f"{before}{name}{plain}{after}")
+                values.append((0, 0, file))
+    out = []
+    t, _, offsets = tokens(made, hidden)
+    bounds = np.searchsorted(t.text, np.arange(len(made) + 1))
+    for i, (a, b, file) in enumerate(values):
+        own = np.arange(bounds[i], bounds[i + 1])
+        inside = (t.start[own] < b + offsets[i]) & (t.end[own] > a + offsets[i])
+        tags = np.where(inside, INSIDE, OUT)
+        tags[np.flatnonzero(inside)[:1]] = BEGIN
+        middle = int(np.flatnonzero(inside)[0]) if inside.any() else len(own) // 2
+        low = max(0, min(middle - WINDOW // 2, len(own) - WINDOW))
+        own, tags = own[low : low + WINDOW], tags[low : low + WINDOW]
+        if len(own):
+            pad = (0, WINDOW - len(own))
+            out.append((np.pad(t.shape[own], pad, constant_values=SHAPES - 8), np.pad(t.near[:, own], ((0, 0), pad), constant_values=EDGE), np.full(WINDOW, file), np.pad(tags, pad)))
     return out
 
 
@@ -342,8 +420,15 @@ def fit_field(shape: np.ndarray, near: np.ndarray, file: np.ndarray, tags: np.nd
     return field
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", docs: int = TRAIN_DOCS) -> Field:
-    """Fit the field on a hashed sample of about `docs` documents, twice as many at most."""
+def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", docs: int = TRAIN_DOCS, hidden: Sequence[str] = ()) -> Field:
+    """Fit the field on a hashed sample of about `docs` documents, twice as many at most.
+
+    Of a document `DOC_WINDOWS` windows are learnt from, half of them at most around marked
+    values. `hidden` names kinds of base values or names of the assign pattern to be
+    left out, so that a test can see whether the field finds them by itself. Null and empty texts
+    teach nothing; from an empty table comes a field that tags nothing. Repeated rows
+    come into the sample together.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.xxhash64(F.col(id_col), text).alias("h"), text.alias("text"))
     n = max(1, df.count())
@@ -352,7 +437,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", docs: i
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, run in text_batches(batch, "text"):
-                cells = [b"".join(np.ascontiguousarray(x, dtype=np.int16).tobytes() for x in w) for w in _windows(run, first)]
+                cells = [b"".join(np.ascontiguousarray(x, dtype=np.int16).tobytes() for x in w) for w in [*_windows(run, first, hidden), *_varied(run, first, hidden)]]
                 yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary())], names=["window"])
 
     cells = sorted(bytes(r[0]) for r in sample.select("text").mapInArrow(work, "window binary").collect())
@@ -369,7 +454,8 @@ def scan(df: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "t
     """Spans of every text: (id, spans array of (kind, start, end)), code points, end exclusive, sorted by start and kind.
 
     Null text counts as empty and has no spans. Repeated rows give repeated rows;
-    further columns are ignored; an empty table gives an empty table.
+    further columns are ignored; an empty table gives an empty table. A very long text costs
+    memory for some numbers of each of its characters.
     """
     kind_of_id = df.schema[id_col].dataType.simpleString()
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
@@ -400,7 +486,11 @@ def digests(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def redact(df: DataFrame, field: Field, text_col: str = "text", chars_col: str = "n_chars", mask: str = "[SECRET]") -> DataFrame:
-    """The same rows and columns with every span of the text replaced by `mask` and the character count set anew."""
+    """The same rows and columns with every span of the text replaced by `mask` and the character count set anew.
+
+    A null text stays null, an empty one empty; repeated rows, further columns and an empty table
+    pass through; a table without `chars_col` has only its texts changed.
+    """
     names = df.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

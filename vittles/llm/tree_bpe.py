@@ -25,8 +25,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: characters of a part that is encoded without further halving
-LEAF_CHARS = 8192
+#: characters of a part that is not halved further; in decoding a quarter as many tokens
+LEAF_CHARS = 256
 #: first width of the window on either side of a seam; doubled as needed
 WINDOW_CHARS = 64
 
@@ -96,7 +96,7 @@ class TreeCodec:
         return 0
 
     def decode(self, ids: np.ndarray) -> bytes:
-        if len(ids) <= self.leaf:
+        if len(ids) <= max(1, self.leaf // 4):
             return self.codec.decode_bytes(ids.tolist())
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
