@@ -1,5 +1,11 @@
+import hashlib
+import math
+import random
+import struct
 import zlib
 
+import xxhash
+
 from pyspark.sql import functions as F
 
 from vittles.llm import kd_sharding
@@ -38,3 +44,47 @@ def test_nulls_ties_empty(spark):
     assert sorted(r["size"] for r in got) == [8, 8, 8, 9, 100008]
     assert kd_sharding.kd_shards(df, target_bytes=50_000).count() == 5
     assert kd_sharding.kd_shards(df.limit(0), n_shards=4).count() == 0
+
+
+def plain_tree(rows, shards, first=0):
+    """{id: shard} by sorting each node along its widest dimension; rows are (id, size, keys)."""
+    if shards == 1 or not rows:
+        return {i: first for i, _, _ in rows}
+    left = shards // 2
+    spread = [(max(k[d] for _, _, k in rows) >> 32) - (min(k[d] for _, _, k in rows) >> 32) for d in range(len(rows[0][2]))]
+    d, want, under, cut = spread.index(max(spread)), sum(s for _, s, _ in rows) * left / shards, 0, None
+    by_key = {}
+    for _, s, k in rows:
+        by_key[k[d]] = by_key.get(k[d], 0) + s
+    for key in sorted(by_key):
+        if under + by_key[key] >= want:
+            cut = key if want - under <= under + by_key[key] - want else key + 1
+            break
+        under += by_key[key]
+    below, above = [r for r in rows if r[2][d] < cut], [r for r in rows if r[2][d] >= cut]
+    return plain_tree(below, left, first) | plain_tree(above, shards - left, first + left)
+
+
+def test_tree_equals_a_plain_recursive_one(spark):
+    rng = random.Random(3)
+    rows = [(i, "w" * rng.randrange(1, 400) + f" {i}", rng.choice(["de", "en", "fr", None]), rng.choice("abcdefgh")) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.shard for r in kd_sharding.kd_shards(df, n_shards=11).collect()}
+
+    def scaled(values):
+        lo, hi = min(v for v in values if v is not None), max(v for v in values if v is not None)
+        return [0 if v is None else int((v - lo) / ((hi - lo) or 1.0) * (2**31 - 1)) for v in values]
+
+    columns = [[math.log2(len(t.encode()) + 8.0) for _, t, _, _ in rows], [None if x is None else float(zlib.crc32(x.encode())) for _, _, x, _ in rows],
+               [float(zlib.crc32(x.encode())) for *_, x in rows], [float(i) for i, *_ in rows]]
+    limit = sum(len(t.encode()) + 8 for _, t, _, _ in rows) / 11 / kd_sharding.FINE
+
+    def tie(i, text):
+        size, hashed = len(text.encode()) + 8, xxhash.xxh64_intdigest(struct.pack("<q", i), seed=42)
+        chunk = (hashed - (hashed >> 63 << 64)) % (math.ceil(size / limit) if size > limit else 1)
+        return xxhash.xxh64_intdigest(struct.pack("<q", chunk), seed=xxhash.xxh64_intdigest(hashlib.md5(text.encode()).digest(), seed=42)) >> 32
+
+    ties = [tie(i, t) for i, t, _, _ in rows]
+    keys = list(zip(*[[(v << 32) + t for v, t in zip(scaled(c), ties)] for c in columns]))
+    want = plain_tree([(r[0], len(r[1].encode()) + 8, k) for r, k in zip(rows, keys)], 11)
+    assert got == want

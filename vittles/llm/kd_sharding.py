@@ -127,7 +127,9 @@ def kd_shards(df: DataFrame, n_shards: int | None = None, target_bytes: int | No
     `size` is the UTF-8 bytes of the text (null: none) plus 8. Give `n_shards`, or
     `target_bytes` of a leaf. Dimensions are the text's size on a log scale and the
     named columns; a null value lies at the low end. Null text counts as empty.
-    Repeated rows are rows of their own. An empty table gives an empty table.
+    Repeated rows are rows of their own, and a null id is one; ties in a dimension are split by a hash of
+    the text. Further columns are ignored, also those with names of the result. A very long text
+    is sized, hashed and left where it is. An empty table gives an empty table.
     """
     names = [f"k{i}" for i in range(len(dimensions) + 1)]
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -124,11 +124,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
 
 
 def score(df: DataFrame, rules: Rules, text_col: str = "text", out: str = "score") -> DataFrame:
-    """The rows with their score; an empty or null text is scored by its statistics, all 0."""
+    """The rows with their score; an empty or null text is scored by its statistics, all 0.
+
+    Repeated rows are scored alike; a column named like the score is replaced, others stay; an empty table
+    gives an empty table. A very long text costs memory for its words and lines.
+    """
     rated = with_statistics(df, text_col)
     return rated.select(*[F.col(f"`{c}`") for c in df.columns if c != out], compile_rules(rules).alias(out))
 
 
 def keep_good(df: DataFrame, rules: Rules, text_col: str = "text", limit: float = 0.5) -> DataFrame:
-    """The rows, whole, whose score is `limit` or more."""
+    """The rows, whole, whose score is `limit` or more; nulls, repeats and an empty table as in `score`."""
     return with_statistics(df, text_col).where(compile_rules(rules) >= F.lit(limit)).select(*[F.col(f"`{c}`") for c in df.columns])

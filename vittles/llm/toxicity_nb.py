@@ -153,7 +153,12 @@ def scores(texts: list[str], model: Model, slot: np.ndarray) -> np.ndarray:
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row. Null text counts as empty and gets the bias alone; an empty table gives an empty table."""
+    """(id, score) of every row.
+
+    Null text counts as empty and gets the bias alone; repeated rows give repeated rows; further columns
+    are ignored; an empty table gives an empty table. A very long text costs memory for
+    some numbers of each of its characters.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +172,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
 
 def keep_clean(df: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
-    """The rows, whole, whose score is below `limit`."""
+    """The rows, whole, whose score is below `limit`; a null text is scored as an empty one, repeated rows alike."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = slots(model.ids)
