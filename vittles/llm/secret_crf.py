@@ -41,6 +41,9 @@ TRAIN_DOCS = 1200
 #: windows of a document (half of them around marked values at most), tokens of a window, and training steps
 DOC_WINDOWS, WINDOW, STEPS = 4, 20, 150
 
+#: characters of the texts that are read together; some forty numbers are held for each
+RUN_CHARS = 1_000_000
+
 OUT, BEGIN, INSIDE = 0, 1, 2
 
 # classes of characters
@@ -436,7 +439,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", docs: i
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, run in text_batches(batch, "text"):
+            for first, run in text_batches(batch, "text", RUN_CHARS):
                 cells = [b"".join(np.ascontiguousarray(x, dtype=np.int16).tobytes() for x in w) for w in [*_windows(run, first, hidden), *_varied(run, first, hidden)]]
                 yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary())], names=["window"])
 
@@ -462,7 +465,7 @@ def scan(df: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "t
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, run in text_batches(batch, "text"):
+            for first, run in text_batches(batch, "text", RUN_CHARS):
                 cells = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans] for spans in find_spans(run, field)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(run)), pa.array(cells, pa.list_(span))], names=["id", "spans"])
 
@@ -496,7 +499,7 @@ def redact(df: DataFrame, field: Field, text_col: str = "text", chars_col: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            for first, run in text_batches(batch, text_col):
+            for first, run in text_batches(batch, text_col, RUN_CHARS):
                 part = batch.slice(first, len(run))
                 clean = []
                 for text, spans in zip(run, find_spans(run, field)):
