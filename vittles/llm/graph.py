@@ -2,65 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vittles.llm.common import observed
 
 
-def _stars(large: bool):
-    """Edges (u, v) come sorted; a node's neighbours pass by, its least one first.
+def _stars(pairs: DataFrame, large: bool) -> DataFrame:
+    """Edges (u, v) by node, its least neighbour first and repeated edges once.
 
     Large: every larger neighbour is linked to the least of the node and its
     neighbours. Small, of edges to smaller nodes: the node and its neighbours are linked
     to the least of these.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, low = (None, None), np.int64(0)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            u, v = (batch.column(i).to_numpy() for i in (0, 1))
-            new, again = np.ones(len(u), dtype=bool), np.zeros(len(u), dtype=bool)
-            new[1:] = u[1:] != u[:-1]
-            again[1:] = ~new[1:] & (v[1:] == v[:-1])
-            new[0], again[0] = u[0] != last[0], (u[0], v[0]) == last
-            starts = np.flatnonzero(new)
-            lows = np.concatenate([[low], np.minimum(u[starts], v[starts]) if large else v[starts]])
-            least = lows[np.cumsum(new)]
-            last, low = (u[-1], v[-1]), lows[-1]
-            if large:
-                out = ((v > u) & ~again,)
-                a, b = v[out[0]], least[out[0]]
-            else:
-                moved = (v != least) & ~again
-                a, b = np.concatenate([u[new], v[moved]]), np.concatenate([least[new], least[moved]])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return run
-
-
-def _passed(pairs: DataFrame, large: bool) -> DataFrame:
-    return pairs.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_stars(large), "a long, b long")
+    by_node = Window.partitionBy("u").orderBy("v")
+    seen = pairs.select("u", "v", F.first("v").over(by_node).alias("low"), F.lag("v").over(by_node).alias("last"))
+    seen = seen.where(F.col("last").isNull() | (F.col("last") != F.col("v")))
+    if large:
+        return seen.where("v > u").select(F.col("v").alias("a"), F.least("u", "low").alias("b"))
+    # the row of the least neighbour stands for the node itself
+    return seen.select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("a"), F.col("low").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (a, b): the least node that it reaches.
 
     A round is one job of two exchanges, checkpointed; its count and hash sum, taken on
-    the way, tell when nothing changes. A hub's neighbours stream past in sorted order,
-    so none is held. Loops and null ends are dropped; repeated edges count once; an empty
+    the way, tell when nothing changes. A hub's neighbours are sorted in one task, which
+    may spill. Loops and null ends are dropped; repeated edges count once; an empty
     table gives an empty table.
     """
     now, seen = edges.where("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), None
     while True:
         both = now.select(F.inline(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))))
-        stars = _passed(_passed(both, True).select(F.col("a").alias("u"), F.col("b").alias("v")), False)
+        stars = _stars(_stars(both, True).select(F.col("a").alias("u"), F.col("b").alias("v")), False)
         now, state = observed(stars, F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
         if state == seen:
             break
