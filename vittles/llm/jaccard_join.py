@@ -124,7 +124,7 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def _sets(batch: pa.RecordBatch, column: int, words: int = WORDS, chars: int = 2_000_000) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _sets(batch: pa.RecordBatch, column: int, words: int = WORDS, chars: int = 500_000) -> Iterator[tuple[int, list[np.ndarray]]]:
     first, size, run = 0, 0, []
     for i, text in enumerate(batch.column(column)):
         run.append(text.as_py() or "")

@@ -24,6 +24,8 @@ HASH_BITS = 20
 #: features of the regression, documents that must hold one, smoothing of the counts
 FEATURES, LEAST, SMOOTH = 4096, 3, 1.0
 STEPS, RIDGE = 100, 1e-3
+#: characters of the texts that a task hashes at once: each costs some eighty bytes
+CHARS = 500_000
 FOLDS, HELD = 5, 0
 
 
@@ -71,7 +73,7 @@ def _counts(sample: DataFrame) -> DataFrame:
         counts = np.zeros((2, 1 << HASH_BITS), dtype=np.int64)
         for batch in batches:
             toxic = batch.column(1).to_numpy() > 0.5
-            for first, run in text_batches(batch, "text", 500_000):
+            for first, run in text_batches(batch, "text", CHARS):
                 text, feature = present(run, every, 1 << HASH_BITS)
                 for side in (0, 1):
                     counts[side] += np.bincount(feature[toxic[first + text] == side], minlength=1 << HASH_BITS)
@@ -121,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = batch.column(1).to_numpy()
-            for first, run in text_batches(batch, "text"):
+            for first, run in text_batches(batch, "text", CHARS):
                 text, feature = present(run, slot, len(ids))
                 cells = [c.astype("<i2").tobytes() for c in np.split(feature, np.searchsorted(text, np.arange(1, len(run))))]
                 yield pa.RecordBatch.from_arrays([pa.array(toxic[first : first + len(run)]), pa.array(cells, pa.binary())], names=["label", "held"])
@@ -164,7 +166,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = slots(model.ids)
         for batch in batches:
-            for first, run in text_batches(batch, "text"):
+            for first, run in text_batches(batch, "text", CHARS):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(run)), pa.array(scores(run, model, slot))], names=["id", "score"])
 
     out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, score double")
@@ -177,7 +179,7 @@ def keep_clean(df: DataFrame, model: Model, text_col: str = "text", limit: float
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = slots(model.ids)
         for batch in batches:
-            for first, run in text_batches(batch, text_col):
+            for first, run in text_batches(batch, text_col, CHARS):
                 yield batch.slice(first, len(run)).filter(pa.array(scores(run, model, slot) < limit))
 
     return df.mapInArrow(work, df.schema)
