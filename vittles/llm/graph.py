@@ -27,7 +27,8 @@ def _stars(pairs: DataFrame, large: bool, tasks: int) -> DataFrame:
     return seen.select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("a"), F.col("low").alias("b"))
 
 
-def _tasks(rows: int) -> int:
+def tasks_for(rows: int) -> int:
+    """Tasks for so many rows of a few numbers each."""
     return max(1, -(-rows // TASK_ROWS))
 
 
@@ -41,10 +42,10 @@ def components(edges: DataFrame) -> DataFrame:
     table gives an empty table.
     """
     now, (rows,) = observed(edges.where("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), F.count("*"))
-    now, seen = now.coalesce(_tasks(rows)), None
+    now, seen = now.coalesce(tasks_for(rows)), None
     while True:
         both = now.select(F.inline(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))))
-        stars = _stars(_stars(both, True, _tasks(2 * rows)).select(F.col("a").alias("u"), F.col("b").alias("v")), False, _tasks(2 * rows))
+        stars = _stars(_stars(both, True, tasks_for(2 * rows)).select(F.col("a").alias("u"), F.col("b").alias("v")), False, tasks_for(2 * rows))
         now, state = observed(stars, F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
         if state == seen:
             break

@@ -16,10 +16,11 @@ whole sets.
 
 Long lists are not crossed: first every set of a list is compared with its neighbour by
 size, and the links found are closed to components, then with a random neighbour of
-another component, again and again while most of them link. Then only sets of a list that
+another component, again and again while most of them link and a round leaves far fewer
+pairs to the last step. Then only sets of a list that
 still are in different components are paired, those outside the list's largest
 component with all others, and only pairs become rows whose sizes and bitmaps allow a
-link. So no link between components is missed, and a list that is
+link. So no link between components is missed, however many rounds there were, and a list that is
 one group of copies costs its length.
 """
 
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vittles.llm.common import checkpointed, mix64, numbered, observed
-from vittles.llm.graph import components
+from vittles.llm.graph import components, tasks_for
 
 #: defaults: Jaccard of links in percent, words of a shingle (what op6 asks for)
 PERCENT, WORDS = 85, 4
@@ -51,6 +52,8 @@ LIGHT = 24
 CHAIN = 4
 #: seed of the random orders, and the share of neighbours that must link for another round
 SHUFFLED, FRUITFUL = 77, 0.5
+#: pairs of the last step, for each row of the lists, that a round must spare to have another after it: about what a round costs
+SPARED = 8
 #: bits of a set's bitmap, and of its fold that list entries carry
 BITMAP, FOLDED = 1024, 512
 #: bits of the sieve for each id, and its least and greatest size; past it more texts are read than needed
@@ -301,6 +304,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
     """
     routes = pairs.select(F.col("b").alias("id"), F.col("a").alias("target"), F.col("b").alias("other"))
     routes, (rows,) = observed(routes.union(pairs.select("a", F.col("a").alias("target"), F.lit(None).cast("long")).distinct()), F.count("*"))
+    routes = routes.coalesce(tasks_for(rows))
     sieve = _sieve(routes, rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,16 +388,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     lists = near.select("key", (F.col("spot") % 2).alias("small"), n.alias("n"), "id")
 
-    def opened(lists: DataFrame, joined: DataFrame) -> DataFrame:
-        """Rows of lists that hold several components, with the largest one of the list."""
+    def opened(lists: DataFrame, joined: DataFrame) -> tuple[DataFrame, int, int]:
+        """Rows of lists that hold several components, with the largest one of the list; their number, and that of the pairs to compare if they are crossed."""
         placed = lists.select("key", "small", "n", "id").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         in_list = placed.groupBy("key", "small", "component").agg(F.count("*").alias("k"))
-        mixed = in_list.groupBy(F.col("key").alias("m_key"), F.col("small").alias("m_small")).agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        mixed = in_list.groupBy(F.col("key").alias("m_key"), F.col("small").alias("m_small")).agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts"), F.sum("k").alias("held")).where("parts > 1")
         found = placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small")))
-        return checkpointed(found.select("key", "small", "n", "id", "component", "main"))
+        found, (rows, pairs) = observed(found.select("key", "small", "n", "id", "component", "main", "held"), F.count("*"), F.sum(F.when(F.col("component") != F.col("main"), F.col("held"))))
+        return found, rows, pairs or 0
 
-    # neighbours in random orders, while most of them link; the rest is paired below
-    lists, turn = opened(lists, joined), 0
+    # neighbours in random orders, while most of them link and spare many pairs; the rest is paired below
+    (lists, rows, pairs), turn, spared = opened(lists, joined), 0, 0
     while True:
         in_turn = Window.partitionBy("key", "small").orderBy(F.xxhash64(F.lit(SHUFFLED + turn), F.col("id")), "id")
         mates = lists.withColumn("p", F.lag(F.struct("id", "n", "component")).over(in_turn)).where((F.col("p.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
@@ -402,14 +407,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         mates, (tried,) = observed(_similar_bitmaps(mates, maps, percent), F.count("*"))
         if not tried:
             break
+        mates = mates.coalesce(tasks_for(tried))
         compared = compared.union(mates)
         links, (linked,) = observed(verified(mates, docs, words, percent), F.count("*"))
         if linked:
-            joined = components(stars.union(links))
-            stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            lists, turn = opened(lists, joined), turn + 1
-        # pieces of one group link nearly always, unrelated sets that share a passage never
-        if linked < FRUITFUL * tried:
+            joined = components(stars.union(links.coalesce(tasks_for(linked))))
+            stars, before = joined.select(F.col("node").alias("a"), F.col("component").alias("b")), pairs
+            (lists, rows, pairs), turn = opened(lists, joined), turn + 1
+            spared = before - pairs
+        # pieces of one group link nearly always, unrelated sets that share a passage never; a few links are not worth reading all lists again
+        if linked < FRUITFUL * tried or spared < SPARED * rows:
             break
 
     folded = maps.select(F.col("id").alias("f_id"), _folded("bitmap").alias("bits"))
