@@ -21,7 +21,8 @@ pairs to the last step. Then only sets of a list that
 still are in different components are paired, those outside the list's largest
 component with all others, and only pairs become rows whose sizes and bitmaps allow a
 link. So no link between components is missed, however many rounds there were, and a list that is
-one group of copies costs its length.
+one group of copies costs its length. Of many pairs between the same two components one is
+verified first, the others only if it does not link.
 """
 
 from __future__ import annotations
@@ -54,6 +55,8 @@ CHAIN = 4
 SHUFFLED, FRUITFUL = 77, 0.5
 #: pairs of the last step, for each row of the lists, that a round must spare to have another after it: about what a round costs
 SPARED = 8
+#: pairs of the last step for each two components, from which one of them is compared before the others
+REPEATED = 2
 #: bits of a set's bitmap, and of its fold that list entries carry
 BITMAP, FOLDED = 1024, 512
 #: bits of the sieve for each id, and its least and greatest size; past it more texts are read than needed
@@ -286,16 +289,29 @@ def _similar_bitmaps(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFra
 
 
 def _sieve(ids: DataFrame, rows: int) -> np.ndarray:
-    """Bits of a hash of the ids: a filter past which only these and a few others come, sized by their number."""
+    """Bits at four hashed places of each id: a filter past which only these and a few others in a thousand come, sized by their number."""
     bits = min(max(SIEVE[0], 1 << (SIEVE_SHARE * rows - 1).bit_length() if rows else 0), SIEVE[1])
-    at = f"pmod(xxhash64(id), {bits})"
-    bit = F.expr(f"shiftleft(1L, cast({at} % 64 AS int))")
-    words = ids.groupBy(F.expr(f"{at} div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    places = F.array(*[h.bitwiseAND(F.lit(bits - 1).cast("long")) for x in _hashes() for h in (x, F.shiftrightunsigned(x, 32))])
+    words = ids.select(F.explode(places).alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 AS int))")).alias("bits")).toArrow()
     sieve = np.zeros(bits // 64, dtype="<u8")
     sieve[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return sieve
 
 
+def _hashes() -> list[Column]:
+    return [F.xxhash64("id"), F.xxhash64("id", F.lit(1))]
+
+
+def _passes(sieve: np.ndarray, hashes: list[np.ndarray]) -> np.ndarray:
+    """Whether all places of these two hashes are set in the sieve."""
+    inside = np.ones(len(hashes[0]), dtype=bool)
+    for x in hashes:
+        for h in (x.view(np.uint64), x.view(np.uint64) >> np.uint64(32)):
+            at = (h & np.uint64(64 * len(sieve) - 1)).astype(np.int64)
+            inside &= (sieve[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
+    return inside
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Those of the pairs (a, b) whose sets link: whole sets are made again from the texts of the documents in question.
 
@@ -309,12 +325,11 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((sieve[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1))
+            batch = batch.filter(pa.array(_passes(sieve, [batch.column(i).to_numpy() for i in (2, 3)])))
             for first, sets in _sets(batch, 1, words):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
 
-    placed = docs.where("id IS NOT NULL").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(64 * len(sieve))).alias("bit"))
+    placed = docs.where("id IS NOT NULL").select("id", "text", *[h.alias(f"hash{i}") for i, h in enumerate(_hashes())])
     sets = placed.mapInArrow(work, "id long, members binary")
     sent = sets.join(routes, "id").select(F.col("target").alias("a"), F.col("other").alias("b"), "members")
     # a set comes before those it is compared with; they pass by one at a time
@@ -340,6 +355,32 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components, with these, the smaller one first."""
+    one, two = (joined.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b"))
+    placed = pairs.join(one, "a", "left").join(two, "b", "left").select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"))
+    return placed.where("of_a <> of_b").select("a", "b", F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high"))
+
+
+def _heads(pairs: DataFrame, joined: DataFrame) -> tuple[DataFrame, int]:
+    """One pair (a, b) of each two components that pairs lie between, checkpointed, and their number."""
+    first = _apart(pairs, joined).groupBy("low", "high").agg(F.min(F.struct("a", "b")).alias("pair"))
+    heads, (n,) = observed(first.select("pair.a", "pair.b"), F.count("*"))
+    return heads.coalesce(tasks_for(n)), n
+
+
+def _merged(lists: DataFrame) -> DataFrame:
+    """Of lists with equal members one, with the number of such lists as `copies`: a passage makes a list of each of its shingles.
+
+    Lists are equal if their size and four sums of hash halves (128 bits in all) are.
+    """
+    halves = [x for h in (F.xxhash64("id", "n"), F.xxhash64("n", "id")) for x in (h.bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(h, 32))]
+    marks = [f"mark{i}" for i in range(len(halves))]
+    marked = lists.groupBy("key", "small").agg(F.count("*").alias("length"), *[F.sum(x).alias(m) for x, m in zip(halves, marks)])
+    kept = marked.groupBy("small", "length", *marks).agg(F.min("key").alias("k_key"), F.count("*").alias("copies")).select("k_key", F.col("small").alias("k_small"), "copies")
+    return lists.join(kept, (F.col("key") == F.col("k_key")) & (F.col("small") == F.col("k_small"))).drop("k_key", "k_small")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of every row: set size, and the smallest id reachable by links, its own included.
 
@@ -388,22 +429,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     lists = near.select("key", (F.col("spot") % 2).alias("small"), n.alias("n"), "id")
 
+    sizes_of = F.count("*"), F.sum(F.when(F.col("component") != F.col("main"), F.col("held")))
+
     def opened(lists: DataFrame, joined: DataFrame) -> tuple[DataFrame, int, int]:
         """Rows of lists that hold several components, with the largest one of the list; their number, and that of the pairs to compare if they are crossed."""
-        placed = lists.select("key", "small", "n", "id").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        own_columns = [c for c in ("key", "small", "n", "id", "copies") if c in lists.columns]
+        placed = lists.select(*own_columns).join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         in_list = placed.groupBy("key", "small", "component").agg(F.count("*").alias("k"))
         mixed = in_list.groupBy(F.col("key").alias("m_key"), F.col("small").alias("m_small")).agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts"), F.sum("k").alias("held")).where("parts > 1")
         found = placed.join(mixed, (F.col("key") == F.col("m_key")) & (F.col("small") == F.col("m_small")))
-        found, (rows, pairs) = observed(found.select("key", "small", "n", "id", "component", "main", "held"), F.count("*"), F.sum(F.when(F.col("component") != F.col("main"), F.col("held"))))
+        found, (rows, pairs) = observed(found.select(*own_columns, "component", "main", "held"), *sizes_of)
         return found, rows, pairs or 0
 
     # neighbours in random orders, while most of them link and spare many pairs; the rest is paired below
-    (lists, rows, pairs), turn, spared = opened(lists, joined), 0, 0
+    lists, (rows, pairs) = observed(_merged(opened(lists, joined)[0]), *sizes_of)
+    turn, pairs = 0, pairs or 0
     while True:
         in_turn = Window.partitionBy("key", "small").orderBy(F.xxhash64(F.lit(SHUFFLED + turn), F.col("id")), "id")
         mates = lists.withColumn("p", F.lag(F.struct("id", "n", "component")).over(in_turn)).where((F.col("p.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
         mates = mates.withColumn("some", F.when(F.col("small") == 1, F.lit(1.0)).otherwise(_need_lists(F.col("n"), F.col("p.n"), percent) / CHAIN)).withColumn("p_id", F.col("p.id"))
-        mates = mates.groupBy(*_pair("id", "p_id")).agg(F.count("*").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b").join(compared, ["a", "b"], "left_anti")
+        mates = mates.groupBy(*_pair("id", "p_id")).agg(F.sum("copies").alias("k"), F.min("some").alias("some")).where("k >= some").select("a", "b").join(compared, ["a", "b"], "left_anti")
         mates, (tried,) = observed(_similar_bitmaps(mates, maps, percent), F.count("*"))
         if not tried:
             break
@@ -426,14 +471,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
     may = _sizes_fit(F.col("x.n"), F.col("y.n"), percent) & _bits_fit("x.bits", "y.bits", F.col("x.n"), F.col("y.n"), percent, FOLDED // 64)
     crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.small") == F.col("y.small")) & (F.col("x.component") != F.col("y.component")) & once & may)
-    crossed = crossed.select(*_pair("x.id", "y.id"), F.col("x.small").alias("small"), _need_lists(F.col("x.n"), F.col("y.n"), percent).alias("need"))
-    crossed = crossed.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("small").alias("small"), F.min("need").alias("need"))
+    crossed = crossed.select(*_pair("x.id", "y.id"), F.col("x.small").alias("small"), F.col("x.copies").alias("copies"), _need_lists(F.col("x.n"), F.col("y.n"), percent).alias("need"))
+    crossed = crossed.groupBy("a", "b").agg(F.sum("copies").alias("k"), F.max("small").alias("small"), F.min("need").alias("need"))
     crossed = crossed.where("small = 1 OR k >= need").select("a", "b").join(compared, ["a", "b"], "left_anti")
-    more = verified(checkpointed(_similar_bitmaps(crossed, maps, percent)), docs, words, percent)
+    crossed, (left,) = observed(_similar_bitmaps(crossed, maps, percent), F.count("*"))
+    crossed = crossed.coalesce(tasks_for(left))
+    # where pairs are many between few components, one of each two is compared first: if it links, the others tell nothing new
+    heads, n_heads = _heads(crossed, joined) if left else (crossed, 0)
+    if n_heads * REPEATED <= left and left:
+        links, (linked,) = observed(verified(heads, docs, words, percent), F.count("*"))
+        if linked:
+            joined = components(stars.union(links.coalesce(tasks_for(linked))))
+            stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        crossed, (left,) = observed(_apart(crossed, joined).select("a", "b").join(heads, ["a", "b"], "left_anti"), F.count("*"))
+        crossed = crossed.coalesce(tasks_for(left))
+    if left:
+        stars = stars.union(verified(crossed, docs, words, percent))
     # a document with several texts ties their sets
     several = checkpointed(sets.where("id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("id"))
     ties = sets.where("n > 0").select("id", "digest").join(several, "id", "left_semi").distinct().join(own.select("digest", F.col("id").alias("b")), "digest").select(F.col("id").alias("a"), "b")
-    done = checkpointed(components(stars.union(more).union(ties)))
+    done = checkpointed(components(stars.union(ties)))
 
     of_set = own.select("digest", "id").join(done, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = sets.select("id", "n", "digest").join(of_set, "digest", "left")
