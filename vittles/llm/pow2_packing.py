@@ -30,8 +30,8 @@ from vittles.llm.common import checkpointed, numbered
 
 MAX_LENGTH = 1024
 END_ID = 0
-#: parts whose ids a worker remembers; beyond it the memory starts anew
-REMEMBERED = 1_000_000
+#: parts whose ids a worker remembers, some 150 bytes each, as long as it lives; beyond it only those of the texts in hand stay
+REMEMBERED = 200_000
 
 LOOSE = re.compile(r"[\s\x1c-\x1f\x85] ")
 CUT = re.compile(r"(?<=\S) ")
@@ -101,10 +101,10 @@ class PartEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [CUT.split(t) if LOOSE.search(t) else t.split(" ") for t in texts]
         # every part but a text's first has the blank in front
-        new = set().union(*(parts[1:] for parts in split)).difference(self.known)
+        words = set().union(*(parts[1:] for parts in split))
+        new = words.difference(self.known)
         if len(self.known) + 2 * len(new) > REMEMBERED:
-            self.known, self.tails = {}, {}
-            new = set().union(*(parts[1:] for parts in split))
+            self.known, self.tails = {w: self.known[w] for w in words if w in self.known}, {}
         self._learn(new)
         heads = self._ids([parts[0] for parts in split])
         known = self.known.__getitem__
