@@ -88,6 +88,7 @@ def test_one_pair_of_each_two_components_comes_first(spark):
 def test_links_that_the_first_pairs_miss_are_found(spark, monkeypatch):
     """Two groups whose first pair does not link, though a later one does, are one component."""
     monkeypatch.setattr(jaccard_join, "FRUITFUL", 2.0)
+    monkeypatch.setattr(jaccard_join, "MANY", 1)
     monkeypatch.setattr(jaccard_join, "REPEATED", 0)
     rows = made(11, 160)
     df = spark.createDataFrame(rows, "doc_id long, text string")

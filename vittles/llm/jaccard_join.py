@@ -55,8 +55,8 @@ CHAIN = 4
 SHUFFLED, FRUITFUL = 77, 0.5
 #: pairs of the last step, for each row of the lists, that a round must spare to have another after it: about what a round costs
 SPARED = 8
-#: pairs of the last step for each two components, from which one of them is compared before the others
-REPEATED = 2
+#: pairs of the last step, in all and for each two components, from which one of each two is compared before the others: fewer aren't worth reading all texts again
+MANY, REPEATED = 1000, 2
 #: bits of a set's bitmap, and of its fold that list entries carry
 BITMAP, FOLDED = 1024, 512
 #: bits of the sieve for each id, and its least and greatest size; past it more texts are read than needed
@@ -477,8 +477,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     crossed, (left,) = observed(_similar_bitmaps(crossed, maps, percent), F.count("*"))
     crossed = crossed.coalesce(tasks_for(left))
     # where pairs are many between few components, one of each two is compared first: if it links, the others tell nothing new
-    heads, n_heads = _heads(crossed, joined) if left else (crossed, 0)
-    if n_heads * REPEATED <= left and left:
+    heads, n_heads = _heads(crossed, joined) if left >= MANY else (crossed, left)
+    if left >= MANY and n_heads * REPEATED <= left:
         links, (linked,) = observed(verified(heads, docs, words, percent), F.count("*"))
         if linked:
             joined = components(stars.union(links.coalesce(tasks_for(linked))))
