@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.llm.test_jaccard_join import brute as brute_rows
 from tests.llm.test_jaccard_join import made
 from vittles.llm import graph, jaccard_join, toxicity_nb
+from vittles.llm.common import trimmed
 
 
 class _Captured:
@@ -102,3 +103,22 @@ def test_lists_of_equal_members_are_merged(spark):
     lists = spark.createDataFrame(rows, "key long, small int, n long, id long, component long, main long, held long")
     got = jaccard_join._merged(lists).groupBy("key", "copies").count().collect()
     assert sorted(tuple(r) for r in got) == [(0, 20, 5), (30, 2, 4), (40, 1, 3), (41, 1, 1)]
+
+
+def test_a_worker_gives_freed_memory_back_after_its_task():
+    def resident() -> float:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 / 1e6
+
+    kept = []
+
+    def work(batches):
+        held = [np.ones(12_000) for _ in range(2000)]
+        # what stays at the end of the heap holds all before it
+        kept.extend([held[-1], resident()])
+        del held
+        yield from batches
+
+    before = resident()
+    assert list(trimmed(work)(iter([1, 2]))) == [1, 2]
+    assert kept[1] - before > 100 and kept[1] - resident() > 100

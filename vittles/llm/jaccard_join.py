@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vittles.llm.common import checkpointed, mix64, numbered, observed
+from vittles.llm.common import checkpointed, mix64, numbered, observed, trimmed
 from vittles.llm.graph import components, tasks_for
 
 #: defaults: Jaccard of links in percent, words of a shingle (what op6 asks for)
@@ -59,6 +59,8 @@ SPARED = 8
 MANY, REPEATED = 1000, 2
 #: bits of a set's bitmap, and of its fold that list entries carry
 BITMAP, FOLDED = 1024, 512
+#: sets that a task takes out of a batch at once to compare them
+COMPARED = 256
 #: bits of the sieve for each id, and its least and greatest size; past it more texts are read than needed
 SIEVE_SHARE, SIEVE = 16, (1 << 16, 1 << 27)
 
@@ -177,7 +179,7 @@ def statistics(docs: DataFrame, words: int = WORDS) -> DataFrame:
             yield counted(held)
         yield rows(np.full(len(sizes), _SIZE), np.arange(len(sizes)), sizes)
 
-    return docs.select("text").mapInArrow(work, "kind long, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(trimmed(work), "kind long, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def subsets_written(n: int, percent: int = PERCENT) -> int:
@@ -239,7 +241,7 @@ def keyed(docs: DataFrame, light: int, common: list[tuple[int, int]], words: int
                      pa.array([k.view(np.int64) for k, _ in both], pa.list_(pa.int64())), pa.array([k.view(np.int64) for _, k in both], pa.list_(pa.int64()))],
                     names=["id", "n", "digest", "bitmap", "lists", "subsets"])
 
-    return docs.select("id", "text").mapInArrow(work, "id long, n long, digest binary, bitmap array<long>, lists array<long>, subsets array<long>")
+    return docs.select("id", "text").mapInArrow(trimmed(work), "id long, n long, digest binary, bitmap array<long>, lists array<long>, subsets array<long>")
 
 
 def _need(n1: Column, n2: Column, percent: int) -> Column:
@@ -330,7 +332,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"])
 
     placed = docs.where("id IS NOT NULL").select("id", "text", *[h.alias(f"hash{i}") for i, h in enumerate(_hashes())])
-    sets = placed.mapInArrow(work, "id long, members binary")
+    sets = placed.mapInArrow(trimmed(work), "id long, members binary")
     sent = sets.join(routes, "id").select(F.col("target").alias("a"), F.col("other").alias("b"), "members")
     # a set comes before those it is compared with; they pass by one at a time
     dealt = sent.repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
@@ -339,7 +341,8 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
         now, mine = None, []
         for batch in batches:
             links = []
-            for a, b, members in zip(*(c.to_pylist() for c in batch.columns)):
+            parts = (batch.slice(first, COMPARED) for first in range(0, batch.num_rows, COMPARED))
+            for a, b, members in itertools.chain.from_iterable(zip(*(c.to_pylist() for c in part.columns)) for part in parts):
                 members = np.frombuffer(members, dtype=np.uint64)
                 if a != now:
                     now, mine = a, []
@@ -352,7 +355,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
                         links.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return dealt.mapInArrow(compare, "a long, b long")
+    return dealt.mapInArrow(trimmed(compare), "a long, b long")
 
 
 def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:

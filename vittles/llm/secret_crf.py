@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vittles.llm.common import code_points, text_batches
+from vittles.llm.common import code_points, text_batches, trimmed
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -443,7 +443,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", docs: i
                 cells = [b"".join(np.ascontiguousarray(x, dtype=np.int16).tobytes() for x in w) for w in [*_windows(run, first, hidden), *_varied(run, first, hidden)]]
                 yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary())], names=["window"])
 
-    cells = sorted(bytes(r[0]) for r in sample.select("text").mapInArrow(work, "window binary").collect())
+    cells = sorted(bytes(r[0]) for r in sample.select("text").mapInArrow(trimmed(work), "window binary").collect())
     if not cells:
         return Field.empty()
     all_codes = np.frombuffer(b"".join(cells), dtype=np.int16).reshape(len(cells), len(NEAR) + 3, WINDOW).astype(np.int64)
@@ -470,7 +470,7 @@ def scan(df: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "t
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(run)), pa.array(cells, pa.list_(span))], names=["id", "spans"])
 
     out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        work, f"id {kind_of_id}, spans array<struct<kind:string,start:int,end:int>>")
+        trimmed(work), f"id {kind_of_id}, spans array<struct<kind:string,start:int,end:int>>")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -516,7 +516,7 @@ def redact(df: DataFrame, field: Field, text_col: str = "text", chars_col: str =
                     columns[k] = pa.array([len(c) if n.is_valid and o.is_valid else n.as_py() for c, n, o in zip(clean, part.column(k), part.column(at))], part.column(k).type)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return df.mapInArrow(work, df.schema)
+    return df.mapInArrow(trimmed(work), df.schema)
 
 
 def plain_digest(spans: list[tuple[int, int, int]]) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vittles.llm import labelled
-from vittles.llm.common import checkpointed, code_points, mix64, text_batches
+from vittles.llm.common import checkpointed, code_points, mix64, text_batches, trimmed
 
 ORDERS = (3, 4, 5)
 HASH_BITS = 20
@@ -81,7 +81,7 @@ def _counts(sample: DataFrame) -> DataFrame:
         at = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[1][at]), pa.array(counts[0][at])], names=["feature", "positive", "negative"])
 
-    parts = sample.mapInArrow(work, "feature long, positive long, negative long")
+    parts = sample.mapInArrow(trimmed(work), "feature long, positive long, negative long")
     return parts.groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative"))
 
 
@@ -129,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
                 cells = [c.astype("<i2").tobytes() for c in np.split(feature, np.searchsorted(text, np.arange(1, len(run))))]
                 yield pa.RecordBatch.from_arrays([pa.array(toxic[first : first + len(run)]), pa.array(cells, pa.binary())], names=["label", "held"])
 
-    seen = sorted((r[0], bytes(r[1])) for r in sample.mapInArrow(work, "label double, held binary").collect())
+    seen = sorted((r[0], bytes(r[1])) for r in sample.mapInArrow(trimmed(work), "label double, held binary").collect())
     target = np.array([r[0] > 0.5 for r in seen], dtype=float)
     columns = [np.frombuffer(r[1], dtype="<i2").astype(np.int64) for r in seen]
     rows = np.repeat(np.arange(len(seen)), [len(c) for c in columns])
@@ -170,7 +170,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
             for first, run in text_batches(batch, "text", CHARS):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(run)), pa.array(scores(run, model, slot))], names=["id", "score"])
 
-    out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, score double")
+    out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(trimmed(work), f"id {kind}, score double")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -183,4 +183,4 @@ def keep_clean(df: DataFrame, model: Model, text_col: str = "text", limit: float
             for first, run in text_batches(batch, text_col, CHARS):
                 yield batch.slice(first, len(run)).filter(pa.array(scores(run, model, slot) < limit))
 
-    return df.mapInArrow(work, df.schema)
+    return df.mapInArrow(trimmed(work), df.schema)
