@@ -21,6 +21,12 @@ def test_parts_give_the_ids_of_the_whole(texts):
     assert OWN.encode(texts) == want
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("  \n\t\x1c\x85\xa0 's1a<|.é"), st.characters(codec="utf-8")), max_size=60), max_size=4))
+def test_whole_texts_give_the_same_ids(texts):
+    assert pack.encoder(FILE)(texts) == [np.array(WHOLE.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_lengths():
     assert pack.binary_lengths(0) == [] and pack.binary_lengths(1) == [1] and pack.binary_lengths(2051) == [1024, 1024, 2, 1]
     assert all(sum(pack.binary_lengths(n, 8)) == n for n in range(99))

@@ -1,5 +1,7 @@
 """What a Python worker holds during and between tasks."""
 
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -25,3 +27,15 @@ def test_toxicity_hashes_a_small_run_at_once():
     frame = _Captured()
     toxicity_nb.keep_clean(frame, toxicity_nb.Model(np.arange(4000), np.linspace(-1, 1, 4000), 0.1))
     assert _peak(lambda: list(frame.work(iter([batch])))) < 35
+
+
+def test_a_plain_byte_level_file_leaves_nothing_behind():
+    """Whole texts are encoded at once: no word is kept for texts to come."""
+    encode = pow2_packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encode(["a first text"])
+    tracemalloc.start()
+    for k in range(20):
+        encode([" ".join(f"w{k}x{i}y{j}" for j in range(100)) for i in range(20)])
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 1_000_000

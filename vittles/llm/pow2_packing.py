@@ -5,7 +5,8 @@ for each binary digit, longest first. Every piece is one training sequence, so n
 sequence crosses documents and none needs padding; sequences of equal length form a
 bucket, numbered without gaps, from which batches of one length are drawn.
 
-Texts are cut for the tokenizer only where a blank follows a character that is no
+Plain byte-level tokenizer files are merged by tiktoken's core, a whole text at a time, and
+nothing is remembered. For others, texts are cut for the tokenizer only where a blank follows a character that is no
 white space, and before a part's last marks where they follow a letter. The
 tokenizer's splitting pattern never runs over such a place, so the ids of the parts,
 joined, are those of the whole text, and a part seen before needs no second encoding.
@@ -17,7 +18,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -26,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vittles.llm.common import checkpointed, numbered
+from vittles.llm.common import checkpointed, numbered, text_batches, trimmed
 
 MAX_LENGTH = 1024
 END_ID = 0
 #: parts whose ids a worker remembers, some 150 bytes each, as long as it lives; beyond it only those of the texts in hand stay
 REMEMBERED = 200_000
+#: characters of the texts whose ids a task holds at once
+RUN_CHARS = 500_000
 
 LOOSE = re.compile(r"[\s\x1c-\x1f\x85] ")
 CUT = re.compile(r"(?<=\S) ")
@@ -62,15 +65,16 @@ class PartEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, those of the tokenizers library.
 
     Plain byte-level vocabularies are merged by tiktoken's core, which gives the
-    same ids at a fifth of the time for a part. Strings of special tokens in a text are
-    ordinary text.
+    same ids at a fifth of the time for a part; `whole` needs less again, as it calls once for a
+    text. Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         with open(tokenizer_file, encoding="utf-8") as f:
             ranks = byte_ranks(json.load(f))
-        if ranks:
+        self.plain = ranks is not None
+        if self.plain:
             self.core = tiktoken.Encoding("parts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         else:
             tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -111,9 +115,16 @@ class PartEncoder:
         return [head + b"".join(map(known, parts[1:])) for head, parts in zip(heads, split)]
 
 
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """The same ids, each text encoded at once and nothing remembered."""
+        return self._ids(texts)
+
+
 @lru_cache(maxsize=4)
-def encoder(tokenizer_file: str) -> PartEncoder:
-    return PartEncoder(tokenizer_file)
+def encoder(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
+    """What encodes texts soonest by this file: whole ones in tiktoken's core, parts in the tokenizers library."""
+    own = PartEncoder(tokenizer_file)
+    return own.whole if own.plain else own.encode
 
 
 def binary_lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
@@ -133,12 +144,12 @@ def pieces(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, last = encoder(tokenizer_file), end_id.to_bytes(4, "little")
+        encode, last = encoder(tokenizer_file), end_id.to_bytes(4, "little")
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
+            for first, texts in text_batches(batch, "text", RUN_CHARS):
+                part = batch.column(0).slice(first, len(texts))
                 docs, starts, lengths, cuts, totals = [], [], [], [], []
-                for doc, ids in zip(part.column(0), own.encode([t.as_py() or "" for t in part.column(1)])):
+                for doc, ids in zip(part, encode(texts)):
                     ids += last
                     at, total = 0, len(ids) // 4
                     for n in binary_lengths(total, max_length):
@@ -149,13 +160,13 @@ def pieces(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
                         totals.append(total)
                         at += n
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, part.column(0).type), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
+                    [pa.array(docs, part.type), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
                      pa.array(cuts, pa.binary()), pa.array(totals, pa.int64())],
                     names=["id", "start", "length", "ids", "doc_tokens"])
 
     kind = df.schema[id_col].dataType.simpleString()
     out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        work, f"id {kind}, start long, length long, ids binary, doc_tokens long")
+        trimmed(work), f"id {kind}, start long, length long, ids binary, doc_tokens long")
     return out.withColumnRenamed("id", id_col)
 
 
